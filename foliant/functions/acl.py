@@ -11,6 +11,7 @@ import struct
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
 from foliant.functions.binary import _byte, u32, u32_hex
 from foliant.functions.text import literal_map
@@ -98,10 +99,26 @@ CONTROL_FLAGS = [
     (0x8000, "SE_SELF_RELATIVE"),
 ]
 
-_SID_TYPE = "array<struct<pos:int,sid:string,rid:long,mask:long>>"
+_SID_TYPE = ArrayType(
+    StructType().add("pos", IntegerType()).add("sid", StringType()).add("rid", LongType()).add("mask", LongType())
+)
 _ACE_TYPE = (
-    "struct<revision:int,control:int,owner_sid:string,group_sid:string,"
-    "aces:array<struct<acl:string,ace_type:int,ace_flags:int,mask:long,sid:string>>>"
+    StructType()
+    .add("revision", IntegerType())
+    .add("control", IntegerType())
+    .add("owner_sid", StringType())
+    .add("group_sid", StringType())
+    .add(
+        "aces",
+        ArrayType(
+            StructType()
+            .add("acl", StringType())
+            .add("ace_type", IntegerType())
+            .add("ace_flags", IntegerType())
+            .add("mask", LongType())
+            .add("sid", StringType())
+        ),
+    )
 )
 
 

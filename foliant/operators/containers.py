@@ -12,6 +12,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from foliant.functions.binary import byte_find, latin1, u16, u32
 from foliant.functions.text import object_format, object_header, strip_ext
@@ -203,13 +204,13 @@ def _unpack(packed: bytes | None, size: int) -> bytes | None:
     return None
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def inflate(packed: pd.Series, size: pd.Series) -> pd.Series:
     """Inflate one zlib stream per row; a stream that fails is retried with the slack bytes, then NULL."""
     return pd.Series([_unpack(p, s) for p, s in zip(packed, size)], dtype=object)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def inflate_all(packed: pd.Series) -> pd.Series:
     """Inflate and join the streams of one document in order; broken streams are left out."""
     def document(streams):

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructType
 
 from foliant.functions.text import cut_field, is_page_break, strip
 from foliant.scale import LINES_PER_BLOCK, running_sum
@@ -171,7 +172,7 @@ def _prepare(template: str | None) -> str:
     return t[:-1].rstrip() if t.endswith("*") else t
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def template_score(line: pd.Series, template: pd.Series) -> pd.Series:
     """How well a line fits a template, 0 to 1; vectorised over the lines of each template."""
     out = pd.Series(0.0, index=line.index)
@@ -194,7 +195,11 @@ def _best(lines: list[str], templates: list[tuple[int, str]]) -> tuple[np.ndarra
     return score, which
 
 
-@F.pandas_udf("array<struct<line_no:long,text:string,line_id:long,score:double>>")
+@F.pandas_udf(
+    ArrayType(
+        StructType().add("line_no", LongType()).add("text", StringType()).add("line_id", LongType()).add("score", DoubleType())
+    )
+)
 def _classify(structure: pd.Series, text: pd.Series, templates: pd.Series) -> pd.Series:
     out = pd.Series([None] * len(text), index=text.index, dtype=object)
     for _, rows in text.groupby(structure):

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
 _INSTANCE_KEY = "DOMAIN_ID int, REPORT_SPECIES_ID int, AS_OF_TIMESTAMP timestamp_ntz, REPROCESS_IN_PROGRESS smallint"
 
-_DDL = {
+CATALOGUE: dict[str, str] = {
     "FOLDER": "ITEM_ID int, NAME string, PARENT_ID int, PRIVATE_ROOT_ID int, ITEM_TYPE smallint, "
     "CREATED_BY_USER string, CREATION_DATE_TIME timestamp_ntz, LAST_MODIFIED_BY_USER string, "
     "LAST_MODIFIED_DATE_TIME timestamp_ntz, TIME_STAMP timestamp_ntz",
@@ -43,6 +41,4 @@ _DDL = {
     "STYPE_SECTION": "REPORT_SPECIES_ID int, SECTION_ID int, VALUE binary",
 }
 
-CATALOGUE = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
-
 INSTANCE_KEY = ["DOMAIN_ID", "REPORT_SPECIES_ID", "AS_OF_TIMESTAMP", "REPROCESS_IN_PROGRESS"]
