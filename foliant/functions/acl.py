@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 
 from foliant.functions.binary import _byte, u32, u32_hex
 from foliant.functions.text import literal_map
+from foliant.functions.udf import once
 
 EVERYONE = "S-1-1-0"
 
@@ -156,6 +157,9 @@ def acl_sids(blob: pd.Series) -> pd.Series:
     return blob.map(_scan)
 
 
+acl_sids = once(acl_sids)
+
+
 def _entries(blob: bytes, at: int, kind: str) -> list[dict]:
     out = []
     if not 0 < at <= len(blob) - 8:
@@ -195,6 +199,9 @@ def acl_aces(blob: pd.Series) -> pd.DataFrame:
     return frame.astype({"revision": "Int32", "control": "Int32"})
 
 
+acl_aces = once(acl_aces)
+
+
 def blob_of_hex(text: Column) -> Column:
     """Hex text, with or without ``0x``, as bytes; bad hex gives NULL."""
     digits = F.regexp_replace(text, r"^0x", "")

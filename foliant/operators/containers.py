@@ -16,6 +16,7 @@ from pyspark.sql.types import BinaryType
 
 from foliant.functions.binary import byte_find, latin1, u16, u32
 from foliant.functions.text import object_format, object_header, strip_ext
+from foliant.functions.udf import once
 from foliant.operators.sets import compare_outputs
 from foliant.scale import ordered_concat
 
@@ -110,9 +111,11 @@ def section_array() -> Column:
     declared = _header_number(SECTION_COUNT_AT, 0x1F0)
     count = F.when(declared > 0, declared).otherwise(DEFAULT_SECTIONS)
     start = F.greatest(packed_end - 16, F.lit(0))
-    found = byte_find(_slice(F.col("content"), start, F.lit(NEAR_BYTES).cast("long")), "SECTIONHDR")
-    near_table = F.when(
-        (packed_end > 0) & (found >= 0), _slice(F.col("content"), start + found + MARKER_BYTES, count * SECTION_ROW)
+    near_table = _let(
+        byte_find(_slice(F.col("content"), start, F.lit(NEAR_BYTES).cast("long")), "SECTIONHDR"),
+        lambda found: F.when(
+            (packed_end > 0) & (found >= 0), _slice(F.col("content"), start + found + MARKER_BYTES, count * SECTION_ROW)
+        ),
     )
     near = _let(
         _rows(near_table, SECTION_ROW, count, _triplet),
@@ -144,10 +147,17 @@ def _species(content: Column) -> Column:
     return F.coalesce(F.when(found != "", found).try_cast("long"), F.lit(0))
 
 
+def _table(marker: str, count: Column, width: int) -> Column:
+    """Bytes of the rows behind a marker; the file is searched once, and not at all when nothing is declared."""
+    rows = _let(
+        byte_find(F.col("content"), marker),
+        lambda at: F.when(at >= 0, _slice(F.col("content"), (at + MARKER_BYTES).cast("long"), count * width)),
+    )
+    return F.when(count > 0, rows)
+
+
 def _page_table() -> Column:
-    at = byte_find(F.col("content"), "PAGETBLHDR")
-    count = _header_number(PAGE_COUNT_AT, 0x1F0)
-    return F.when(at >= 0, _slice(F.col("content"), at + MARKER_BYTES, count * PAGE_ROW))
+    return _table("PAGETBLHDR", _header_number(PAGE_COUNT_AT, 0x1F0), PAGE_ROW)
 
 
 def _page(t: Column, i: Column) -> Column:
@@ -169,9 +179,7 @@ def rpt_page(files: DataFrame) -> DataFrame:
 
 
 def _object_table() -> Column:
-    at = byte_find(F.col("content"), "BPAGETBLHDR")
-    count = _header_number(OBJECT_COUNT_AT, 0x200)
-    return F.when((count > 0) & (at >= 0), _slice(F.col("content"), at + MARKER_BYTES, count * OBJECT_ROW))
+    return _table("BPAGETBLHDR", _header_number(OBJECT_COUNT_AT, 0x200), OBJECT_ROW)
 
 
 def _object(t: Column, i: Column) -> Column:
@@ -210,6 +218,9 @@ def inflate(packed: pd.Series, size: pd.Series) -> pd.Series:
     return pd.Series([_unpack(p, s) for p, s in zip(packed, size)], dtype=object)
 
 
+inflate = once(inflate)
+
+
 @F.pandas_udf(BinaryType())
 def inflate_all(packed: pd.Series) -> pd.Series:
     """Inflate and join the streams of one document in order; broken streams are left out."""
@@ -220,6 +231,9 @@ def inflate_all(packed: pd.Series) -> pd.Series:
     return packed.map(document)
 
 
+inflate_all = once(inflate_all)
+
+
 def page_text(files: DataFrame, pages: DataFrame | None = None, encoding: str = "UTF-8") -> DataFrame:
     """(file, page, status, text) of the wanted pages; all pages without ``pages`` (file, page).
 

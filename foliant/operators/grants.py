@@ -95,9 +95,9 @@ def unmapped_rids(mapped: DataFrame) -> DataFrame:
 
 def permission_rows(df: DataFrame, ident: str = "SECTION_ID", value: str = "VALUE") -> DataFrame:
     """One row per distinct identifier of a section's blob, with its principal type."""
-    sids = F.transform(acl_sids(F.col(value)), lambda s: F.struct(s["sid"].alias("sid")))
-    rows = df.filter(F.octet_length(value) > 0).select(ident, F.explode(F.array_distinct(sids)).alias("s"))
-    sid = F.col("s.sid")
+    found = df.filter(F.octet_length(value) > 0).select(ident, acl_sids(F.col(value)).alias("_sids"))
+    rows = found.select(ident, F.explode(F.array_distinct(F.transform("_sids", lambda s: s["sid"]))).alias("sid"))
+    sid = F.col("sid")
     return rows.filter(F.length(sid) > 10).select(
         F.lit("SECTION").alias("RESOURCE_TYPE"),
         F.col(ident).alias("RESOURCE_ID"),

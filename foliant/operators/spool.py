@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructType
 
 from foliant.functions.text import cut_field, is_page_break, strip
+from foliant.functions.udf import once
 from foliant.scale import LINES_PER_BLOCK, running_sum
 
 MIN_SCORE = 0.55
@@ -89,7 +90,8 @@ def search_lines(lines: DataFrame, term: str, case_sensitive: bool = False, text
     spots = F.transform(F.sequence(F.lit(1), F.size("_pieces") - 1), before)
     return (
         rows.filter(F.size("_pieces") > 1)
-        .withColumn("match_start", F.explode(spots).cast("long"))
+        .withColumn("match_start", F.explode(spots))
+        .withColumn("match_start", F.col("match_start").cast("long"))
         .withColumn("match_length", F.lit(len(needle)))
         .drop("_pieces")
     )
@@ -217,6 +219,9 @@ def _classify(structure: pd.Series, text: pd.Series, templates: pd.Series) -> pd
     return out
 
 
+_classify = once(_classify)
+
+
 def classify_lines(
     pages: DataFrame, line_def: DataFrame, keys: Sequence[str] = ("file", "page"), structure: str = "STRUCTURE_DEF_ID", text: str = "text"
 ) -> DataFrame:
@@ -228,9 +233,10 @@ def classify_lines(
     """
     listed = F.sort_array(F.collect_list(F.struct(F.col("LINE_ID").cast("long").alias("line_id"), F.col("TEMPLATE").alias("template"))))
     templates = line_def.filter(prepared_template(F.col("TEMPLATE")) != "").groupBy(structure).agg(listed.alias("_templates"))
-    rows = pages.join(templates, structure, "left").select(
-        *keys, structure, F.explode(_classify(F.col(structure), F.col(text), F.col("_templates"))).alias("l")
+    done = pages.join(templates, structure, "left").select(
+        *keys, structure, _classify(F.col(structure), F.col(text), F.col("_templates")).alias("_lines")
     )
+    rows = done.select(*keys, structure, F.explode("_lines").alias("l"))
     return rows.select(*keys, structure, "l.line_no", "l.text", F.col("l.line_id").alias("LINE_ID"), "l.score")
 
 

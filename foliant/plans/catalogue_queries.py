@@ -388,8 +388,6 @@ def _(spark, sf):
     [*INSTANCE_TABLES[:5], "species"],
 )
 def _(spark, sf):
-    rows = ins.instances(*_all(spark, sf, INSTANCE_TABLES[:3]), 1996, 1999)
-    # sst/mapfile do not add rows: the comparison joins them, so the same joins run here
     ri, rfi, rf, sst, mf = _all(spark, sf, INSTANCE_TABLES[:5])
     rows = ins.instances(ri, rfi, rf, 1996, 1999, sst, mf)
     out = ins.enrich_instances(rows, view(spark, sf, "species"))
