@@ -9,6 +9,7 @@ from __future__ import annotations
 import struct
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
@@ -135,26 +136,26 @@ def sid_text(blob: bytes, at: int) -> tuple[str, int] | None:
     return "-".join(["S", str(blob[at]), str(authority), *map(str, subs)]), (subs[-1] if subs else 0)
 
 
-def _scan(blob: bytes | None) -> list[dict]:
-    found = []
-    if blob is None or len(blob) < 12:
-        return found
-    at = blob.find(1)
-    while 0 <= at < len(blob) - 8:
-        if 0 < blob[at + 1] <= 15 and (hit := sid_text(blob, at)):
-            sid, last = hit
-            parts = sid.split("-")
-            domain = len(parts) >= 8 and parts[3] == "21"
-            mask = struct.unpack_from("<I", blob, at - 4)[0] if at >= 4 else None
-            found.append({"pos": at, "sid": sid, "rid": last if domain else None, "mask": mask})
-        at = blob.find(1, at + 1)
-    return found
-
-
-@F.pandas_udf(_SID_TYPE)
-def acl_sids(blob: pd.Series) -> pd.Series:
+@F.arrow_udf(_SID_TYPE)
+def acl_sids(blob: pa.Array) -> pa.Array:
     """Every identifier found at any offset of the blob, with the mask in the four bytes before it."""
-    return blob.map(_scan)
+    ends, spots, sids, rids, masks = [0], [], [], [], []
+    for value in blob:
+        data = value.as_py() or b""
+        at = data.find(1)
+        while 0 <= at < len(data) - 8:
+            if 0 < data[at + 1] <= 15 and (hit := sid_text(data, at)):
+                sid, last = hit
+                parts = sid.split("-")
+                spots.append(at)
+                sids.append(sid)
+                rids.append(last if len(parts) >= 8 and parts[3] == "21" else None)
+                masks.append(struct.unpack_from("<I", data, at - 4)[0] if at >= 4 else None)
+            at = data.find(1, at + 1)
+        ends.append(len(spots))
+    columns = [pa.array(spots, pa.int32()), pa.array(sids, pa.string()), pa.array(rids, pa.int64()), pa.array(masks, pa.int64())]
+    rows = pa.StructArray.from_arrays(columns, ["pos", "sid", "rid", "mask"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
 
 
 acl_sids = once(acl_sids)

@@ -18,7 +18,7 @@ from foliant.functions.binary import byte_find, latin1, u16, u32
 from foliant.functions.text import object_format, object_header, strip_ext
 from foliant.functions.udf import once
 from foliant.operators.sets import compare_outputs
-from foliant.scale import ordered_concat
+from foliant.scale import ordered_concat, small_side
 
 # Layout of the container.
 BASE_OFFSET = 0xF0
@@ -29,6 +29,7 @@ NEAR_BYTES = 4096
 DEFAULT_SECTIONS = 1000
 SLACK = 64
 PAGES_PER_BLOCK = 512
+PAGES_TO_BROADCAST = 1_000_000
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -239,7 +240,8 @@ def page_text(files: DataFrame, pages: DataFrame | None = None, encoding: str =
 
     The wanted pages of a file meet the file as one list, so files nobody wants are dropped by
     the join and their content is never inflated, and a wanted page is cut out of the file
-    by its row in the page table without touching the others. ``status``: ``ok``,
+    by its row in the page table without touching the others. Up to a million wanted pages
+    (8 MB) are broadcast, so file contents do not move; beyond that both sides shuffle. ``status``: ``ok``,
     ``out_of_range`` (no such page, or its bytes end beyond the file) or ``inflate_error``.
     """
     table = _valid(files).select("file", "content", "length", _page_table().alias("_t"))
@@ -251,7 +253,7 @@ def page_text(files: DataFrame, pages: DataFrame | None = None, encoding: str =
         lists = pages.select("file", F.col("page").cast("long").alias("page")).distinct().groupBy("file").agg(
             F.collect_list("page").alias("_want")
         )
-        wanted = table.join(lists, "file")
+        wanted = table.join(small_side(lists, PAGES_TO_BROADCAST, F.size("_want")), "file")
 
     def cut(page: Column) -> Column:
         row = (page - 1) * PAGE_ROW

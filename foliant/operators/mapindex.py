@@ -1,12 +1,12 @@
 """Index files: header, segments, entries, page keys; value search and page resolution.
 
-Each Python function below decodes one kind of fixed-width record with numpy and yields
-one small frame per segment; filtering, joins and counts are DataFrame work.
+Each Python function below decodes one kind of fixed-width record with numpy into plain
+columns; filtering, joins and counts are DataFrame work.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -25,6 +25,10 @@ MAX_WIDTH = 100
 SAMPLE = 100
 PAGE_MASK = 0x7FFFFFFF
 
+BATCH_ROWS = 50_000
+
+Columns = dict[str, np.ndarray]
+
 _SEGMENT_SCHEMA = (
     "file string, segment_no long, segment_index long, offset long, next_offset long, size long, page_start long, "
     "line_id long, field_id long, field_width long, entry_count long, data_offset long"
@@ -85,7 +89,13 @@ def _segments(data: bytes) -> list[dict]:
     return out
 
 
-def _entries(data: bytes, seg: dict) -> pd.DataFrame | None:
+def _values(texts: np.ndarray, width: int) -> list[str]:
+    """Stripped ASCII values of a column of fixed-width texts, decoded in one go."""
+    joined = np.ascontiguousarray(texts).tobytes().decode("ascii", "replace")
+    return [joined[i : i + width].strip() for i in range(0, len(joined), width)]
+
+
+def _entries(data: bytes, seg: dict) -> Columns | None:
     width = seg["field_width"]
     if not 0 < width <= MAX_WIDTH:
         return None
@@ -106,25 +116,23 @@ def _entries(data: bytes, seg: dict) -> pd.DataFrame | None:
         return None
     sample = rows["u16"][:SAMPLE]
     keyed = len(sample) >= 3 and bool((sample % 2 == 1).all())
-    values = [t.tobytes().decode("ascii", "replace").strip() for t in rows["text"]]
-    keep = np.array([any(c.isalnum() for c in v[:5]) for v in values])
-    return pd.DataFrame(
-        {
-            "segment_no": seg["segment_no"],
-            "line_id": seg["line_id"],
-            "field_id": seg["field_id"],
-            "field_width": width,
-            "entry_no": np.arange(len(rows)),
-            "value": values,
-            "page": 0 if keyed else rows["u16"].astype("int64"),
-            "u32_key": rows["u32"].astype("int64") if keyed else 0,
-            "format": "u32_index" if keyed else "page",
-        }
-    )[keep]
-
-
-def _page_keys(data: bytes) -> pd.DataFrame | None:
-    segs = _segments(data)
+    values = _values(rows["text"], width)
+    keep = np.fromiter((any(map(str.isalnum, v[:5])) for v in values), bool, len(values))
+    kept = np.flatnonzero(keep)
+    size = len(kept)
+    zeros = np.zeros(size, "int64")
+    return {
+        **{k: np.full(size, seg[k], "int64") for k in ("segment_no", "line_id", "field_id", "field_width")},
+        "entry_no": kept.astype("int64"),
+        "value": np.array(values, dtype=object)[kept],
+        "page": zeros if keyed else rows["u16"][kept].astype("int64"),
+        "u32_key": rows["u32"][kept].astype("int64") if keyed else zeros,
+        "format": np.full(size, "u32_index" if keyed else "page", dtype=object),
+    }
+
+
+def _page_keys(data: bytes, segs: list[dict] | None = None) -> Columns | None:
+    segs = _segments(data) if segs is None else segs
     if not segs:
         return None
     record = np.dtype(
@@ -135,10 +143,28 @@ def _page_keys(data: bytes) -> pd.DataFrame | None:
     rows = np.frombuffer(data, record, count, first) if count else np.empty(0, record)
     numbers = np.flatnonzero(rows["type"] == 0x08)
     rows = rows[numbers]
-    return pd.DataFrame({"record_no": numbers, "u32_key": rows["key"].astype("int64"), "page": (rows["page"] & PAGE_MASK).astype("int64")})
+    return {"record_no": numbers.astype("int64"), "u32_key": rows["key"].astype("int64"), "page": (rows["page"] & PAGE_MASK).astype("int64")}
+
+
+def _resolve(entries: Columns, keys: Columns | None) -> None:
+    """Put the pages of keyed entries in place; the last of equal keys counts, unknown keys give 0."""
+    if entries["format"].size and entries["format"][0] == "u32_index" and keys is not None and keys["u32_key"].size:
+        order = np.argsort(keys["u32_key"], kind="stable")
+        known = keys["u32_key"][order]
+        at = np.searchsorted(known, entries["u32_key"], side="right") - 1
+        hit = (at >= 0) & (known[at] == entries["u32_key"])
+        entries["page"] = np.where(hit, keys["page"][order][at], 0)
+
 
+def _matching(entries: Columns, value: str | None, prefix: bool) -> Columns:
+    if value is None:
+        return entries
+    test = (lambda v: v.startswith(value)) if prefix else (lambda v: v == value)
+    hits = np.fromiter((test(v) for v in entries["value"]), bool, len(entries["value"]))
+    return {k: v[hits] for k, v in entries.items()}
 
-def _lookups(data: bytes) -> pd.DataFrame | None:
+
+def _lookups(data: bytes) -> Columns | None:
     marks = _markers(data)
     if len(marks) < 2:
         return None
@@ -152,7 +178,8 @@ def _lookups(data: bytes) -> pd.DataFrame | None:
             bad += 1
             if bad >= 4:
                 break
-    return pd.DataFrame(out, columns=["segment", "line_id", "field_id", "flags"])
+    names = ["segment", "line_id", "field_id", "flags"]
+    return dict(zip(names, np.array(out, dtype="int64").reshape(-1, len(names)).T))
 
 
 def _is_index(data: bytes) -> bool:
@@ -175,40 +202,83 @@ def map_header(files: DataFrame) -> DataFrame:
     return files.select("file", "content").mapInPandas(parse, schema)
 
 
-def _per_file(files: DataFrame, decode, schema: str) -> DataFrame:
+def _per_file(files: DataFrame, decode: Callable, schema: str, extra: Sequence[str] = ()) -> DataFrame:
+    """Decode every index file to columns; rows of many small files leave in one batch, a large
+    file leaves in several, so neither the batch count nor the batch size grows with the archive."""
     names = [c.split()[0] for c in schema.split(",")]
 
+    def frame(parts: list[Columns]) -> pd.DataFrame:
+        return pd.DataFrame({n: np.concatenate([p[n] for p in parts]) for n in names})
+
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts, held = [], 0
         for batch in batches:
-            for name, data in zip(batch["file"], batch["content"]):
-                if _is_index(data):
-                    for frame in decode(data):
-                        if frame is not None and len(frame):
-                            frame["file"] = name
-                            yield frame[names]
-
-    return files.select("file", "content").mapInPandas(parse, schema)
+            for name, data, *more in zip(batch["file"], batch["content"], *[batch[c] for c in extra]):
+                for cols in decode(data, *more) if _is_index(data) else ():
+                    size = 0 if cols is None else len(next(iter(cols.values())))
+                    for start in range(0, size, BATCH_ROWS):
+                        part = {k: v[start : start + BATCH_ROWS] for k, v in cols.items()}
+                        rows = len(next(iter(part.values())))
+                        part["file"] = np.full(rows, name, dtype=object)
+                        parts.append(part)
+                        held += rows
+                        if held >= BATCH_ROWS:
+                            yield frame(parts)
+                            parts, held = [], 0
+        if parts:
+            yield frame(parts)
+
+    return files.select("file", "content", *extra).mapInPandas(parse, schema)
 
 
 def map_segment(files: DataFrame) -> DataFrame:
     """Segment metadata; segment 0 is the lookup."""
-    return _per_file(files, lambda data: [pd.DataFrame(_segments(data))], _SEGMENT_SCHEMA)
+
+    def decode(data: bytes):
+        segs = _segments(data)
+        if segs:
+            yield {k: np.array([s[k] for s in segs], dtype="int64") for k in segs[0]}
+
+    return _per_file(files, decode, _SEGMENT_SCHEMA)
 
 
-def map_entry(files: DataFrame, line_id: int | None = None, field_id: int | None = None) -> DataFrame:
+def map_entry(
+    files: DataFrame,
+    line_id: int | None = None,
+    field_id: int | None = None,
+    value: str | None = None,
+    prefix: bool = False,
+    resolve: bool = False,
+) -> DataFrame:
     """Index entries of all segments, or of the first segment of one (line, field).
 
-    Asked for one field, the other segments are skipped inside the decoder.
+    A field asked for (by argument, or per file in an array column ``want`` of (line_id, field_id)),
+    a value and ``resolve`` are handled inside the decoder: other segments are skipped, other
+    values never leave the worker, and keyed entries get their page from the same file, which
+    saves the join of ``resolve_pages`` and a second read of the file.
     """
+    per_file = "want" in files.columns
+    text = None if value is None else value.strip()
 
-    def decode(data: bytes):
-        segs = [s for s in _segments(data) if s["segment_no"] > 0]
+    def decode(data: bytes, want=None):
+        segs = _segments(data)
+        named = segs[1:]
         if line_id is not None:
-            segs = [s for s in segs if s["line_id"] == line_id and s["field_id"] == field_id][:1]
-        for seg in segs:
-            yield _entries(data, seg)
-
-    return _per_file(files, decode, _ENTRY_SCHEMA)
+            named = [s for s in named if (s["line_id"], s["field_id"]) == (line_id, field_id)][:1]
+        elif per_file:
+            asked = dict.fromkeys((w["line_id"], w["field_id"]) for w in want)
+            first = {(s["line_id"], s["field_id"]): s for s in reversed(named)}
+            named = [first[k] for k in asked if k in first]
+        keys = _page_keys(data, segs) if resolve else None
+        for seg in named:
+            entries = _entries(data, seg)
+            if entries is not None:
+                entries = _matching(entries, text, prefix)
+                if resolve:
+                    _resolve(entries, keys)
+                yield entries
+
+    return _per_file(files, decode, _ENTRY_SCHEMA, ["want"] if per_file else [])
 
 
 def map_page_key(files: DataFrame) -> DataFrame:

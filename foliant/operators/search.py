@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from foliant.functions.text import base_name, strip
 from foliant.operators.containers import page_text, rpt_section
 from foliant.operators.filters import filter_records, on_day, pages_in_sections
-from foliant.operators.mapindex import found_pages, map_entry, map_page_key, resolve_pages
+from foliant.operators.mapindex import found_pages, map_entry
 from foliant.operators.sets import intersect_pages
 from foliant.operators.spool import classify_lines, extract_fields
 from foliant.operators.windows import first_per_key, latest_per_key
+from foliant.scale import cut_lineage, small_side
 from foliant.sources.schemas import INSTANCE_KEY
 
 
@@ -31,7 +32,7 @@ def find_instances(tables: Mapping[str, DataFrame], report: str, day: str | None
     report_files = tables["RPTFILE_INSTANCE"].join(tables["RPTFILE"], "RPT_FILE_ID").select(
         *INSTANCE_KEY, base_name(F.rtrim("FILENAME")).alias("rpt_file")
     )
-    return latest.join(index, INSTANCE_KEY).join(report_files, INSTANCE_KEY)
+    return cut_lineage(latest.join(index, INSTANCE_KEY).join(report_files, INSTANCE_KEY))
 
 
 def search_and_extract(
@@ -55,19 +56,21 @@ def search_and_extract(
     found = find_instances(tables, report, day)
     named = tables["FIELD"].filter(F.upper(strip(F.col("NAME"))) == field.strip().upper())
     target = first_per_key(named.select("STRUCTURE_DEF_ID", "LINE_ID", "FIELD_ID"), ["STRUCTURE_DEF_ID"], ["LINE_ID", "FIELD_ID"])
-    goal = found.join(target, "STRUCTURE_DEF_ID").select(
-        F.col("map_file").alias("file"), F.col("LINE_ID").alias("line_id"), F.col("FIELD_ID").alias("field_id")
-    ).distinct()
-    wanted_maps = map_files.join(found.select(F.col("map_file").alias("file")).distinct(), "file", "left_semi")
-    text = value.strip()
-    match = F.col("value").startswith(text) if prefix else F.col("value") == text
-    entries = map_entry(wanted_maps).filter(match)
-    entries = entries.join(goal, ["file", "line_id", "field_id"], "left_semi")
-    pages = found_pages(resolve_pages(entries, map_page_key(wanted_maps)))
+    goal = (
+        found.join(target, "STRUCTURE_DEF_ID")
+        .select(F.col("map_file").alias("file"), F.col("LINE_ID").alias("line_id"), F.col("FIELD_ID").alias("field_id"))
+        .distinct()
+        .groupBy("file")
+        .agg(F.collect_list(F.struct("line_id", "field_id")).alias("want"))
+    )
+    wanted_maps = map_files.select("file", "content").join(small_side(goal), "file")
+    pages = found_pages(map_entry(wanted_maps, value=value, prefix=prefix, resolve=True))
     owner = found.select(F.col("map_file").alias("_map"), F.col("rpt_file").alias("file"), "STRUCTURE_DEF_ID").distinct()
     pages = pages.withColumnRenamed("file", "_map").join(owner, "_map").select("file", "page", "STRUCTURE_DEF_ID").distinct()
+    # the pages are used three times below; kept, so that the index files are read once
+    pages = cut_lineage(pages)
     if sections is not None:
-        wanted_files = rpt_files.join(pages.select("file").distinct(), "file", "left_semi")
+        wanted_files = rpt_files.join(small_side(pages.select("file").distinct()), "file", "left_semi")
         chosen, _ = pages_in_sections(pages, rpt_section(wanted_files), sections)
         pages = pages.join(intersect_pages(pages, chosen), ["file", "page"], "left_semi")
     texts = page_text(rpt_files, pages).filter(F.col("status") == "ok").join(pages, ["file", "page"])

@@ -16,7 +16,7 @@ from foliant.operators import sets as st
 from foliant.operators import spool as sp
 from foliant.operators import windows as wi
 from foliant.plans.encode import container_bytes, index_bytes
-from foliant.plans.registry import query, table, view
+from foliant.plans.registry import query, spread, table, view
 from foliant.scale import scratch_path
 from foliant.sources import files as fs
 from foliant.streaming import ingest
@@ -30,7 +30,7 @@ _LINES = """SELECT file, line_no, CASE WHEN file % 3 = 0 THEN (CASE WHEN line_no
 
 
 def _lines(spark, sf):
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("file"), "text")
+    docs = spread(table(spark, sf, "documents").select(F.col("doc_id").alias("file"), "text"), "file")
     rows = fs.lines_of_text(docs, ["file"])
     asa = F.when(F.col("line_no") % 5 == 1, "1 ").when(F.col("line_no") % 5 == 3, "0 ").otherwise("  ")
     text = (
@@ -146,7 +146,7 @@ def _line_def(spark, sf):
 
 
 def _pages_by_structure(spark, sf):
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("file"), F.lit(1).cast("long").alias("page"), (F.col("doc_id") % 4).alias("STRUCTURE_DEF_ID"), "text")
+    return spread(table(spark, sf, "documents"), "doc_id").select(F.col("doc_id").alias("file"), F.lit(1).cast("long").alias("page"), (F.col("doc_id") % 4).alias("STRUCTURE_DEF_ID"), "text")
 
 
 _BEST = f"""
@@ -308,7 +308,8 @@ def containers(spark, sf):
     afp = F.array(F.concat(F.unhex(F.lit("5A0008D3A8A80000")), F.col("text").cast("binary")))
     objects = F.when(doc % 10 == 0, pdf).when(doc % 11 == 0, afp)
     content = container_bytes(doc, _page_array(), objects)
-    rows = table(spark, sf, "documents").select(F.concat(F.lit("D"), doc.cast("string"), F.lit(".RPT")).alias("file"), content.alias("content"))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    rows = docs.select(F.concat(F.lit("D"), doc.cast("string"), F.lit(".RPT")).alias("file"), content.alias("content"))
     return rows.withColumn("length", F.octet_length("content").cast("long"))
 
 
@@ -421,11 +422,11 @@ _VALUES = f"""SELECT doc_id, value, doc_id % 2 = 1 AND count(*) OVER (PARTITION
 
 def index_files(spark, sf):
     """Every document as an index file over the beginnings of its lines; odd ones keyed through segment 0."""
-    pages = table(spark, sf, "documents").select("doc_id", F.posexplode(_page_array()).alias("pos", "t"))
-    lines = pages.select("doc_id", (F.col("pos") + 1).cast("long").alias("page"), F.explode(F.split("t", "\n")).alias("line"))
-    value = F.btrim(F.substring(F.regexp_replace("line", "[^A-Za-z0-9 ]", ""), 1, 12))
-    rows = lines.select("doc_id", "page", value.alias("value")).filter((F.length("value") >= 3) & F.substring("value", 1, 5).rlike("[A-Za-z0-9]"))
-    files = rows.groupBy("doc_id").agg(F.collect_list(F.struct("value", "page")).alias("e"))
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    value = lambda line: F.btrim(F.substring(F.regexp_replace(line, "[^A-Za-z0-9 ]", ""), 1, 12))
+    entry = lambda line, i: F.struct(value(line).alias("value"), (F.floor(i / 4) + 1).cast("long").alias("page"))
+    real = lambda e: (F.length(e["value"]) >= 3) & F.substring(e["value"], 1, 5).rlike("[A-Za-z0-9]")
+    files = docs.select("doc_id", F.filter(F.transform(F.split("text", "\n"), entry), real).alias("e")).filter(F.size("e") > 0)
     keyed = (F.col("doc_id") % 2 == 1) & (F.size("e") >= 3)
     return files.select(
         F.concat(F.lit("D"), F.col("doc_id").cast("string"), F.lit(".MAP")).alias("file"), index_bytes(F.col("e.value"), F.col("e.page"), keyed).alias("content")
@@ -464,10 +465,25 @@ def _(spark, sf):
 
 @query("search_index", f"SELECT doc_id, value, count(*) AS hits FROM ({_VALUES}) AS v WHERE value LIKE 'The%' GROUP BY doc_id, value")
 def search_index(spark, sf):
-    rows = mi.search_index(mi.map_entry(index_files(spark, sf), 4, 2), 4, 2, "The", prefix=True)
+    rows = mi.map_entry(index_files(spark, sf), 4, 2, "The", prefix=True)
     return rows.groupBy("file", "value").agg(F.count("*").alias("hits")).select(_doc(), "value", "hits")
 
 
+@query("search_index_table", f"SELECT doc_id, value, count(*) AS hits FROM ({_VALUES}) AS v WHERE value = 'The' OR value = 'And' GROUP BY doc_id, value")
+def _(spark, sf):
+    path = scratch_path(spark, "entries")
+    mi.write_entries(mi.map_entry(index_files(spark, sf)), path)
+    stored = spark.read.parquet(path)
+    rows = mi.search_index(stored, 4, 2, " The ").unionByName(mi.search_index(stored, 4, 2, "And"))
+    return rows.groupBy("file", "value").agg(F.count("*").alias("hits")).select(_doc(), "value", "hits")
+
+
+@query("entries_with_pages", f"SELECT doc_id, value, CASE WHEN keyed THEN page ELSE 2 * page END AS page, count(*) AS copies FROM ({_VALUES}) AS v GROUP BY ALL")
+def _(spark, sf):
+    rows = mi.map_entry(index_files(spark, sf), resolve=True).groupBy("file", "value", "page").agg(F.count("*").alias("copies"))
+    return rows.select(_doc(), "value", "page", "copies")
+
+
 @query("resolve_pages", f"SELECT DISTINCT doc_id, CASE WHEN keyed THEN page ELSE 2 * page END AS page FROM ({_VALUES}) AS v WHERE value >= 'T'")
 def resolve_pages(spark, sf):
     files = index_files(spark, sf)

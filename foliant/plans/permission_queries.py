@@ -10,7 +10,7 @@ from foliant.functions.binary import u32_hex
 from foliant.operators import generators as gen
 from foliant.operators import grants as gr
 from foliant.operators import sets as st
-from foliant.plans.registry import query, table, view
+from foliant.plans.registry import query, spread, table, view
 
 # every event as a blob: a user, a group (sometimes the same number as a user), a repeated user, and by type Everyone or a builtin group
 _USER = "user_id + 1000"
@@ -31,7 +31,8 @@ def blobs(spark, sf):
     extra = F.when(F.col("event_type") == "click", ace(everyone)).when(F.col("event_type") == "error", ace(builtin)).otherwise(F.lit(""))
     body = F.concat(F.lit("0x0200"), F.lit("02004C00"), ace(_sid(user)), ace(_sid(group)), ace(_sid(user)), extra)
     value = F.when(~((F.col("event_type") == "signup") & (F.col("event_id") % 7 == 0)), acl.blob_of_hex(body))
-    return table(spark, sf, "events").select("event_id", "user_id", "event_type", value.alias("VALUE"))
+    events = spread(table(spark, sf, "events").select("event_id", "user_id", "event_type"), "event_id")
+    return events.select("event_id", "user_id", "event_type", value.alias("VALUE"))
 
 
 _BLOB_ROWS = f"SELECT event_id, user_id, event_type, {_USER} AS u, {_GROUP} AS g FROM events WHERE NOT (event_type = 'signup' AND event_id % 7 = 0)"

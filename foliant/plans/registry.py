@@ -19,6 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread an input with fewer partitions than cores; one that has enough is left alone.
+
+    The given files are single small row groups; an archive of many files never needs this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(2 * cores, *keys)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A catalogue-shaped view of the given tables, see ``views``."""
     sql, bases = VIEWS[name]
