@@ -414,16 +414,16 @@ def _(spark, sf):
 
 # --- index files ---------------------------------------------------------------------------------
 
-_ENTRIES = f"""SELECT doc_id, page, trim(substr(regexp_replace(list_extract(string_split(text, chr(10)), i), '[^A-Za-z0-9 ]', '', 'g'), 1, 12)) AS value
+_ENTRIES = f"""SELECT doc_id, page, trim(substr(regexp_replace(substr(list_extract(string_split(text, chr(10)), i), 1, 20), '[^A-Za-z0-9 ]', '', 'g'), 1, 12)) AS value
   FROM (SELECT *, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM ({_DOC_PAGES}) AS p) AS q"""
 # a keyed file with fewer than three entries cannot be told from a plain one, so such files are written plain
 _VALUES = f"""SELECT doc_id, value, doc_id % 2 = 1 AND count(*) OVER (PARTITION BY doc_id) >= 3 AS keyed, page FROM ({_ENTRIES}) AS e WHERE length(value) >= 3 AND regexp_matches(substr(value, 1, 5), '[A-Za-z0-9]')"""
 
 
 def index_files(spark, sf):
-    """Every document as an index file over the beginnings of its lines; odd ones keyed through segment 0."""
+    """Every document as an index file over a field in columns 0-19 of its lines; odd ones keyed through segment 0."""
     docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
-    value = lambda line: F.btrim(F.substring(F.regexp_replace(line, "[^A-Za-z0-9 ]", ""), 1, 12))
+    value = lambda line: F.btrim(F.substring(F.regexp_replace(F.substring(line, 1, 20), "[^A-Za-z0-9 ]", ""), 1, 12))
     entry = lambda line, i: F.struct(value(line).alias("value"), (F.floor(i / 4) + 1).cast("long").alias("page"))
     real = lambda e: (F.length(e["value"]) >= 3) & F.substring(e["value"], 1, 5).rlike("[A-Za-z0-9]")
     files = docs.select("doc_id", F.filter(F.transform(F.split("text", "\n"), entry), real).alias("e")).filter(F.size("e") > 0)
