@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions.text import base_name
@@ -73,16 +73,14 @@ def maps_with_sections(catalogue: DataFrame, section: DataFrame, k: int = 10) ->
 
 
 def value_counts(
-    entries: DataFrame, cap: int = 0, keys: Sequence[str] = (), value: str = "value", order: Sequence[str] = ("entry_no",)
+    entries: DataFrame, cap: int = 0, keys: Sequence[str] = (), value: str = "value", entry_no: str = "entry_no"
 ) -> DataFrame:
-    """Index values with their number of occurrences. A cap applies to the entries read, before counting."""
-    rows = entries
-    if cap > 0:
-        if keys:
-            w = Window.partitionBy(*keys).orderBy(*order)
-            rows = rows.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap)
-        else:
-            rows = rows.orderBy(*order).limit(cap)
+    """Index values with their number of occurrences.
+
+    A cap (0 = none) applies to the entries as they are read from each segment, blank ones
+    included, before counting: a filter on the entry's own position.
+    """
+    rows = entries.filter(F.col(entry_no) < cap) if cap > 0 else entries
     return rows.groupBy(*keys, value).agg(F.count("*").alias("occurrences"))
 
 

@@ -149,12 +149,19 @@ def _species(content: Column) -> Column:
 
 
 def _table(marker: str, count: Column, width: int) -> Column:
-    """Bytes of the rows behind a marker; the file is searched once, and not at all when nothing is declared."""
-    rows = _let(
-        byte_find(F.col("content"), marker),
-        lambda at: F.when(at >= 0, _slice(F.col("content"), (at + MARKER_BYTES).cast("long"), count * width)),
+    """Bytes of the rows behind a marker.
+
+    Tables follow the packed data, so the bytes behind its declared end are searched first; the
+    whole file only when the marker is not there, and nothing at all when no rows are declared.
+    """
+    content = F.col("content")
+    start = F.greatest(_header_number(PACKED_END_AT, 0x1F0) - 16, F.lit(0))
+    rows = lambda at: F.when(at >= 0, _slice(content, (at + MARKER_BYTES).cast("long"), count * width))
+    found = _let(
+        byte_find(_slice(content, start, F.col("length").cast("long")), marker),
+        lambda near: F.when(near >= 0, rows(start + near)).otherwise(_let(byte_find(content, marker), rows)),
     )
-    return F.when(count > 0, rows)
+    return F.when(count > 0, found)
 
 
 def _page_table() -> Column:

@@ -38,6 +38,13 @@ def decode_grants(df: DataFrame, keys: Sequence[str], value: str = "VALUE") -> D
     return rows.select(*keys, grants_of_sids(F.col("_sids")).alias("g")).select(*keys, "g.rids", "g.everyone")
 
 
+def _with_principals(rows: DataFrame, users: DataFrame, groups: DataFrame) -> DataFrame:
+    """Flags ``_u`` / ``_g``: the row's ``rid`` is a user / a group."""
+    u = users.select(F.col("USER_ID").cast("long").alias("rid"), F.lit(True).alias("_u")).distinct()
+    g = groups.select(F.col("GROUP_ID").cast("long").alias("rid"), F.lit(True).alias("_g")).distinct()
+    return rows.join(u, "rid", "left").join(g, "rid", "left")
+
+
 def grants_with_principals(grants: DataFrame, users: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per (key, RID): its position, user id and group id where they exist.
 
@@ -45,9 +52,7 @@ def grants_with_principals(grants: DataFrame, users: DataFrame, groups: DataFram
     broadcasts them when they are small enough and shuffles by RID otherwise.
     """
     rows = grants.select(*keys, F.posexplode("rids").alias("position", "rid"))
-    u = users.select(F.col("USER_ID").cast("long").alias("rid"), F.lit(True).alias("_u")).distinct()
-    g = groups.select(F.col("GROUP_ID").cast("long").alias("rid"), F.lit(True).alias("_g")).distinct()
-    out = rows.join(u, "rid", "left").join(g, "rid", "left")
+    out = _with_principals(rows, users, groups)
     return out.select(
         *keys,
         "position",
@@ -58,8 +63,8 @@ def grants_with_principals(grants: DataFrame, users: DataFrame, groups: DataFram
     )
 
 
-def _pipe(col: str) -> Column:
-    ordered = F.sort_array(F.collect_list(F.when(F.col(col).isNotNull(), F.struct("position", F.col(col).cast("string").alias("v")))))
+def _pipe(value: Column) -> Column:
+    ordered = F.sort_array(F.collect_list(F.when(value.isNotNull(), F.struct("position", value.cast("string").alias("v")))))
     return F.array_join(F.transform(ordered, lambda r: r["v"]), "|")
 
 
@@ -69,11 +74,13 @@ def access_table(df: DataFrame, users: DataFrame, groups: DataFrame, keys: Seque
     Keys identify one blob, so a list never holds more ids than its blob.
     """
     grants = decode_grants(df, keys, value)
-    mapped = grants_with_principals(grants, users, groups, keys)
-    lists = mapped.groupBy(*keys).agg(_pipe("group_id").alias("Group"), _pipe("user_id").alias("User"), _pipe("rid").alias("RID"))
-    empty = F.lit("")
-    return grants.select(*keys, F.col("everyone").alias("Everyone")).join(lists, list(keys), "left").select(
-        *keys, *[F.coalesce(F.col(c), empty).alias(c) for c in ("Group", "User", "RID")], "Everyone"
+    rows = grants.select(*keys, "everyone", F.posexplode_outer("rids").alias("position", "rid"))
+    mapped = _with_principals(rows, users, groups)
+    return mapped.groupBy(*keys).agg(
+        _pipe(F.when(F.col("_g"), F.col("rid"))).alias("Group"),
+        _pipe(F.when(F.col("_u"), F.col("rid"))).alias("User"),
+        _pipe(F.col("rid")).alias("RID"),
+        F.max("everyone").alias("Everyone"),
     )
 
 
@@ -130,19 +137,18 @@ def unique_section_access(stype_section: DataFrame, section: DataFrame, users: D
     key = ["REPORT_SPECIES_ID", "SECTION_ID"]
     named = stype_section.filter(F.col("VALUE").isNotNull()).join(section.select(*key, F.rtrim("NAME").alias("SECTION_NAME")), key)
     grants = decode_grants(named, ["SECTION_NAME"])
-    everyone = grants.groupBy("SECTION_NAME").agg(F.max("everyone").alias("Everyone"))
-    ids = grants.select("SECTION_NAME", F.explode("rids").alias("rid")).distinct()
-    u = users.select(F.col("USER_ID").cast("long").alias("rid"), F.lit(True).alias("_u")).distinct()
-    g = groups.select(F.col("GROUP_ID").cast("long").alias("rid"), F.lit(True).alias("_g")).distinct()
-    tagged = ids.join(u, "rid", "left").join(g, "rid", "left")
+    ids = (
+        grants.select("SECTION_NAME", "everyone", F.explode_outer("rids").alias("rid"))
+        .groupBy("SECTION_NAME", "rid")
+        .agg(F.max("everyone").alias("everyone"))
+    )
+    tagged = _with_principals(ids, users, groups)
     sorted_list = lambda c: F.array_join(F.transform(F.sort_array(F.collect_list(c)), lambda x: x.cast("string")), "|")
-    lists = tagged.groupBy("SECTION_NAME").agg(
+    return tagged.groupBy("SECTION_NAME").agg(
         sorted_list(F.when(F.col("_g"), F.col("rid"))).alias("Group"),
         sorted_list(F.when(F.col("_u"), F.col("rid"))).alias("User"),
         sorted_list(F.col("rid")).alias("RID"),
-    )
-    return everyone.join(lists, "SECTION_NAME", "left").select(
-        "SECTION_NAME", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("Group", "User", "RID")], "Everyone"
+        F.max("everyone").alias("Everyone"),
     )
 
 
@@ -207,9 +213,11 @@ def translate_rids(
             for c in cols
         ]
     )
+    rest = [c for c in df.columns if c not in cols and c not in keys]
+    carried = F.struct(F.lit(1).alias("_one"), *rest).alias("_rest")
     parts = (
-        df.select(*keys, F.explode(lists).alias("l"))
-        .select(*keys, F.col("l._col").alias("_col"), F.posexplode("l._parts").alias("_pos", "_id"))
+        df.select(*keys, carried, F.explode(lists).alias("l"))
+        .select(*keys, "_rest", F.col("l._col").alias("_col"), F.posexplode("l._parts").alias("_pos", "_id"))
         .join(first, "_id", "left")
     )
     mapped = F.col("_new").isNotNull() & (F.col("_id") != "")
@@ -230,9 +238,11 @@ def translate_rids(
         ],
         F.count_if(mapped).alias("translated"),
         F.count_if(~mapped & F.col("_id").rlike(r"^\d+$")).alias("unmapped"),
+        F.any_value("_rest").alias("_rest"),
+    )
+    return rebuilt.select(*keys, *cols, *[F.col(f"_rest.{c}").alias(c) for c in rest], "translated", "unmapped").select(
+        *df.columns, "translated", "unmapped"
     )
-    rest = [c for c in df.columns if c not in cols]
-    return df.select(*rest).join(rebuilt, list(keys)).select(*df.columns, "translated", "unmapped")
 
 
 TRANSLATED_COLUMNS = {

@@ -35,14 +35,15 @@ def instances(
     """Report instances of a year window with their report file, and their index file when
     ``sst`` and ``mf`` are given. All species in one job; instances without a file stay."""
     window = year_window(ri, "AS_OF_TIMESTAMP", start, end).select(*INSTANCE_KEY)
-    out = (
-        window.join(rfi.select(*INSTANCE_KEY, "RPT_FILE_ID"), INSTANCE_KEY, "left")
-        .join(rf.select("RPT_FILE_ID", F.rtrim("FILENAME").alias("FILENAME")), "RPT_FILE_ID", "left")
+    # names join their links first, inside the same window: the instances shuffle once, by their key
+    linked = lambda link, ident, files, name: (
+        year_window(link, "AS_OF_TIMESTAMP", start, end)
+        .select(*INSTANCE_KEY, ident)
+        .join(files.select(ident, F.rtrim("FILENAME").alias(name)), ident, "left")
     )
+    out = window.join(linked(rfi, "RPT_FILE_ID", rf, "FILENAME"), INSTANCE_KEY, "left")
     if sst is not None and mf is not None:
-        out = out.join(sst.select(*INSTANCE_KEY, "MAP_FILE_ID"), INSTANCE_KEY, "left").join(
-            mf.select("MAP_FILE_ID", F.rtrim("FILENAME").alias("MAP_FILENAME")), "MAP_FILE_ID", "left"
-        )
+        out = out.join(linked(sst, "MAP_FILE_ID", mf, "MAP_FILENAME"), INSTANCE_KEY, "left")
     return out
 
 
@@ -71,13 +72,12 @@ def instances_with_segments(
 ) -> DataFrame:
     """Instances with report file, index file and the ordered segment string."""
     base = instances(ri, rfi, rf, start, end, sst, mf)
-    segs = ris.select(*INSTANCE_KEY, "SEGMENT_NUMBER", "START_PAGE_NUMBER", "NUMBER_OF_PAGES")
+    segs = year_window(ris, "AS_OF_TIMESTAMP", start, end).select(*INSTANCE_KEY, "SEGMENT_NUMBER", "START_PAGE_NUMBER", "NUMBER_OF_PAGES")
     names = section.select(
         "DOMAIN_ID", "REPORT_SPECIES_ID", F.col("SECTION_ID").alias("SEGMENT_NUMBER"), F.rtrim("NAME").alias("NAME")
     )
-    rows = base.join(segs, INSTANCE_KEY, "left").join(
-        names, ["DOMAIN_ID", "REPORT_SPECIES_ID", "SEGMENT_NUMBER"], "left"
-    )
+    named = segs.join(names, ["DOMAIN_ID", "REPORT_SPECIES_ID", "SEGMENT_NUMBER"], "left")
+    rows = base.join(named, INSTANCE_KEY, "left")
     keys = ["REPORT_SPECIES_ID", "AS_OF_TIMESTAMP", "RPT_FILE_ID", "FILENAME", "MAP_FILENAME"]
     return segments_string(rows, keys)
 

@@ -12,7 +12,7 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, Struc
 
 from foliant.functions.text import cut_field, is_page_break, strip
 from foliant.functions.udf import once
-from foliant.scale import LINES_PER_BLOCK, running_sum
+from foliant.scale import LINES_PER_BLOCK, running, running_sum
 
 MIN_SCORE = 0.55
 # Tenths earned per position. Letters and digits swap at 7, listed signs earn 5, a blank 3.
@@ -32,7 +32,7 @@ def detect_control(lines: DataFrame, keys: Sequence[str] = ("file",)) -> DataFra
     """Per file ``asa``: one of its first five lines starts with ``1 0 -`` or blank, then a blank."""
     text = F.col("text")
     control = F.substring(text, 1, 1).isin("1", "0", "-", " ") & (F.substring(text, 2, 1) == " ")
-    return lines.groupBy(*keys).agg(F.bool_or((F.col("line_no") <= 5) & control).alias("asa"))
+    return lines.filter(F.col("line_no") <= 5).groupBy(*keys).agg(F.bool_or(control).alias("asa"))
 
 
 def detect_spool_format(lines: DataFrame, keys: Sequence[str] = ("file",)) -> DataFrame:
@@ -63,14 +63,11 @@ def paginate(
     flags = detect_control(lines, keys) if control is None else control
     marked = lines.join(flags.select(*keys, "asa"), list(keys))
     is_break = (F.col("line_no") > 1) & is_page_break(F.col("text"), F.col("asa"))
-    paged = running_sum(marked, keys, ["line_no"], is_break.cast("long"), "page", line_block())
-    paged = paged.withColumn("page", F.col("page") + 1)
-    starts = paged.groupBy(*keys, "page").agg(F.min("line_no").alias("_start"))
-    return (
-        paged.join(starts, [*keys, "page"])
-        .withColumn("line_in_page", F.col("line_no") - F.col("_start"))
-        .drop("_start")
-        .select(*lines.columns, "page", "line_in_page", "asa")
+    start = F.when(is_break | (F.col("line_no") == 1), F.col("line_no"))
+    values = {"_breaks": ("sum", is_break.cast("long")), "_start": ("max", start)}
+    paged = running(marked, keys, ["line_no"], values, line_block())
+    return paged.select(
+        *lines.columns, (F.col("_breaks") + 1).alias("page"), (F.col("line_no") - F.col("_start")).alias("line_in_page"), "asa"
     )
 
 

@@ -107,16 +107,16 @@ def dedupe_versions(
     Rows equal to the newest never count as "last kept", so after dropping them the last
     kept content is simply the content of the row before.
     """
-    blocks = version_month(version) if block is None else block
     top = df.groupBy(*keys).agg(
         F.max(version).alias("_v1"), F.max_by(F.struct(F.col(crc).alias("c")), F.col(version)).alias("_c1")
     )
-    flagged = df.join(top, list(keys))
-    newest = flagged.filter(F.col(version) == F.col("_v1")).select(*df.columns)
-    rest = flagged.filter((F.col(version) != F.col("_v1")) & ~F.col(crc).eqNullSafe(F.col("_c1.c")))
-    rest = previous_row(rest.select(*df.columns), keys, [version], F.col(crc), "_before", blocks, descending=True)
+    newest = F.col(version) == F.col("_v1")
+    other = ~newest & ~F.col(crc).eqNullSafe(F.col("_c1.c"))
+    flagged = df.join(top, list(keys)).withColumn("_newest", newest).withColumn("_other", other)
+    blocks = version_month(version) if block is None else block
+    rows = previous_row(flagged, keys, [version], F.col(crc), "_before", blocks, descending=True, among=F.col("_other"))
     changed = F.col("_before").isNull() | ~F.col(crc).eqNullSafe(F.col("_before.v"))
-    return newest.unionByName(rest.filter(changed).select(*df.columns))
+    return rows.filter(F.col("_newest") | (F.col("_other") & changed)).select(*df.columns)
 
 
 def order_versions(df: DataFrame, merged: bool = False, namespace: str = "namespace", version: str = "version") -> DataFrame:

@@ -506,6 +506,11 @@ def _(spark, sf):
     return ag.value_counts(mi.map_entry(index_files(spark, sf)))
 
 
+@query("index_value_counts_capped", f"SELECT doc_id, value, count(*) AS occurrences FROM (SELECT doc_id, value, row_number() OVER (PARTITION BY doc_id ORDER BY value, page) AS rn FROM ({_VALUES}) AS v) AS r WHERE rn <= 6 GROUP BY doc_id, value")
+def _(spark, sf):
+    return ag.value_counts(mi.map_entry(index_files(spark, sf)), 6, ["file"]).select(_doc(), "value", "occurrences")
+
+
 @query("verify_maps", f"SELECT n AS files, n AS ok, CAST(0 AS BIGINT) AS empty, CAST(0 AS BIGINT) AS errors, 2 * n AS total_segments, 2.0::DOUBLE AS average_segments FROM (SELECT count(DISTINCT doc_id) AS n FROM ({_VALUES}) AS v) AS c")
 def _(spark, sf):
     return ag.verify_maps(mi.map_header(index_files(spark, sf)))

@@ -705,16 +705,6 @@ def _(spark, sf):
     return ag.value_counts(table(spark, sf, "part").select(F.col("p_name").alias("value")))
 
 
-@query(
-    "value_counts_capped",
-    "SELECT file, value, count(*) AS occurrences FROM (SELECT l_orderkey % 50 AS file, l_returnflag AS value, row_number() OVER (PARTITION BY l_orderkey % 50 ORDER BY l_orderkey, l_linenumber, "
-    "l_partkey, l_suppkey, l_extendedprice) AS rn FROM lineitem) AS x WHERE rn <= 25 GROUP BY file, value",
-)
-def _(spark, sf):
-    rows = table(spark, sf, "lineitem").withColumn("file", F.col("l_orderkey") % 50).withColumnRenamed("l_returnflag", "value")
-    return ag.value_counts(rows, 25, ["file"], order=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"])
-
-
 @query(
     "species_summary",
     """WITH i AS (SELECT o_custkey + 1 AS s, upper('F' || CAST(o_orderkey % 700 AS VARCHAR) || '.rpt') AS f, o_orderkey % 700 % 4 <> 1 AS rpt, o_orderkey % 700 % 5 AS secs,

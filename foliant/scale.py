@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -87,23 +87,34 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "row_index") -
     )
 
 
-def running_sum(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, block: Column
+def running(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Mapping[str, tuple[str, Column]], block: Column
 ) -> DataFrame:
-    """Running sum of ``value`` per key in ``order``, cut into ``block``s.
+    """Running ``sum`` or ``max`` of several values per key in ``order``, cut into ``block``s.
 
-    ``block`` must not decrease along ``order``.
+    ``values``: output name to (function, value). ``block`` must not decrease along ``order``.
+    The blocks' totals and the rows inside the blocks share one partitioning.
     """
-    blocks = df.withColumn("_blk", block).withColumn("_v", value)
-    totals = blocks.groupBy(*keys, "_blk").agg(F.sum("_v").alias("_s"))
+    fn = {"sum": F.sum, "max": F.max}
+    blocks = df.withColumn("_blk", block).withColumns({f"_v_{n}": v for n, (_, v) in values.items()})
+    totals = blocks.groupBy(*keys, "_blk").agg(*[fn[how](f"_v_{n}").alias(f"_t_{n}") for n, (how, _) in values.items()])
     before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_blk", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_off"))
+    carried = totals.select(*keys, "_blk", *[fn[how](f"_t_{n}").over(before).alias(f"_c_{n}") for n, (how, _) in values.items()])
     inside = Window.partitionBy(*keys, "_blk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        blocks.join(offsets, [*keys, "_blk"])
-        .withColumn(name, F.col("_off") + F.sum("_v").over(inside))
-        .drop("_blk", "_v", "_off")
-    )
+
+    def merged(name: str, how: str) -> Column:
+        here, carry = fn[how](f"_v_{name}").over(inside), F.col(f"_c_{name}")
+        return here + F.coalesce(carry, F.lit(0)) if how == "sum" else F.greatest(here, carry)
+
+    out = blocks.join(carried, [*keys, "_blk"])
+    return out.withColumns({n: merged(n, how) for n, (how, _) in values.items()}).select(*df.columns, *values)
+
+
+def running_sum(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, block: Column
+) -> DataFrame:
+    """Running sum of one value, see ``running``."""
+    return running(df, keys, order, {name: ("sum", value)}, block)
 
 
 def previous_row(
@@ -114,20 +125,27 @@ def previous_row(
     name: str,
     block: Column,
     descending: bool = False,
+    among: Column | None = None,
 ) -> DataFrame:
-    """``struct(v)`` of the row before, NULL on the first row of a key (a NULL value stays visible).
+    """``struct(v)`` of the last row before (of those that satisfy ``among``), NULL when there is
+    none; a NULL value of an existing row stays visible.
 
     ``block`` must follow ``order`` (ascending, whatever ``descending`` says).
     """
-    blocks = df.withColumn("_blk", block).withColumn("_v", F.struct(value.alias("v")))
+    held = F.struct(value.alias("v"))
+    blocks = df.withColumn("_blk", block).withColumn("_v", held if among is None else F.when(among, held))
     pick = F.min_by if descending else F.max_by
-    last = blocks.groupBy(*keys, "_blk").agg(pick(F.col("_v"), F.struct(*order)).alias("_last"))
-    across = Window.partitionBy(*keys).orderBy(*_sort(["_blk"], descending))
-    carried = last.select(*keys, "_blk", F.lag("_last").over(across).alias("_carry"))
-    inside = Window.partitionBy(*keys, "_blk").orderBy(*_sort(order, descending))
+    last = blocks.groupBy(*keys, "_blk").agg(
+        pick(F.col("_v"), F.when(F.col("_v").isNotNull(), F.struct(*order))).alias("_last")
+    )
+    across = Window.partitionBy(*keys).orderBy(*_sort(["_blk"], descending)).rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select(*keys, "_blk", F.last("_last", ignorenulls=True).over(across).alias("_carry"))
+    inside = (
+        Window.partitionBy(*keys, "_blk").orderBy(*_sort(order, descending)).rowsBetween(Window.unboundedPreceding, -1)
+    )
     return (
         blocks.join(carried, [*keys, "_blk"])
-        .withColumn(name, F.coalesce(F.lag("_v").over(inside), F.col("_carry")))
+        .withColumn(name, F.coalesce(F.last("_v", ignorenulls=True).over(inside), F.col("_carry")))
         .drop("_blk", "_v", "_carry")
     )
 

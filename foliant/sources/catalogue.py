@@ -132,13 +132,12 @@ def write_per_species(
 ) -> None:
     """One folder per report species.
 
-    Rows are spread by species and a salt taken from the row's own hash, so a species
-    with a third of all rows is written by several tasks; small species end up in few files.
+    The rebalance hint lets adaptive execution cut a species with a third of all rows into
+    many tasks and pack small species together, by the sizes it sees at run time.
     """
     out = df.withColumn("species_file", species_file(F.col(name), start, end))
-    salt = F.pmod(F.xxhash64(*[c for c in df.columns]), F.lit(8))
     (
-        out.repartition(F.col("species_file"), salt)
+        out.hint("rebalance", "species_file")
         .write.partitionBy("species_file")
         .options(header=True, quote='"', escape='"', maxRecordsPerFile=max_rows_per_file)
         .mode("overwrite")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from foliant.functions.text import base_name, content_crc, resource_type, strip
 from foliant.operators.filters import versions_from_year
 from foliant.operators.windows import first_per_key
+from foliant.scale import small_side
 from foliant.sources.catalogue import read_csv_checked, write_csv
 
 SECTION_COLUMNS = ["Report_Species_Id", "Section_Id", "Start_Page", "Pages"]
@@ -62,7 +63,8 @@ def scan_spool(spark: SparkSession, path: str, recursive: bool = True, encoding:
     before = Window.partitionBy("path").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("path", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     text = F.col("value") if encoding == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
-    return raw.join(offsets, ["path", "_start"]).select(
+    # one row per split: counted, and broadcast when small, so that the text itself is not shuffled
+    return raw.join(small_side(offsets), ["path", "_start"]).select(
         base_name(F.col("path")).alias("file"),
         "path",
         (F.col("_off") + F.col("_id") - F.col("_first") + 1).cast("long").alias("line_no"),
