@@ -342,14 +342,14 @@ def page_text_all(spark, sf):
 
 @query(
     "page_text_selected",
-    f"SELECT w.doc_id, w.page, CASE WHEN p.page IS NULL THEN 'out_of_range' ELSE 'ok' END AS status, p.text FROM (SELECT DISTINCT doc_id, unnest([CAST(2 AS BIGINT), doc_id % 5 + 1]) AS page FROM documents WHERE doc_id % 3 = 0) AS w "
+    f"SELECT w.doc_id, w.page, CASE WHEN p.page IS NULL THEN 'out_of_range' ELSE 'ok' END AS status, p.text FROM (SELECT DISTINCT doc_id, unnest([CAST(2 AS BIGINT), 1 + quality + 2 * toxic]) AS page FROM labels) AS w "
     f"LEFT JOIN ({_DOC_PAGES}) AS p ON p.doc_id = w.doc_id AND p.page = w.page",
 )
 def page_text_selected(spark, sf):
     files = containers(spark, sf)
-    wanted = table(spark, sf, "documents").filter("doc_id % 3 = 0").select(
+    wanted = table(spark, sf, "labels").select(
         F.concat(F.lit("D"), F.col("doc_id").cast("string"), F.lit(".RPT")).alias("file"),
-        F.explode(F.array(F.lit(2).cast("long"), F.col("doc_id") % 5 + 1)).alias("page"),
+        F.explode(F.array(F.lit(2), F.lit(1) + F.col("quality") + F.col("toxic") * 2)).alias("page"),
     )
     return ct.page_text(files, wanted).select(_doc(), "page", "status", "text")
 
@@ -402,13 +402,13 @@ def _(spark, sf):
     return ct.report_text(ct.page_text(containers(spark, sf)), "concat").select(_doc(), "text")
 
 
-@query("readback", f"SELECT doc_id, page, 'only_a' AS status FROM ({_DOC_PAGES}) AS p WHERE page = 40")
+@query("readback", f"SELECT doc_id, page, 'only_a' AS status FROM ({_DOC_PAGES}) AS p WHERE page = 2")
 def _(spark, sf):
     files = containers(spark, sf)
     expected = table(spark, sf, "documents").select(
         F.concat(F.lit("D"), F.col("doc_id").cast("string"), F.lit(".RPT")).alias("file"), F.posexplode(_page_array()).alias("pos", "text")
     ).select("file", (F.col("pos") + 1).cast("long").alias("page"), "text")
-    parsed = ct.page_text(files).filter("page <> 40").select("file", "page", "text")
+    parsed = ct.page_text(files).filter("page <> 2").select("file", "page", "text")
     return ct.readback(parsed, expected, ["file", "page"]).select(_doc(), "page", "status")
 
 
@@ -664,6 +664,56 @@ def _(spark, sf):
     return ag.file_stats(gen.file_plan(rows, ["o_custkey", "o_orderkey"]))
 
 
+@query(
+    "archive_log",
+    f"SELECT CAST(SPECIES_ID AS VARCHAR) AS SPECIES_ID, STATUS, count(*) AS rows FROM ({_MANIFEST}) AS m GROUP BY ALL",
+    ["archive_instance"],
+)
+def _(spark, sf):
+    rows = view(spark, sf, "archive_instance")
+    named = rows.filter("trim(FILENAME) <> ''").select(
+        F.substring("FILENAME", 1, 14).alias("b"), tx.clean_year(F.col("YEAR")).alias("y"), F.substring("FILENAME", 6, 9).cast("long").alias("k")
+    )
+    listing = named.filter("k % 3 <> 0").select(F.concat(F.lit("/in/"), "b", F.lit(".TXT")).alias("path"))
+    existing = named.filter("k % 4 = 0").select(F.concat_ws("/", "y", F.concat("b", F.lit(".zip"))).alias("path"))
+    log = ingest.archive_log(rs.archive_manifest(rows, listing, existing))
+    return log.groupBy("SPECIES_ID", "STATUS").agg(F.count("*").alias("rows"))
+
+
+@query(
+    "order_versions_merged",
+    "SELECT 'ALL_NAMESPACES' AS namespace, filename, max(namespace || chr(92) || version) AS newest FROM resource_version GROUP BY filename",
+    ["resource_version"],
+)
+def _(spark, sf):
+    rows = wi.order_versions(view(spark, sf, "resource_version"), merged=True)
+    return rows.groupBy("namespace", "filename").agg(F.max("version").alias("newest"))
+
+
+@query(
+    "match_documents",
+    f"SELECT doc_id, count(*) AS match_count FROM ({_VALUES}) AS v GROUP BY doc_id",
+)
+def _(spark, sf):
+    found = mi.map_entry(index_files(spark, sf), resolve=True).withColumn("field", F.lit("ACCOUNT"))
+    docs = fs.match_documents(found)
+    complete = F.sum(F.size("matches")).cast("long").alias("match_count")
+    return docs.groupBy("file").agg(complete, F.max("match_count").alias("n")).filter("match_count = n").select(_doc(), "match_count")
+
+
+@query(
+    "object_format",
+    "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '.pdf' WHEN 1 THEN '.afp' WHEN 2 THEN '.pdf' ELSE '.bin' END AS format FROM documents",
+)
+def _(spark, sf):
+    key = F.col("doc_id") % 4
+    body = F.col("text").cast("binary")
+    content = F.when(key == 0, F.concat(F.lit(b"%PDF"), body)).when(key == 1, F.concat(F.unhex(F.lit("5A")), body)).otherwise(F.concat(F.lit(b"x"), body))
+    name = F.when(key == 2, "stmt.PDF").otherwise("stmt.txt")
+    header = F.create_map(F.lit("Object File Name"), name)
+    return table(spark, sf, "documents").select("doc_id", tx.object_format(content, header).alias("format"))
+
+
 # --- incremental ingest --------------------------------------------------------------------------
 
 

@@ -225,14 +225,14 @@ def _conv_pages(spark, sf):
 
 
 _CONV_SECTIONS = (
-    "SELECT l_orderkey % 100 AS file, l_linenumber AS section_id, l_partkey % 4 AS start_page, CAST(l_quantity AS BIGINT) % 4 AS page_count, "
-    "l_partkey * 1000 + l_suppkey AS position FROM lineitem WHERE l_orderkey < 400"
+    "SELECT l_orderkey AS file, l_linenumber AS section_id, l_partkey % 4 AS start_page, CAST(l_quantity AS BIGINT) % 4 AS page_count, "
+    "l_partkey * 1000 + l_suppkey AS position FROM lineitem"
 )
 
 
 def _conv_sections(spark, sf):
-    return table(spark, sf, "lineitem").filter("l_orderkey < 400").select(
-        (F.col("l_orderkey") % 100).alias("file"), F.col("l_linenumber").alias("section_id"), (F.col("l_partkey") % 4).alias("start_page"),
+    return table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("file"), F.col("l_linenumber").alias("section_id"), (F.col("l_partkey") % 4).alias("start_page"),
         (F.col("l_quantity").cast("long") % 4).alias("page_count"), (F.col("l_partkey") * 1000 + F.col("l_suppkey")).alias("position"),
     )
 
@@ -565,8 +565,8 @@ def _(spark, sf):
 _CORRELATED = f"""
 SELECT m.filename, m.header_valid, m.binary_segment_count, m.error, b.MAP_FILE_ID, o.DOMAIN_ID, o.REPORT_SPECIES_ID, o.MAP_FILE_ID IS NOT NULL AS has_db_entry,
   coalesce(s.n, 0) AS db_segment_count, coalesce(c.n, 0) AS section_count, m.binary_segment_count = coalesce(s.n, 0) AS segments_match
-FROM (SELECT lpad(CAST(year(o_orderdate) % 100 AS VARCHAR), 2, '0') || lpad(CAST(dayofyear(o_orderdate) AS VARCHAR), 3, '0') || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') || '.MAP' AS filename,
-   o_orderstatus <> 'P' AS header_valid, o_orderkey % 6 AS binary_segment_count, CASE WHEN o_orderkey % 13 = 0 THEN 'short' END AS error FROM orders) AS m
+FROM (SELECT rtrim(FILENAME) AS filename, MAP_FILE_ID % 10 <> 2 AS header_valid, MAP_FILE_ID % 6 AS binary_segment_count, CASE WHEN MAP_FILE_ID % 13 = 0 THEN 'short' END AS error FROM mapfile
+   UNION ALL SELECT c_name || '.MAP', false, 0, 'unknown' FROM customer) AS m
 LEFT JOIN (SELECT rtrim(FILENAME) AS filename, max(MAP_FILE_ID) AS MAP_FILE_ID FROM mapfile GROUP BY 1) AS b ON b.filename = m.filename
 LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY MAP_FILE_ID ORDER BY AS_OF_TIMESTAMP DESC, DOMAIN_ID DESC, REPORT_SPECIES_ID DESC) AS rn FROM sst_storage) AS z WHERE rn = 1) AS o ON o.MAP_FILE_ID = b.MAP_FILE_ID
 LEFT JOIN (SELECT {_KEY3}, count(*) AS n FROM report_instance_segment GROUP BY ALL) AS s ON s.DOMAIN_ID = o.DOMAIN_ID AND s.REPORT_SPECIES_ID = o.REPORT_SPECIES_ID AND s.AS_OF_TIMESTAMP = o.AS_OF_TIMESTAMP
@@ -575,14 +575,16 @@ _CORRELATED_VIEWS = ["mapfile", "sst_storage", "report_instance_segment", "secti
 
 
 def _correlated(spark, sf):
-    day = F.concat(
-        F.lpad((F.year("o_orderdate") % 100).cast("string"), 2, "0"), F.lpad(F.dayofyear("o_orderdate").cast("string"), 3, "0"),
-        F.lpad(F.col("o_orderkey").cast("string"), 9, "0"), F.lit(".MAP"),
+    ident = F.col("MAP_FILE_ID")
+    known = view(spark, sf, "mapfile").select(
+        F.rtrim("FILENAME").alias("filename"), (ident % 10 != 2).alias("header_valid"), (ident % 6).alias("binary_segment_count"),
+        F.when(ident % 13 == 0, "short").alias("error"),
     )
-    files = table(spark, sf, "orders").select(
-        day.alias("filename"), (F.col("o_orderstatus") != "P").alias("header_valid"), (F.col("o_orderkey") % 6).alias("binary_segment_count"),
-        F.when(F.col("o_orderkey") % 13 == 0, "short").alias("error"),
+    stray = table(spark, sf, "customer").select(
+        F.concat("c_name", F.lit(".MAP")).alias("filename"), F.lit(False).alias("header_valid"), F.lit(0).cast("long").alias("binary_segment_count"),
+        F.lit("unknown").alias("error"),
     )
+    files = known.unionByName(stray)
     return ins.correlate_maps(files, *_all(spark, sf, _CORRELATED_VIEWS))
 
 
@@ -708,7 +710,7 @@ def _(spark, sf):
 @query(
     "species_summary",
     """WITH i AS (SELECT o_custkey + 1 AS s, upper('F' || CAST(o_orderkey % 700 AS VARCHAR) || '.rpt') AS f, o_orderkey % 700 % 4 <> 1 AS rpt, o_orderkey % 700 % 5 AS secs,
-        CASE WHEN o_orderkey % 3 = 0 THEN 'M' || CAST(o_orderkey % 900 AS VARCHAR) END AS m, o_orderkey % 2 = 0 AS map FROM orders WHERE o_custkey % 5 <> 0),
+        CASE WHEN o_orderkey % 3 = 0 THEN 'M' || CAST(o_orderkey % 900 AS VARCHAR) END AS m, o_orderkey % 2 = 0 AS map FROM orders WHERE o_orderstatus = 'F'),
       r AS (SELECT s, f, bool_or(rpt) AS e, max(secs) AS k FROM i GROUP BY s, f)
     SELECT c_custkey + 1 AS REPORT_SPECIES_ID, c_name AS REPORT_SPECIES_NAME, (SELECT count(*) FROM i WHERE s = c_custkey + 1) AS INSTANCE_COUNT,
       coalesce(a.RPT_FILES_EXIST, 0) AS RPT_FILES_EXIST, coalesce(a.RPT_FILES_FOUND, 0) AS RPT_FILES_FOUND, coalesce(a.MAX_SECTIONS, 0) AS MAX_SECTIONS, coalesce(b.n, 0) AS MAP_FILES_FOUND
@@ -718,7 +720,7 @@ def _(spark, sf):
 def _(spark, sf):
     key = F.col("o_orderkey")
     segments = F.array_join(F.transform(F.slice(F.array(*[F.lit(f"{n}#1#1") for n in range(5)]), F.lit(1), (key % 700 % 5).cast("int")), lambda x: x), "|")
-    rows = table(spark, sf, "orders").filter("o_custkey % 5 <> 0").select(
+    rows = table(spark, sf, "orders").filter("o_orderstatus = 'F'").select(
         (F.col("o_custkey") + 1).alias("REPORT_SPECIES_ID"),
         F.concat(F.lit("x\\f"), (key % 700).cast("string"), F.lit(".rpt")).alias("FILENAME"),
         F.when(key % 700 % 4 != 1, "Y").otherwise("N").alias("RPT_FILE_EXISTS"),
@@ -884,24 +886,24 @@ def _(spark, sf):
 
 @query(
     "compare_outputs",
-    "WITH a AS (SELECT o_custkey % 200 AS k, o_orderstatus AS s FROM orders WHERE o_orderkey % 7 <> 0), b AS (SELECT o_custkey % 200 AS k, o_orderstatus AS s FROM orders WHERE o_orderkey % 11 <> 0), "
+    "WITH a AS (SELECT o_custkey AS k, o_orderstatus AS s FROM orders WHERE o_totalprice < 400000), b AS (SELECT o_custkey AS k, o_orderstatus AS s FROM orders WHERE o_totalprice >= 60000), "
     "c AS (SELECT k, s, 1 AS x, 0 AS y FROM a UNION ALL SELECT k, s, 0, 1 FROM b) SELECT k, s, CAST(sum(x) AS BIGINT) AS copies_a, CAST(sum(y) AS BIGINT) AS copies_b FROM c GROUP BY k, s HAVING sum(x) <> sum(y)",
 )
 def _(spark, sf):
-    rows = lambda m: table(spark, sf, "orders").filter(F.col("o_orderkey") % m != 0).select((F.col("o_custkey") % 200).alias("k"), F.col("o_orderstatus").alias("s"))
-    return st.compare_outputs(rows(7), rows(11))
+    rows = lambda kept: table(spark, sf, "orders").filter(kept).select(F.col("o_custkey").alias("k"), F.col("o_orderstatus").alias("s"))
+    return st.compare_outputs(rows("o_totalprice < 400000"), rows("o_totalprice >= 60000"))
 
 
 @query(
     "compare_by_key",
     "SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN 'only_a' WHEN a.o_orderkey IS NULL THEN 'only_b' ELSE 'mismatch' END AS status "
-    "FROM (SELECT o_orderkey, o_orderstatus AS s FROM orders WHERE o_orderkey % 7 <> 0) AS a FULL JOIN (SELECT o_orderkey, CASE WHEN o_custkey % 9 = 0 THEN 'X' ELSE o_orderstatus END AS s FROM orders "
-    "WHERE o_orderkey % 11 <> 0) AS b ON a.o_orderkey = b.o_orderkey WHERE a.s IS DISTINCT FROM b.s",
+    "FROM (SELECT o_orderkey, o_orderstatus AS s FROM orders WHERE o_totalprice < 400000) AS a FULL JOIN (SELECT o_orderkey, CASE WHEN o_custkey % 9 = 0 THEN 'X' ELSE o_orderstatus END AS s FROM orders "
+    "WHERE o_totalprice >= 60000) AS b ON a.o_orderkey = b.o_orderkey WHERE a.s IS DISTINCT FROM b.s",
 )
 def _(spark, sf):
     base = table(spark, sf, "orders")
-    a = base.filter("o_orderkey % 7 <> 0").select("o_orderkey", F.col("o_orderstatus").alias("s"))
-    b = base.filter("o_orderkey % 11 <> 0").select("o_orderkey", F.when(F.col("o_custkey") % 9 == 0, "X").otherwise(F.col("o_orderstatus")).alias("s"))
+    a = base.filter("o_totalprice < 400000").select("o_orderkey", F.col("o_orderstatus").alias("s"))
+    b = base.filter("o_totalprice >= 60000").select("o_orderkey", F.when(F.col("o_custkey") % 9 == 0, "X").otherwise(F.col("o_orderstatus")).alias("s"))
     return st.compare_outputs(a, b, ["o_orderkey"]).select("o_orderkey", "status")
 
 
