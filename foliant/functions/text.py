@@ -147,7 +147,7 @@ def object_header(page: Column, marker: str = "Object Header Page:") -> Column:
 
     Pass the archive vendor's whole marker line to be stricter. A repeated key keeps its last value.
     """
-    lines = F.transform(F.split(page, r"\r\n|\n|\r"), strip)
+    lines = F.transform(F.split(page, r"\R"), strip)
     lines = F.filter(lines, lambda t: t.contains(":") & ~t.contains(marker))
     pairs = F.transform(
         lines,

@@ -146,7 +146,7 @@ def parse_selection(rule: str) -> Selection:
 def ranges_of_rule(rule: Column) -> Column:
     """Page rules kept in a column (``1-5,10``) as array of (lo, hi), for one rule per row."""
     body = F.regexp_replace(rule, r"^\s*pages?\s*:", "")
-    items = F.filter(F.transform(F.split(body, ","), F.btrim), lambda i: i.rlike(r"^\d+(\s*-\s*\d+)?$"))
+    items = F.filter(F.transform(F.split(body, ","), lambda i: F.btrim(i)), lambda i: i.rlike(r"^\d+(\s*-\s*\d+)?$"))
     return F.transform(
         items,
         lambda i: F.struct(

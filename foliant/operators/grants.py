@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -154,8 +153,8 @@ def unique_section_access(stype_section: DataFrame, section: DataFrame, users: D
 
 def resolve_assignments(assign: DataFrame, users: DataFrame, groups: DataFrame) -> DataFrame:
     """Names for (USER_ID, GROUP_ID); an unknown user, then an unknown group, is an error row, not a drop."""
-    u = users.select(F.col("USER_ID"), F.col("USERNAME")).dropDuplicates(["USER_ID"])
-    g = groups.select(F.col("GROUP_ID"), F.col("GROUPNAME")).dropDuplicates(["GROUP_ID"])
+    u = users.groupBy("USER_ID").agg(F.max("USERNAME").alias("USERNAME"))
+    g = groups.groupBy("GROUP_ID").agg(F.max("GROUPNAME").alias("GROUPNAME"))
     missing = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
     error = F.when(missing("USERNAME"), F.concat(F.lit("USER_ID "), F.col("USER_ID").cast("string"), F.lit(" not found"))).when(
         missing("GROUPNAME"), F.concat(F.lit("GROUP_ID "), F.col("GROUP_ID").cast("string"), F.lit(" not found"))
@@ -344,7 +343,3 @@ def refresh_grants(
     mapped = grants_with_principals(decode_grants(df, keys), users, groups, keys)
     extended = append_rows(groups, gen_groups(unmapped_rids(mapped), groups, domain))
     return access_table(df, users, extended, keys), extended
-
-
-def union_grants(tables: Sequence[DataFrame], col: str = "RID") -> DataFrame:
-    return reduce(DataFrame.unionByName, [t.select(col) for t in tables])

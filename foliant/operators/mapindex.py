@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.sources.schemas import INSTANCE_KEY
@@ -24,6 +24,7 @@ PROBE_FROM, PROBE_TO, FALLBACK_OFFSET = 0xC0, 0xE0, 0xCD
 MAX_WIDTH = 100
 SAMPLE = 100
 PAGE_MASK = 0x7FFFFFFF
+HEAD_BYTES = 100
 
 BATCH_ROWS = 50_000
 
@@ -352,22 +353,20 @@ def index_integrity(headers: DataFrame, segments: DataFrame, catalogue: DataFram
     )
 
 
-def candidate_ids(files: DataFrame, segments: DataFrame) -> DataFrame:
-    """Numbers from 1 to 100,000 at even offsets in the first 100 bytes of every segment, as an array."""
-    spots = segments.select("file", "segment_no", "offset", "size")
-    listed = spots.groupBy("file").agg(F.collect_list(F.struct("segment_no", "offset", "size")).alias("_s"))
-    cut = lambda s: F.struct(
-        s["segment_no"].alias("segment_no"),
-        F.substring(F.col("content"), (s["offset"] + 1).cast("int"), F.least(s["size"], F.lit(104)).cast("int")).alias("b"),
-        s["size"].alias("size"),
-    )
-    rows = files.join(listed, "file").select("file", F.explode(F.transform("_s", cut)).alias("s")).select("file", "s.*")
-    offsets = F.sequence(F.lit(0), F.lit(98), F.lit(2))
-    numbers: Column = F.flatten(F.transform(offsets, lambda o: F.array(_le(F.col("b"), o, 2), _le(F.col("b"), o, 4))))
-    return rows.select("file", "segment_no", F.array_distinct(F.filter(numbers, lambda n: n.between(1, 100000))).alias("candidates"))
+def candidate_ids(files: DataFrame) -> DataFrame:
+    """Numbers from 1 to 100,000 at even offsets in the first 100 bytes of every segment, as an array.
 
+    Read in one pass with the segments, so that file contents take part in no join.
+    """
 
-def _le(b: Column, at: Column, size: int) -> Column:
-    h = F.hex(F.substring(b, at + 1, F.lit(size)))
-    swapped = F.concat(*[F.substring(h, p, 2) for p in range(2 * size - 1, 0, -2)])
-    return F.when(F.length(h) == 2 * size, F.conv(swapped, 16, 10).cast("long"))
+    def decode(data: bytes):
+        for seg in _segments(data):
+            head = data[seg["offset"] : seg["offset"] + min(seg["size"], HEAD_BYTES)]
+            short = np.frombuffer(head, "<u2", len(head) // 2).astype("int64")
+            wide = short[:-1] + (short[1:] << 16)
+            numbers = np.unique(np.concatenate([short[: HEAD_BYTES // 2], wide[: HEAD_BYTES // 2]]))
+            found = np.empty(1, dtype=object)
+            found[0] = numbers[(numbers >= 1) & (numbers <= 100_000)].tolist()
+            yield {"segment_no": np.array([seg["segment_no"]], dtype="int64"), "candidates": found}
+
+    return _per_file(files, decode, "file string, segment_no long, candidates array<long>")

@@ -740,3 +740,25 @@ def _(spark, sf):
     found = mi.found_pages(mi.resolve_pages(mi.map_entry(maps), mi.map_page_key(maps))).withColumn("file", F.regexp_replace("file", "MAP$", "RPT"))
     chosen, _skipped = fl.pages_in_sections(ct.rpt_page(files).select("file", "page"), ct.rpt_section(files), [102])
     return st.intersect_pages(found, chosen).select(_doc(), "page")
+
+
+@query(
+    "candidate_ids",
+    f"SELECT doc_id, CAST(s AS BIGINT) AS segment_no, s = 1 AS has_line_field_width FROM (SELECT DISTINCT doc_id FROM ({_VALUES}) AS v) AS d, (VALUES (0), (1)) AS t(s)",
+)
+def _(spark, sf):
+    rows = mi.candidate_ids(index_files(spark, sf))
+    known = F.size(F.array_intersect("candidates", F.array(*[F.lit(n).cast("long") for n in (2, 4, 12)]))) == 3
+    marked = F.when(F.col("segment_no") > 0, known).otherwise(F.lit(False))
+    return rows.select(_doc(), "segment_no", marked.alias("has_line_field_width"))
+
+
+@query(
+    "template_score",
+    "SELECT o_orderkey, CAST(CASE WHEN substr(o_orderpriority, 1, 1) IN ('4', '5') THEN round(1000 * (10 + 30 + 10 + 10 + 10 + 3) / 80.0) "
+    "ELSE 1000 END AS BIGINT) AS permille FROM orders",
+)
+def _(spark, sf):
+    # digit, dash, four letters: a perfect fit, but for the blank after NOT and LOW
+    score = sp.template_score(F.substring("o_orderpriority", 1, 6), F.lit("9-AAAA*  "))
+    return table(spark, sf, "orders").select("o_orderkey", F.round(score * 1000).cast("long").alias("permille"))

@@ -39,7 +39,8 @@ def scan_map(spark: SparkSession, path: str, limit: int | None = None, recursive
     if limit is None:
         return files
     first = files.select("path").orderBy("path").limit(limit)
-    return files.join(first, "path", "left_semi")
+    # bounded by the limit itself
+    return files.join(F.broadcast(first) if limit <= 100_000 else first, "path", "left_semi")
 
 
 def scan_spool(spark: SparkSession, path: str, recursive: bool = True, encoding: str = "UTF-8") -> DataFrame:

@@ -5,8 +5,11 @@ import struct
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from foliant.operators import containers as ct
 from foliant.operators import filters as fl
+from foliant.operators import instances as ins
 from foliant.operators import mapindex as mi
 from foliant.operators import search as se
 from foliant.operators import sets as st
@@ -88,6 +91,19 @@ def test_selection_rules():
             fl.parse_selection(bad)
 
 
+def test_rules_kept_in_a_column(spark):
+    df = spark.createDataFrame([("pages: 1-5,10",), ("7, x, 9 - 12",), ("",)], "rule string")
+    got = [[tuple(r) for r in row[0]] for row in df.select(fl.ranges_of_rule(F.col("rule"))).collect()]
+    assert got == [[(1, 5), (10, 10)], [(7, 7), (9, 12)], []]
+
+
+def test_segment_of_a_field_is_the_first_and_never_the_lookup(spark):
+    content = index([(4, 2, 6, [("AB", 2)]), (4, 2, 3, [("X1", 8)])])
+    segs = mi.map_segment(frame(spark, m=content))
+    assert [r["segment_no"] for r in ins.find_segment(segs, 4, 2).collect()] == [1]
+    assert ins.find_segment(segs, 0, 0).count() == 0
+
+
 def entry_rows(spark, content):
     return mi.map_entry(frame(spark, m=content)).orderBy("segment_no", "entry_no").collect()
 
@@ -146,7 +162,7 @@ def test_scans_read_real_files(spark, tmp_path):
 
 def test_candidate_ids_read_numbers_of_the_segment_head(spark):
     files = frame(spark, m=index([(4, 2, 6, [("AB", 2)])]))
-    rows = mi.candidate_ids(files, mi.map_segment(files)).collect()
+    rows = mi.candidate_ids(files).collect()
     assert {4, 2, 6} <= set(next(r["candidates"] for r in rows if r["segment_no"] == 1))
 
 
