@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import byte_bpe, token_counts
+from foliant.llm import byte_bpe, near_dedup, quality_rules, token_counts
 from foliant.llm.common import table
 from foliant.scale import scratch_path
 
@@ -39,5 +39,21 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests_of_ids(byte_bpe.encode(table(spark, sf_dir, "documents"))).drop("ids")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe)}
+def judged_documents(spark: SparkSession, docs: DataFrame, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
+    """Quality verdicts; trusted are the documents labelled good and not toxic."""
+    trusted = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0")
+    return quality_rules.judged(docs, quality_rules.log_ratios(docs, trusted), keep=keep)
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document."""
+    return judged_documents(spark, table(spark, sf_dir, "documents"), sf_dir, ["doc_id"])
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op4_quality_rules, op5_near_duplicates)}
 ORACLE: dict[str, str] = {}
