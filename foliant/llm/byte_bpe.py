@@ -165,7 +165,7 @@ def encode(
     windows = rows.where(F.length("_text") > CHUNK).withColumn("_content", F.unhex(F.sha2("_text", 256))).mapInArrow(_cut, T.StructType([*key, T.StructField("_text", T.StringType())]))
     dealt = windows.groupBy("_id", "_content", "_k").agg(F.count(F.lit(1)).alias("_copies"), F.first("_text").alias("_text"))
     found = "ends array<long>, counts array<int>, ids array<int>, text string"
-    scanned = dealt.mapInArrow(_scan(path), T.StructType([*key, T.StructField("_copies", T.LongType()), *T._parse_datatype_string(found).fields]))
+    scanned = dealt.mapInArrow(_scan(path), T.StructType([*key, T.StructField("_copies", T.LongType()), *T.StructType.fromDDL(found).fields]))
     per_doc = scanned.groupBy("_id", "_content").agg(F.collect_list(F.struct("_k", "_copies", "ends", "counts", "ids", "text")).alias("chunks"))
     long = per_doc.select("_id", "chunks").mapInArrow(_stitched(path), out)
     return short.unionByName(long).select(F.col("_id").alias(id_col), "ids")

@@ -12,8 +12,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(``node``, ``root``): the smallest node that each node of ``edges`` (``a``, ``b``) reaches.
 
     Large-star and small-star rounds: every node links its greater neighbours, then its smaller ones, to the smallest
-    node it knows; about log(n) rounds. The minimum of a node is an aggregate that is joined back, in a
-    join whose hot keys can be split. Each half round is checkpointed.
+    node it knows; about log(n) rounds. A node's minimum is an aggregate, checkpointed before it is joined back, so
+    that the join can split the links of a node that has many.
     """
     links = cut_lineage(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
@@ -21,7 +21,7 @@ def components(edges: DataFrame) -> DataFrame:
         # large star
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = cut_lineage(both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # small star
         least = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")))
         met = large.join(least, "u")

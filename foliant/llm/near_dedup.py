@@ -123,7 +123,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     kind = docs.schema[id_col].dataType
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    schema = T.StructType([T.StructField("_id", kind), *T._parse_datatype_string("content binary, n long, bands array<long>").fields])
+    schema = T.StructType([T.StructField("_id", kind), *T.StructType.fromDDL("content binary, n long, bands array<long>").fields])
     rows = written(texts.mapInArrow(_sketch, schema), "sketches")
     found = rows.where("content is not null").groupBy("content").agg(F.min("_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = written(found, "classes")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import byte_bpe, near_dedup, quality_rules, token_counts
+from foliant.llm import byte_bpe, near_dedup, quality_rules, secret_scan, substring_dedup, token_counts
 from foliant.llm.common import table
 from foliant.scale import scratch_path
 
@@ -55,5 +55,26 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op4_quality_rules, op5_near_duplicates)}
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: counts and places of the fixed patterns, and all places."""
+    found = secret_scan.secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def of_kind(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select("doc_id", of_kind("assign"), of_kind("access"), of_kind("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), of_kind("random"))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document and those that lie in repeated passages."""
+    found = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("repeats", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
+    return found.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op4_quality_rules, op5_near_duplicates, op8_secret_scan, op9_substring_dedup)}
 ORACLE: dict[str, str] = {}
