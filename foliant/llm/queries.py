@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import byte_bpe, near_dedup, quality_rules, secret_scan, substring_dedup, token_counts
+from foliant.llm import byte_bpe, decontaminate, near_dedup, quality_rules, secret_scan, substring_dedup, token_counts
 from foliant.llm.common import table
 from foliant.scale import scratch_path
 
@@ -76,5 +76,33 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op4_quality_rules, op5_near_duplicates, op8_secret_scan, op9_substring_dedup)}
-ORACLE: dict[str, str] = {}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in windows of benchmark items, and the items."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op4_quality_rules, op5_near_duplicates, op8_secret_scan, op9_substring_dedup, op10_decontamination)}
+
+_ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE = {
+    "op10_decontamination": f"""
+WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, list_slice(w, s, s + 9) AS win FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(win) AS k FROM iw),
+dw AS (SELECT doc_id, s, k, list_slice(w, s, s + k - 1) AS win FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS s FROM d, sizes)),
+occ AS (SELECT doc_id, s, k, item_id FROM dw JOIN iw USING (win)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + k)) AS p FROM occ) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM occ) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)""",
+}
