@@ -3,20 +3,57 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from foliant.llm import byte_bpe
+from foliant.llm import byte_bpe, decontaminate, near_dedup, secret_scan
 from foliant.llm.common import table, written
-from foliant.llm.queries import digests_of_ids
+from foliant.llm.queries import digests_of_ids, judged_documents
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules."""
+    return judged_documents(spark, docs, sf_dir).where("kept").select(*docs.columns)
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the one with the smallest id.
+
+    Rows that share id and text are one document. An id with several texts stays if one of them does; rows without an
+    id stay, one of each text.
+    """
+    verdicts = near_dedup.near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    left = docs.join(verdicts.where(~F.col("kept")), "doc_id", "left_anti").withColumn("_content", F.xxhash64("text"))
+    return left.dropDuplicates(["doc_id", "_content"]).select(*docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of a benchmark item."""
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0")
+    gone = found.select(F.col("doc_id").alias("_of"), F.col("content").alias("_content")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_of")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_content"))
+    return docs.join(gone, same, "left_anti")
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets masked and ``n_chars`` counted anew."""
+    masked = secret_scan.redacted(docs)
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of what is left, and the digest of the bytes they decode to."""
+    """Byte-level BPE ids of what is left, and the digests of them and of the bytes they decode to."""
     return digests_of_ids(byte_bpe.encode(docs))
 
 
-STAGES = [("encode", encode)]
+STAGES = [
+    ("quality rules", quality),
+    ("near duplicates", deduplicate),
+    ("decontamination", decontaminated),
+    ("secret scans", mask_secrets),
+    ("byte-level BPE", encode),
+]
 
-#: The named methods hash and sketch in ways that SQL cannot repeat; tests/llm compares with brute force.
+#: The quality rules and the BPE stage cannot be said in SQL; tests/llm compares with brute force.
 ORACLE_SQL = None
 
 
@@ -24,7 +61,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; each one's rows are written and read again as the next one's documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

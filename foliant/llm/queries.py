@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import byte_bpe, decontaminate, near_dedup, quality_rules, secret_scan, substring_dedup, token_counts
+from foliant.llm import byte_bpe, decontaminate, near_dedup, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, token_counts, token_files
 from foliant.llm.common import table
 from foliant.scale import scratch_path
 
 #: Tokens of a training context; longer documents are marked.
 TOKEN_LIMIT = 4096
+#: Bytes of text in a shard: one range read of an object store. Raise it for archives that are read as a whole.
+SHARD_BYTES = 1 << 20
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,6 +41,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests_of_ids(byte_bpe.encode(table(spark, sf_dir, "documents"))).drop("ids")
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard of every document, with what the shard holds."""
+    return sharding.shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
 def judged_documents(spark: SparkSession, docs: DataFrame, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """Quality verdicts; trusted are the documents labelled good and not toxic."""
     trusted = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0")
@@ -55,6 +62,26 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as it is read back from the token files that this run writes."""
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path)
+    found = token_files.read_token_files(spark, path).withColumn("n_tokens", F.size("ids").cast("long"))
+    return token_files.checksums(found)
+
+
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels as grades: 0 junk, 1 fluent but toxic, 2 good."""
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
+    return table(spark, sf_dir, "labels").select("doc_id", grade.alias("grade"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and selection of every document, by a model of its labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_classifier.graded(docs, *quality_classifier.trained(docs, ratings(spark, sf_dir)), keep=["doc_id"])
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document: counts and places of the fixed patterns, and all places."""
     found = secret_scan.secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -89,11 +116,43 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_byte_bpe, op4_quality_rules, op5_near_duplicates, op8_secret_scan, op9_substring_dedup, op10_decontamination)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_counts,
+        op2_byte_bpe,
+        op3_sharding,
+        op4_quality_rules,
+        op5_near_duplicates,
+        op6_token_files,
+        op7_quality_classifier,
+        op8_secret_scan,
+        op9_substring_dedup,
+        op10_decontamination,
+    )
+}
 
 _ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
 ORACLE = {
+    "op3_sharding": f"""
+WITH k AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes, CAST('0x' || substr(sha256(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT) AS h FROM documents),
+p AS (SELECT doc_id, n_bytes, depth, h >> (60 - depth) AS node FROM (SELECT *, unnest(range(0, 41)) AS depth FROM k)),
+t AS (SELECT depth, node, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes, count(*) AS shard_rows FROM p GROUP BY ALL),
+f AS (SELECT p.doc_id, p.n_bytes, p.depth, p.node, t.shard_bytes, t.shard_rows FROM p JOIN t USING (depth, node) WHERE t.shard_bytes <= {SHARD_BYTES} OR t.shard_rows = 1)
+SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(node), CAST(depth AS INTEGER), '0') END AS shard, CAST(depth AS INTEGER) AS depth, shard_bytes, shard_rows
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY depth) AS r FROM f) WHERE r = 1""",
+    "op9_substring_dedup": f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+r AS (SELECT doc_id, s, array_to_string(list_slice(w, s, s + 34), ' ') AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS s FROM d WHERE len(w) >= 35)),
+twice AS (SELECT run FROM r GROUP BY run HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 35)) AS p FROM r SEMI JOIN twice USING (run)),
+words AS (SELECT doc_id, w[p] AS word, p FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)""",
     "op10_decontamination": f"""
 WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
 i AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark),
