@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +23,8 @@ SHINGLE, PERCENT = 5, 75
 SLOTS, BAND = 128, 4
 #: Elements whose permutations are held at once (SLOTS bytes each).
 BLOCK = 100_000
+#: Shingles of the members of a bucket that meet in one block.
+BLOCK_SHINGLES = 1 << 20
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
@@ -95,16 +98,20 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(digests, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["content", "shingles"])
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those pairs (``a``, ``b`` of contents) that share enough of their whole sets."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("content")).distinct().join(classes, "content").select("rep").distinct()
+def _sets_of(contents: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Whole shingle sets of the given contents."""
+    needed = contents.distinct().join(classes, "content").select("rep").distinct()
     # checked by count; beyond it the texts are joined by a shuffle
     chosen = texts.join(small_side(needed.withColumnRenamed("rep", "_id"), max_rows=500_000), "_id", "left_semi")
-    sets = written(chosen.select("_text").mapInArrow(_sets, "content binary, shingles array<long>").dropDuplicates(["content"]), "shingles")
+    return written(chosen.select("_text").mapInArrow(_sets, "content binary, shingles array<long>").dropDuplicates(["content"]), "shingles")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those pairs (``a``, ``b`` of contents) that share enough of their whole sets."""
     left, right = sets.toDF("a", "_left"), sets.toDF("b", "_right")
     both = F.size(F.array_intersect("_left", "_right"))
     enough = F.lit(100) * both >= F.lit(PERCENT) * (F.size("_left") + F.size("_right") - both)
-    return pairs.join(left, "a").join(right, "b").where(enough).select("a", "b")
+    return cut_lineage(pairs.join(left, "a").join(right, "b").where(enough).select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -112,9 +119,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     1. Rows with equal shingle sets are one class, so copies cost one row each and are never paired.
     2. Classes that share a band of their SuperMinHash signature are candidates. Each bucket's members are confirmed
-       against its smallest member, and components are formed; then only members of one bucket that are still in
-       different components are confirmed against each other, so a large group of near copies costs a row for each
-       member, not one for each pair, and no link between components is left out.
+       against its smallest member, and components are formed. Only members of a bucket that still holds several
+       components go on: blocks of them meet in tasks that count shared shingles by matrix products and return one
+       link between two components. So a large group of near copies costs a row for each member and no task more than
+       two blocks; pairs are never rows, and no link between components is left out.
     3. A link is confirmed on the whole sets: 100 * shared >= 75 * union.
 
     Null, empty and blank texts have no set and are their own component. Equal rows come back as often as they went
@@ -136,24 +144,68 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = written(buckets.join(pivots, "key").select("key", "content", "rep", "n", "pivot"), "buckets")
     star = shared.select(F.col("content").alias("a"), F.col("pivot.content").alias("b"), "n", F.col("pivot.n").alias("m")).where("a <> b").where(alike).select("a", "b").distinct()
     names = classes.select("content", F.struct("rep", "content").alias("node"))
-    first = cut_lineage(_verified(cut_lineage(star), classes, texts))
-    roots = _roots(first, names)
-    # members of one bucket that are not connected yet
-    placed = shared.join(roots, "content", "left").withColumn("root", F.coalesce("root", F.struct("rep", "content")))
-    placed = cut_lineage(placed.select("key", "content", "n", "root", F.col("pivot.content").alias("pivot")))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    mixed = cut_lineage(mixed)
-    open_rows = cut_lineage(placed.join(mixed, "key", "left_semi"))
-    other = open_rows.select("key", F.col("content").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
-    apart = open_rows.withColumnRenamed("content", "a").join(other, "key").where("root < other and a <> pivot and b <> pivot").where(alike)
-    rest = cut_lineage(apart.select("a", "b").distinct())
-    second = cut_lineage(_verified(rest, classes, texts))
-    roots = cut_lineage(_roots(first.unionByName(second), names))
+    star = cut_lineage(star)
+    links = _confirmed(star, _sets_of(star.select(F.explode(F.array("a", "b")).alias("content")), classes, texts))
+    roots = _roots(links, names)
+    apart = _apart(shared.select("key", "content", "n", F.struct("rep", "content").alias("own")), roots)
+    sets = _sets_of(apart.select("content"), classes, texts)
+    found = apart.join(sets, "content").groupBy("key", "i", "j").applyInArrow(_block_links, "a binary, b binary")
+    links = cut_lineage(links.unionByName(found.distinct()))
+    roots = cut_lineage(_roots(links, names))
     result = cut_lineage(classes.select("content", "rep").join(roots, "content", "left").select("content", F.coalesce("root.rep", "rep").alias("component_id")))
     out = rows.select("_id", "content", "n").join(result, "content", "left").withColumn("component_id", F.coalesce("component_id", "_id"))
     return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", (F.col("_id") == F.col("component_id")).alias("kept"))
 
 
+def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, once for each pair of blocks (``i``, ``j``) they are in.
+
+    Two members of a bucket are apart only after they were compared, so buckets of two are done.
+    """
+    placed = cut_lineage(members.join(roots, "content", "left").withColumn("root", F.coalesce("root", "own")))
+    buckets = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members"), F.sum("n").alias("total"))
+    mixed = cut_lineage(buckets.where("low <> high and members > 2").select("key", F.ceil(F.col("total") / BLOCK_SHINGLES).alias("blocks")))
+    own = F.pmod(F.xxhash64("content"), F.col("blocks"))
+    dealt = placed.join(mixed, "key").withColumn("block", own).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return cut_lineage(dealt.select("key", "content", F.col("root.content").alias("root"), "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j")))
+
+
+def _block_links(members: pa.Table) -> pa.Table:
+    """One link for each two components that have one between the members of two blocks of a bucket, or of one."""
+    members = members.combine_chunks()
+    content, root, block = (np.array(members[c].to_pylist(), object) for c in ("content", "root", "block"))
+    lists = members["shingles"].combine_chunks()
+    sizes = pa.compute.list_value_length(lists).to_numpy()
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    _, shingle, times = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    common = times[shingle] > 1
+    order = np.argsort(shingle[common], kind="stable")
+    owner, shingle = owner[common][order], np.unique(shingle[common][order], return_inverse=True)[1]
+    component = np.unique(root.astype("S"), return_inverse=True)[1] if len(root) else np.zeros(0, int)
+    if members["i"][0].as_py() == members["j"][0].as_py():
+        # one block: members of its largest component need no comparison among themselves
+        left, right = np.flatnonzero(component != np.bincount(component).argmax()), np.arange(len(sizes))
+    else:
+        left, right = np.flatnonzero(block == members["i"][0].as_py()), np.flatnonzero(block == members["j"][0].as_py())
+    shared = np.zeros((len(left), len(right)), np.float32)
+    row_of, column_of = np.full(len(sizes), -1), np.full(len(sizes), -1)
+    row_of[left], column_of[right] = np.arange(len(left)), np.arange(len(right))
+    step = max(64, 4_000_000 // max(len(sizes), 1))
+    for low in range(0, int(shingle.max()) + 1 if len(shingle) else 0, step):
+        a, b = np.searchsorted(shingle, [low, low + step])
+        who, what = owner[a:b], shingle[a:b] - low
+        one, two = np.zeros((len(left), step), np.float32), np.zeros((len(right), step), np.float32)
+        one[row_of[who[row_of[who] >= 0]], what[row_of[who] >= 0]] = 1
+        two[column_of[who[column_of[who] >= 0]], what[column_of[who] >= 0]] = 1
+        shared += one @ two.T
+    union = sizes[left][:, None] + sizes[right][None, :] - shared
+    x, y = np.nonzero((100 * shared >= PERCENT * union) & (component[left][:, None] != component[right][None, :]))
+    x, y = left[x], right[y]
+    # of all links between two components, the first
+    first = np.unique(np.stack([component[x], component[y]]), axis=1, return_index=True)[1] if len(x) else []
+    return pa.table({"a": pa.array([content[i] for i in x[first]], pa.binary()), "b": pa.array([content[i] for i in y[first]], pa.binary())})
+
+
 def _roots(links: DataFrame, names: DataFrame) -> DataFrame:
     """(``content``, ``root``) of all linked classes; a node is (smallest id, content), so the root has the smallest id."""
     a, b = names.toDF("a", "na"), names.toDF("b", "nb")

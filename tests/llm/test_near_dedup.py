@@ -82,6 +82,17 @@ def test_equals_all_pairs(spark, seed):
     assert found(spark, rows) == brute(rows)
 
 
+def test_blocks_of_a_bucket(spark, monkeypatch):
+    """Groups of near copies around the threshold, in blocks of few members."""
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 300)
+    rng = random.Random(9)
+    base = [f"v{rng.randrange(5000)}" for _ in range(80)]
+    texts = [t for edits in (1, 2, 3, 4) for t in variants(rng, base, 25, edits)]
+    half = next(variants(rng, base, 1, 5)).split(" ")
+    rows = list(enumerate(texts + list(variants(rng, half, 30, 2))))
+    assert found(spark, rows) == brute(rows)
+
+
 def test_given_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
