@@ -26,7 +26,6 @@ PAGE_COUNT_AT, SECTION_COUNT_AT, PACKED_END_AT, OBJECT_COUNT_AT = 0x1D4, 0x1E4,
 PAGE_ROW, OBJECT_ROW, SECTION_ROW = 24, 16, 12
 MARKER_BYTES = 13
 NEAR_BYTES = 4096
-DEFAULT_SECTIONS = 1000
 SLACK = 64
 PAGES_PER_BLOCK = 512
 PAGES_TO_BROADCAST = 1_000_000
@@ -110,7 +109,8 @@ def section_array() -> Column:
     """Sections of a file: near the end of the packed data first, else the whole file is searched."""
     packed_end = _header_number(PACKED_END_AT, 0x1F0)
     declared = _header_number(SECTION_COUNT_AT, 0x1F0)
-    count = F.when(declared > 0, declared).otherwise(DEFAULT_SECTIONS)
+    # without a declared count, the rows go on to an empty one, the end mark or the end of the file
+    count = F.when(declared > 0, declared).otherwise(F.floor(F.col("length") / SECTION_ROW))
     start = F.greatest(packed_end - 16, F.lit(0))
     near_table = _let(
         byte_find(_slice(F.col("content"), start, F.lit(NEAR_BYTES).cast("long")), "SECTIONHDR"),
@@ -118,6 +118,10 @@ def section_array() -> Column:
             (packed_end > 0) & (found >= 0), _slice(F.col("content"), start + found + MARKER_BYTES, count * SECTION_ROW)
         ),
     )
+    near_table = _let(
+        near_table,
+        lambda t: F.when((declared > 0) | (byte_find(t, "ENDDATA") < 0), t).otherwise(_slice(t, F.lit(0).cast("long"), byte_find(t, "ENDDATA").cast("long"))),
+    )
     near = _let(
         _rows(near_table, SECTION_ROW, count, _triplet),
         lambda rows: _let(

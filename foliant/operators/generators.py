@@ -11,9 +11,6 @@ from foliant.operators.sets import next_ids
 from foliant.operators.windows import assign_class
 from foliant.scale import global_index
 
-# Templates of plain text files.
-TEXT_TEMPLATES = ["FRX16.txt", "CFSUL003.txt"]
-
 
 def gen_users(users: DataFrame, n: int, domain: int = 1) -> DataFrame:
     """``n`` test users with ids after max + 1000."""
@@ -55,13 +52,13 @@ def gen_assignments(
     return chosen.select(F.lit(domain).alias("SECURITYDOMAIN_ID"), "USER_ID", "GROUP_ID", F.lit(0).alias("FLAGS"))
 
 
-def file_plan(instances: DataFrame, order: Sequence[str], seed: int = 0) -> DataFrame:
+def file_plan(instances: DataFrame, order: Sequence[str], templates: Sequence[str], seed: int = 0) -> DataFrame:
     """Files per instance by round-robin class: 0 gives TXT and AFP, 1-2 TXT and PDF, 3-9 TXT only
-    from one of two templates."""
+    from one of the text ``templates``."""
     rows = assign_class(instances, order)
     pick = F.element_at(
-        F.array(*[F.lit(t) for t in TEXT_TEMPLATES]),
-        (F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in order]), F.lit(len(TEXT_TEMPLATES))) + 1).cast("int"),
+        F.array(*[F.lit(t) for t in templates]),
+        (F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in order]), F.lit(len(templates))) + 1).cast("int"),
     )
     file = lambda kind, source: F.struct(F.lit(kind).alias("file_type"), source.alias("source"))
     text = file("TXT", F.lit("test.txt"))

@@ -10,6 +10,8 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,13 +20,19 @@ from foliant.sources.schemas import INSTANCE_KEY
 # Layout of the index file.
 SIGNATURE = "MAPHDR".encode("utf-16le")
 MARKER = "**ME".encode("utf-16le")
-META_OFFSET = 24
+#: What follows a segment's marker.
+HEADER = np.dtype(
+    {
+        "names": ["segment_index", "next_offset", "page_start", "line_id", "field_id", "field_width", "entry_count"],
+        "formats": ["<u4", "<u4", "<u2", "<u2", "<u2", "<u2", "<u2"],
+        "offsets": [12, 16, 24, 26, 30, 34, 38],
+        "itemsize": 48,
+    }
+)
 LOOKUP_OFFSET = 0xC2
-PROBE_FROM, PROBE_TO, FALLBACK_OFFSET = 0xC0, 0xE0, 0xCD
-MAX_WIDTH = 100
-SAMPLE = 100
+PROBES, FALLBACK_OFFSET = np.arange(0xC0, 0xE0), 0xCD
+LOOKUP_GAP = 4
 PAGE_MASK = 0x7FFFFFFF
-HEAD_BYTES = 100
 
 BATCH_ROWS = 50_000
 
@@ -52,53 +60,50 @@ def _number(data: bytes, at: int, size: int) -> int:
     return int.from_bytes(data[at : at + size], "little")
 
 
-def _data_offset(data: bytes, start: int, end: int, width: int) -> int:
-    """First offset whose length field equals the width and is followed by mostly printable bytes."""
-    if 0 < width <= MAX_WIDTH:
-        for probe in range(start + PROBE_FROM, min(start + PROBE_TO, end - 2)):
-            text = data[probe + 2 : probe + 2 + width]
-            if len(text) == width and _number(data, probe, 2) == width:
-                if sum(32 <= b < 127 for b in text) > width * 0.5:
-                    return probe
-    return start + FALLBACK_OFFSET
+def _data_offsets(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, widths: np.ndarray) -> np.ndarray:
+    """Where each segment's entries begin: the first probe whose length field is the width and whose text is mostly
+    printable, all probes of all segments at once."""
+    at = starts[:, None] + PROBES
+    inside = (at < ends[:, None] - 2) & (at + 2 + widths[:, None] <= len(raw)) & (widths[:, None] > 0)
+    printable = np.concatenate([[0], np.cumsum((raw >= 32) & (raw < 127))])
+    at_safe = np.where(inside, at, 0)
+    length = raw[at_safe].astype(np.int64) | raw[np.minimum(at_safe + 1, len(raw) - 1)].astype(np.int64) << 8
+    text_end = np.minimum(at_safe + 2 + widths[:, None], len(raw))
+    shown = printable[text_end] - printable[np.minimum(at_safe + 2, len(raw))]
+    fits = inside & (length == widths[:, None]) & (2 * shown > widths[:, None])
+    return starts + np.where(fits.any(axis=1), PROBES[fits.argmax(axis=1)], FALLBACK_OFFSET)
 
 
 def _segments(data: bytes) -> list[dict]:
-    marks = _markers(data)
-    out = []
-    for i, (start, end) in enumerate(zip(marks, marks[1:] + [len(data)])):
-        if start + 48 > len(data):
-            continue
-        meta = start + META_OFFSET
-        field = (lambda at: _number(data, meta + at, 2)) if i else (lambda at: 0)
-        width = field(10)
-        out.append(
-            {
-                "segment_no": i,
-                "segment_index": _number(data, start + 12, 4),
-                "offset": start,
-                "next_offset": _number(data, start + 16, 4),
-                "size": end - start,
-                "page_start": field(0),
-                "line_id": field(2),
-                "field_id": field(6),
-                "field_width": width,
-                "entry_count": field(14),
-                "data_offset": _data_offset(data, start, end, width) if i else start + LOOKUP_OFFSET,
-            }
-        )
-    return out
-
-
-def _values(texts: np.ndarray, width: int) -> list[str]:
-    """Stripped ASCII values of a column of fixed-width texts, decoded in one go."""
-    joined = np.ascontiguousarray(texts).tobytes().decode("ascii", "replace")
-    return [joined[i : i + width].strip() for i in range(0, len(joined), width)]
-
-
-def _entries(data: bytes, seg: dict) -> Columns | None:
+    """Headers of the segments, read together; segment 0 is the lookup and has no field."""
+    marks = np.array(_markers(data), np.int64)
+    ends = np.append(marks[1:], len(data))
+    number = np.flatnonzero(marks + HEADER.itemsize <= len(data))
+    if not len(number):
+        return []
+    raw, starts, ends = np.frombuffer(data, np.uint8), marks[number], ends[number]
+    heads = np.ascontiguousarray(raw[starts[:, None] + np.arange(HEADER.itemsize)]).view(HEADER)[:, 0]
+    cols = {n: heads[n].astype(np.int64) for n in HEADER.names}
+    for n in ("page_start", "line_id", "field_id", "field_width", "entry_count"):
+        cols[n][number == 0] = 0
+    begins = _data_offsets(raw, starts, ends, cols["field_width"])
+    cols |= {"segment_no": number, "offset": starts, "size": ends - starts, "data_offset": np.where(number == 0, starts + LOOKUP_OFFSET, begins)}
+    return [dict(zip(cols, row)) for row in zip(*(c.tolist() for c in cols.values()))]
+
+
+def _values(texts: np.ndarray, width: int) -> pa.Array:
+    """Stripped ASCII values of a column of fixed-width texts; other bytes show as the replacement character."""
+    raw = np.ascontiguousarray(texts).view(np.uint8)
+    if (raw >= 128).any():
+        joined = raw.tobytes().decode("ascii", "replace")
+        return pa.array([joined[i : i + width].strip() for i in range(0, len(joined), width)], pa.large_string())
+    places = np.arange(len(texts) + 1, dtype=np.int64) * width
+    return pc.ascii_trim_whitespace(pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(places), pa.py_buffer(raw)]))
+
+
+def _entries(data: bytes, seg: dict, signs: bool = False) -> Columns | None:
     width = seg["field_width"]
-    if not 0 < width <= MAX_WIDTH:
+    if width <= 0:
         return None
     record = np.dtype(
         {
@@ -115,17 +120,17 @@ def _entries(data: bytes, seg: dict) -> Columns | None:
     rows = rows[: broken[0]] if len(broken) else rows
     if not len(rows):
         return None
-    sample = rows["u16"][:SAMPLE]
-    keyed = len(sample) >= 3 and bool((sample % 2 == 1).all())
+    # keys are odd throughout; a page of three or more is even sooner or later
+    keyed = len(rows) >= 3 and bool((rows["u16"] % 2 == 1).all())
     values = _values(rows["text"], width)
-    keep = np.fromiter((any(map(str.isalnum, v[:5])) for v in values), bool, len(values))
-    kept = np.flatnonzero(keep)
+    shown = pc.not_equal(values, "") if signs else pc.match_substring_regex(values, r"(?s)^.{0,4}[0-9A-Za-z]")
+    kept = np.flatnonzero(shown.to_numpy(zero_copy_only=False))
     size = len(kept)
     zeros = np.zeros(size, "int64")
     return {
         **{k: np.full(size, seg[k], "int64") for k in ("segment_no", "line_id", "field_id", "field_width")},
         "entry_no": kept.astype("int64"),
-        "value": np.array(values, dtype=object)[kept],
+        "value": values.take(pa.array(kept)).to_numpy(zero_copy_only=False),
         "page": zeros if keyed else rows["u16"][kept].astype("int64"),
         "u32_key": rows["u32"][kept].astype("int64") if keyed else zeros,
         "format": np.full(size, "u32_index" if keyed else "page", dtype=object),
@@ -160,27 +165,24 @@ def _resolve(entries: Columns, keys: Columns | None) -> None:
 def _matching(entries: Columns, value: str | None, prefix: bool) -> Columns:
     if value is None:
         return entries
-    test = (lambda v: v.startswith(value)) if prefix else (lambda v: v == value)
-    hits = np.fromiter((test(v) for v in entries["value"]), bool, len(entries["value"]))
+    values = pa.array(entries["value"], pa.large_string())
+    hits = (pc.starts_with(values, value) if prefix else pc.equal(values, value)).to_numpy(zero_copy_only=False)
     return {k: v[hits] for k, v in entries.items()}
 
 
 def _lookups(data: bytes) -> Columns | None:
+    """Rows of the lookup table: segments that the file has, with a line and a field; LOOKUP_GAP other rows end it."""
     marks = _markers(data)
     if len(marks) < 2:
         return None
-    out, bad = [], 0
-    for at in range(marks[0] + LOOKUP_OFFSET, marks[1] - 4, 4):
-        segment, line, field, flags = data[at : at + 4]
-        if segment <= 20 and line > 0 and field > 0:
-            out.append((segment, line, field, flags))
-            bad = 0
-        else:
-            bad += 1
-            if bad >= 4:
-                break
-    names = ["segment", "line_id", "field_id", "flags"]
-    return dict(zip(names, np.array(out, dtype="int64").reshape(-1, len(names)).T))
+    begin, end = marks[0] + LOOKUP_OFFSET, marks[1] - 4
+    count = max(0, -(-(end - begin) // 4))
+    rows = np.frombuffer(data, np.uint8, 4 * count, begin).reshape(-1, 4).astype("int64")
+    good = (rows[:, 0] < len(marks)) & (rows[:, 1] > 0) & (rows[:, 2] > 0)
+    bad = np.concatenate([[0], np.cumsum(~good)])
+    gaps = np.flatnonzero(bad[LOOKUP_GAP:] - bad[:-LOOKUP_GAP] == LOOKUP_GAP)
+    rows = rows[: gaps[0]][good[: gaps[0]]] if len(gaps) else rows[good]
+    return dict(zip(["segment", "line_id", "field_id", "flags"], rows.T))
 
 
 def _is_index(data: bytes) -> bool:
@@ -250,9 +252,13 @@ def map_entry(
     value: str | None = None,
     prefix: bool = False,
     resolve: bool = False,
+    signs: bool = False,
 ) -> DataFrame:
     """Index entries of all segments, or of the first segment of one (line, field).
 
+    Blank values are left out, and so are values without a letter or digit in their first five characters, unless
+    ``signs`` keeps them. ``entry_no`` counts all entries, so gaps in it show how many were left out.
+
     A field asked for (by argument, or per file in an array column ``want`` of (line_id, field_id)),
     a value and ``resolve`` are handled inside the decoder: other segments are skipped, other
     values never leave the worker, and keyed entries get their page from the same file, which
@@ -272,7 +278,7 @@ def map_entry(
             named = [first[k] for k in asked if k in first]
         keys = _page_keys(data, segs) if resolve else None
         for seg in named:
-            entries = _entries(data, seg)
+            entries = _entries(data, seg, signs)
             if entries is not None:
                 entries = _matching(entries, text, prefix)
                 if resolve:
@@ -353,20 +359,20 @@ def index_integrity(headers: DataFrame, segments: DataFrame, catalogue: DataFram
     )
 
 
-def candidate_ids(files: DataFrame) -> DataFrame:
-    """Numbers from 1 to 100,000 at even offsets in the first 100 bytes of every segment, as an array.
+def candidate_ids(files: DataFrame, head_bytes: int | None = None, highest: int | None = None) -> DataFrame:
+    """Numbers from 1 to ``highest`` (all by default) at even offsets in the first ``head_bytes`` of every segment (the
+    whole segment by default), as an array.
 
     Read in one pass with the segments, so that file contents take part in no join.
     """
 
     def decode(data: bytes):
         for seg in _segments(data):
-            head = data[seg["offset"] : seg["offset"] + min(seg["size"], HEAD_BYTES)]
+            head = data[seg["offset"] : seg["offset"] + min(seg["size"], head_bytes or seg["size"])]
             short = np.frombuffer(head, "<u2", len(head) // 2).astype("int64")
-            wide = short[:-1] + (short[1:] << 16)
-            numbers = np.unique(np.concatenate([short[: HEAD_BYTES // 2], wide[: HEAD_BYTES // 2]]))
+            numbers = np.unique(np.concatenate([short, short[:-1] + (short[1:] << 16)]))
             found = np.empty(1, dtype=object)
-            found[0] = numbers[(numbers >= 1) & (numbers <= 100_000)].tolist()
+            found[0] = numbers[(numbers >= 1) & (numbers <= (highest or numbers.max(initial=0)))].tolist()
             yield {"segment_no": np.array([seg["segment_no"]], dtype="int64"), "candidates": found}
 
     return _per_file(files, decode, "file string, segment_no long, candidates array<long>")

@@ -36,13 +36,13 @@ def detect_control(lines: DataFrame, keys: Sequence[str] = ("file",)) -> DataFra
 
 
 def detect_spool_format(lines: DataFrame, keys: Sequence[str] = ("file",)) -> DataFrame:
-    """Per file ``form_feed`` or ``asa`` from its first 100 bytes: a form feed decides, else a
+    """Per file ``form_feed`` or ``asa`` from its first 100 bytes in UTF-8: a form feed decides, else a
     ``1`` in column 1 of the first line means ASA, else form feed."""
-    # 100 bytes lie in at most the first 101 lines, so the list is short
-    head = F.when(F.col("line_no") <= 101, F.struct("line_no", F.substring(F.col("text"), 1, 100).alias("t")))
-    rows = lines.filter(F.col("line_no") <= 101).groupBy(*keys).agg(F.sort_array(F.collect_list(head)).alias("_h"))
-    start = F.substring(F.array_join(F.transform("_h", lambda r: r["t"]), "\n"), 1, 100)
-    kind = F.when(start.contains("\f"), "form_feed").when(start.startswith("1"), "asa").otherwise("form_feed")
+    # 100 bytes lie in at most the first 101 lines, so the list is short; two hex digits a byte
+    start = F.hex(F.substring(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 1, 100))
+    rows = lines.filter(F.col("line_no") <= 101).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("line_no", start.alias("t")))).alias("_h"))
+    head = F.substring(F.array_join(F.transform("_h", lambda r: r["t"]), "0A"), 1, 200)
+    kind = F.when(head.rlike("^([0-9A-F]{2})*0C"), "form_feed").when(head.startswith("31"), "asa").otherwise("form_feed")
     return rows.select(*keys, kind.alias("format"))
 
 
@@ -52,8 +52,9 @@ def paginate(
     """Page number and line in page (0-based) of every line.
 
     ``dynamic`` counts page breaks (the first line never starts a second page); a number
-    means that many lines per page, control characters ignored. ``control``: per file
-    ``asa`` flag, see ``detect_control``. The running count works in line blocks, so
+    means that many lines per page, control characters ignored. A form feed inside a line
+    starts a page there: the line belongs to the page on which it begins, the next line is the
+    second of the new page. ``control``: per file ``asa`` flag, see ``detect_control``. The running count works in line blocks, so
     a file with very many lines is numbered by many tasks.
     """
     if mode != "dynamic":
@@ -64,11 +65,17 @@ def paginate(
     marked = lines.join(flags.select(*keys, "asa"), list(keys))
     is_break = (F.col("line_no") > 1) & is_page_break(F.col("text"), F.col("asa"))
     start = F.when(is_break | (F.col("line_no") == 1), F.col("line_no"))
-    values = {"_breaks": ("sum", is_break.cast("long")), "_start": ("max", start)}
+    text = F.coalesce("text", F.lit(""))
+    inner = F.length(text) - F.length(F.replace(text, F.lit("\f"))) - text.startswith("\f").cast("int")
+    values = {
+        "_breaks": ("sum", is_break.cast("long")),
+        "_start": ("max", start),
+        "_inner": ("sum_before", inner.cast("long")),
+        "_inner_start": ("max_before", F.when(inner > 0, F.col("line_no"))),
+    }
     paged = running(marked, keys, ["line_no"], values, line_block())
-    return paged.select(
-        *lines.columns, (F.col("_breaks") + 1).alias("page"), (F.col("line_no") - F.col("_start")).alias("line_in_page"), "asa"
-    )
+    page, first = F.col("_breaks") + F.col("_inner") + 1, F.greatest("_start", "_inner_start")
+    return paged.select(*lines.columns, page.alias("page"), (F.col("line_no") - first).alias("line_in_page"), "asa")
 
 
 def search_lines(lines: DataFrame, term: str, case_sensitive: bool = False, text: str = "text") -> DataFrame:
@@ -201,7 +208,8 @@ def _best(lines: list[str], templates: list[tuple[int, str]]) -> tuple[np.ndarra
 )
 def _classify(structure: pd.Series, text: pd.Series, templates: pd.Series) -> pd.Series:
     out = pd.Series([None] * len(text), index=text.index, dtype=object)
-    for _, rows in text.groupby(structure):
+    # a page without a structure has lines without a template, one without text a single empty line
+    for _, rows in text.fillna("").groupby(structure, dropna=False):
         listed = templates.loc[rows.index[0]]
         known = [(t["line_id"], _prepare(t["template"])) for t in listed] if listed is not None else []
         known = [k for k in known if k[1]]

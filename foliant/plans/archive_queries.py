@@ -67,8 +67,8 @@ def _(spark, sf):
 
 @query(
     "detect_spool_format",
-    f"SELECT file, CASE WHEN contains(head, chr(12)) THEN 'form_feed' WHEN head LIKE '1%' THEN 'asa' ELSE 'form_feed' END AS format FROM (SELECT file, "
-    f"substr(string_agg(text, chr(10) ORDER BY line_no), 1, 100) AS head FROM ({_LINES}) AS l GROUP BY file) AS h",
+    f"SELECT file, CASE WHEN regexp_matches(head, '^(..)*0C') THEN 'form_feed' WHEN head LIKE '31%' THEN 'asa' ELSE 'form_feed' END AS format FROM (SELECT file, "
+    f"left(hex(encode(string_agg(text, chr(10) ORDER BY line_no))), 200) AS head FROM ({_LINES}) AS l GROUP BY file) AS h",
 )
 def _(spark, sf):
     return sp.detect_spool_format(_lines(spark, sf))
@@ -661,7 +661,7 @@ def _(spark, sf):
     rows = table(spark, sf, "orders").select(
         "o_custkey", "o_orderkey", F.concat(F.lit("f"), F.col("o_orderkey").cast("string"), F.lit(".RPT")).alias("FILENAME"), F.year("o_orderdate").alias("YEAR")
     )
-    return ag.file_stats(gen.file_plan(rows, ["o_custkey", "o_orderkey"]))
+    return ag.file_stats(gen.file_plan(rows, ["o_custkey", "o_orderkey"], ["first.txt", "second.txt"]))
 
 
 @query(

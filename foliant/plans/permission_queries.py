@@ -18,7 +18,7 @@ _GROUP = "event_id % 260 + 1040"
 
 
 def _sid(rid):
-    return acl.sid_hex([F.lit(21).cast("long"), F.lit(1436318678), F.lit(1461800975), F.lit(2018848785), rid])
+    return acl.sid_hex([F.lit(21).cast("long"), F.lit(1), F.lit(2), F.lit(3), rid])
 
 
 def blobs(spark, sf):
@@ -110,7 +110,7 @@ def _(spark, sf):
 
 @query(
     "permission_rows",
-    f"""SELECT event_id AS RESOURCE_ID, 'S-1-5-21-1436318678-1461800975-2018848785-' || CAST(rid AS VARCHAR) AS PRINCIPAL_SID, 'USER' AS PRINCIPAL_TYPE FROM ({_RIDS}) AS r
+    f"""SELECT event_id AS RESOURCE_ID, 'S-1-5-21-1-2-3-' || CAST(rid AS VARCHAR) AS PRINCIPAL_SID, 'USER' AS PRINCIPAL_TYPE FROM ({_RIDS}) AS r
     UNION ALL SELECT event_id, 'S-1-5-32-544', 'BUILTIN_GROUP' FROM ({_BLOB_ROWS}) AS b WHERE event_type = 'error'""",
 )
 def _(spark, sf):
@@ -120,7 +120,7 @@ def _(spark, sf):
 
 @query(
     "sid_format_and_rid",
-    "SELECT event_id, 'S-1-5-21-1436318678-1461800975-2018848785-' || CAST(user_id + 1000 AS VARCHAR) AS sid, user_id + 1000 AS rid, user_id + 1000 AS rid_of_text, "
+    "SELECT event_id, 'S-1-5-21-1-2-3-' || CAST(user_id + 1000 AS VARCHAR) AS sid, user_id + 1000 AS rid, user_id + 1000 AS rid_of_text, "
     "'Domain User/Group (RID: ' || CAST(user_id + 1000 AS VARCHAR) || ')' AS sid_name FROM events",
 )
 def _(spark, sf):

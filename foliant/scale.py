@@ -21,11 +21,14 @@ LINES_PER_BLOCK = 65_536
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Only a session that does not name one (a local test) gets a temporary folder.
+    Only a local session that does not name one (a test) gets a temporary folder; on a cluster each executor would
+    write to a folder of its own, so there the setting is required.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     fallback = tempfile.mkdtemp(prefix="foliant-")
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
@@ -92,19 +95,20 @@ def running(
 ) -> DataFrame:
     """Running ``sum`` or ``max`` of several values per key in ``order``, cut into ``block``s.
 
-    ``values``: output name to (function, value). ``block`` must not decrease along ``order``.
+    ``values``: output name to (function, value); ``sum_before`` and ``max_before`` leave the row itself out. ``block`` must not decrease along ``order``.
     The blocks' totals and the rows inside the blocks share one partitioning.
     """
-    fn = {"sum": F.sum, "max": F.max}
+    fn = {"sum": F.sum, "max": F.max, "sum_before": F.sum, "max_before": F.max}
     blocks = df.withColumn("_blk", block).withColumns({f"_v_{n}": v for n, (_, v) in values.items()})
     totals = blocks.groupBy(*keys, "_blk").agg(*[fn[how](f"_v_{n}").alias(f"_t_{n}") for n, (how, _) in values.items()])
     before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     carried = totals.select(*keys, "_blk", *[fn[how](f"_t_{n}").over(before).alias(f"_c_{n}") for n, (how, _) in values.items()])
-    inside = Window.partitionBy(*keys, "_blk").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys, "_blk").orderBy(*order)
 
     def merged(name: str, how: str) -> Column:
-        here, carry = fn[how](f"_v_{name}").over(inside), F.col(f"_c_{name}")
-        return here + F.coalesce(carry, F.lit(0)) if how == "sum" else F.greatest(here, carry)
+        frame = inside.rowsBetween(Window.unboundedPreceding, -1 if how.endswith("_before") else 0)
+        here, carry = fn[how](f"_v_{name}").over(frame), F.col(f"_c_{name}")
+        return F.coalesce(here, F.lit(0)) + F.coalesce(carry, F.lit(0)) if how.startswith("sum") else F.greatest(here, carry)
 
     out = blocks.join(carried, [*keys, "_blk"])
     return out.withColumns({n: merged(n, how) for n, (how, _) in values.items()}).select(*df.columns, *values)

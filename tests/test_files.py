@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliant.operators import containers as ct
+from foliant.operators.containers import SECTION_COUNT_AT
 from foliant.operators import filters as fl
 from foliant.operators import instances as ins
 from foliant.operators import mapindex as mi
@@ -217,3 +218,25 @@ def test_readback_finds_a_changed_page(spark):
     bad = ct.readback(ct.page_text(files).select("file", "page", "text"), expected, ["file", "page"])
     assert [(r["page"], r["status"]) for r in bad.collect()] == [(1, "mismatch")]
     assert st.verdict(bad).first()["verdict"] == "FAIL"
+
+
+def test_index_without_limits_on_width_sample_and_segments(spark):
+    """Wide fields, an even number late in a segment, more than twenty segments, values of signs."""
+    wide = "w" * 200
+    late = [(f"v{i:03d}", 2 * i + 1 if i != 150 else 8) for i in range(300)]
+    segments = [(1, 1, 200, [(wide, 4)]), (2, 1, 4, late)] + [(3 + i, 1, 3, [("abc", 2), ("--+", 2), ("", 2)]) for i in range(23)]
+    data = index(segments, lookups=[(i + 1, line, field, 0) for i, (line, field, _, _) in enumerate(segments)])
+    files = spark.createDataFrame([("a", bytearray(data))], "file string, content binary")
+    entries = mi.map_entry(files).collect()
+    assert [e.value for e in entries if e.line_id == 1] == [wide]
+    assert sum(e.page > 0 for e in entries if e.line_id == 2) == 300
+    assert {r.segment for r in mi.map_lookup(files).collect()} == set(range(1, 26))
+    assert [e.value for e in entries if e.line_id == 9] == ["abc"]
+    assert [e.value for e in mi.map_entry(files, 9, 1, signs=True).collect()] == ["abc", "--+"]
+
+
+def test_sections_without_a_declared_count_are_all_read(spark):
+    data = bytearray(container(7, [b"a"] * 3, [(i + 1, 1, 1) for i in range(1500)]))
+    struct.pack_into("<I", data, SECTION_COUNT_AT, 0)
+    rows = ct.rpt_section(spark.createDataFrame([("a", data, len(data))], "file string, content binary, length long")).collect()
+    assert [r["section_id"] for r in rows] == list(range(1, 1501))

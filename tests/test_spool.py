@@ -98,14 +98,19 @@ def test_first_line_never_starts_a_second_page(spark):
     assert paged(spark, ["1a", "1b", "1c"]) == [(1, 0), (1, 1), (1, 2)]
 
 
+def test_form_feeds_inside_lines_start_pages(spark):
+    assert paged(spark, ["x\fy", "z"]) == [(1, 0), (2, 1)]
+    assert paged(spark, ["a\fb\fc", "d\fe", "\ff", "g"]) == [(1, 0), (3, 1), (5, 0), (5, 1)]
+
+
 def test_fixed_pages_ignore_control_characters(spark):
     assert paged(spark, ["\fa", "\fb", "\fc"], mode=2) == [(1, 0), (1, 1), (2, 0)]
 
 
 def test_spool_format_looks_at_the_first_hundred_bytes(spark):
-    rows = [("ff", 1, "x" * 98), ("ff", 2, "\f"), ("late", 1, "1" + "x" * 120), ("late", 2, "\f"), ("none", 1, "abc")]
+    rows = [("ff", 1, "x" * 98), ("ff", 2, "\f"), ("late", 1, "1" + "x" * 120), ("late", 2, "\f"), ("none", 1, "abc"), ("wide", 1, "1" + "é" * 70 + "\f")]
     df = spark.createDataFrame(rows, "file string, line_no long, text string")
-    assert {r["file"]: r["format"] for r in sp.detect_spool_format(df).collect()} == {"ff": "form_feed", "late": "asa", "none": "form_feed"}
+    assert {r["file"]: r["format"] for r in sp.detect_spool_format(df).collect()} == {"ff": "form_feed", "late": "asa", "none": "form_feed", "wide": "asa"}
 
 
 def test_search_is_literal_and_non_overlapping(spark):
@@ -122,3 +127,11 @@ def test_positions_give_the_first_line_with_byte_offset(spark):
     lines = spark.createDataFrame([("f", 1, "é head"), ("f", 2, "\fvalue 12"), ("f", 3, "value 12")], "file string, line_no long, text string")
     row = sp.spool_positions(["value 12", "gone"], sp.paginate(lines), eol_bytes=2).collect()
     assert [tuple(r) for r in row] == [("f", "value 12", 2, 2, 0, 9)]
+
+
+def test_pages_without_structure_or_text_keep_their_lines(spark):
+    pages = spark.createDataFrame([("f", 1, 1, "A1"), ("f", 2, None, "x\ny"), ("f", 3, 1, None)], "file string, page int, STRUCTURE_DEF_ID int, text string")
+    templates = spark.createDataFrame([(1, 5, "A9")], "STRUCTURE_DEF_ID int, LINE_ID int, TEMPLATE string")
+    rows = sp.classify_lines(pages, templates).collect()
+    assert sorted((r["page"], r["line_no"], r["text"]) for r in rows) == [(1, 1, "A1"), (2, 1, "x"), (2, 2, "y"), (3, 1, "")]
+    assert {r["LINE_ID"] for r in rows if r["page"] > 1} == {None}
