@@ -23,16 +23,23 @@ MAX_SENT = 300_000
 def words_of(text: str) -> Column:
     """Array of the words of a column, A-Z lower-cased; null has none."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    return F.regexp_extract_all(F.translate(whole, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit(WORD), F.lit(0))
+    # in ASCII, lower() changes A-Z alone and is several times as fast
+    lowered = F.when(F.octet_length(whole) == F.length(whole), F.lower(whole)).otherwise(F.translate(whole, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
 
 
-def shingles_of(words: Column, size: int) -> Column:
-    """All runs of ``size`` words, joined by a space (which no word holds), in order."""
-    joined = words
+def shingle_at(words: Column, place: Column, size: int) -> Column:
+    """``size`` words from ``place`` (0 is the first), joined by a space, which no word holds; null where they end before."""
+    parts = [F.get(words, place)]
     for i in range(1, size):
-        # ends with as many nulls as words are missing; the slice below cuts them off
-        joined = F.zip_with(joined, F.slice(words, i + 1, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.slice(joined, 1, F.greatest(F.size(words) - (size - 1), F.lit(0)))
+        parts += [F.lit(" "), F.get(words, place + i)]
+    return F.concat(*parts)
+
+
+def shingles_of(words: Column, size: int) -> Column:
+    """All runs of ``size`` words of a short array, in order."""
+    places = F.sequence(F.lit(0), F.size(words) - size)
+    return F.transform(places, lambda i: shingle_at(words, i, size))
 
 
 def item_windows(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -57,14 +64,24 @@ def contamination(
     shingles = F.when(F.col("size") == 1, shingles_of(F.col("window"), 1)).when(F.col("size") == 2, shingles_of(F.col("window"), 2)).otherwise(shingles_of(F.col("window"), 3))
     windows = cut_lineage(windows.select("window", F.size("window").alias("length"), shingles.alias("shingles"), "size"))
     sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # 1 to SHINGLE
-    wanted = small_side(windows.select(F.explode("shingles").alias("shingle")).distinct(), max_rows=MAX_SENT)
+    wanted = windows.select(F.explode("shingles").alias("shingle")).distinct()
+    wanted = small_side(wanted.unionByName(docs.sparkSession.createDataFrame([("",)], "shingle string")), max_rows=MAX_SENT)
 
+    # one pass over the texts: the places of wanted shingles, and one row for each text at the place after its last
+    # word; no word is empty, so that row's shingle is
     texts = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("content"), words_of(text_col).alias("w"))
-    n_words = texts.select("_id", "content", F.size("w").cast("long").alias("n_words"))
-    every = F.concat(*[F.transform(shingles_of(F.col("w"), s), lambda x, i: F.struct(i.alias("place"), x.alias("shingle"))) for s in sizes]) if sizes else F.array().cast("array<struct<place:int,shingle:string>>")
-    found = texts.select("_id", "content", F.size("w").alias("n"), F.explode(every).alias("at")).select("_id", "content", "n", "at.*").join(wanted, "shingle")
-    # every place of a shingle of some item, once: equal rows of the table have the same ones
-    found = written(found.distinct(), "shingle-places")
+    places = texts.select("_id", "content", "w", F.posexplode(F.concat("w", F.array(F.lit("")))).alias("place", "_word"))
+    runs = [shingle_at(F.col("w"), F.col("place"), s) for s in sizes]
+    last = F.col("place") == F.size("w")
+    if len(runs) == 1:
+        shingle = F.when(last, F.lit("")).otherwise(runs[0])
+    else:
+        shingle = F.explode(F.when(last, F.array(F.lit(""))).otherwise(F.array(*runs).cast("array<string>")))
+    at = places.select("_id", "content", F.size("w").alias("n"), "place", shingle.alias("shingle"))
+    seen = at.join(wanted, "shingle")
+    # places once each, with the number of equal rows
+    seen = written(seen.groupBy("_id", "content", "n", "place", "shingle").agg(F.count(F.lit(1)).alias("copies")), "shingle-places")
+    found = seen.where("shingle <> ''").drop("copies")
 
     rarity = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("seen"))
     ranked = windows.select("window", "length", "shingles", F.posexplode("shingles").alias("offset", "shingle")).join(rarity, "shingle")
@@ -88,6 +105,7 @@ def contamination(
     items = items.groupBy("_id", "content").agg(F.array_sort(F.collect_set("item")).alias("items"))
     result = n_hit.alias("h").join(items.alias("i"), F.col("h._id").eqNullSafe(F.col("i._id")) & (F.col("h.content") == F.col("i.content")))
     result = cut_lineage(result.select(F.col("h._id").alias("_of"), F.col("h.content").alias("_content"), "n_hit", "items"))
-    out = n_words.join(result, same_text, "left")
+    rows = seen.where("shingle = ''").select("_id", "content", F.col("n").cast("long").alias("n_words"), F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    out = rows.join(result, same_text, "left")
     none = F.array().cast("array<string>")
     return out.select(F.col("_id").alias(id_col), "content", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items"))
