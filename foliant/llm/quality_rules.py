@@ -20,6 +20,9 @@ from foliant.llm.words import Words, mix, run_hashes, text_bytes, whole_windows,
 
 #: Bytes of an n-gram; buckets of the multinomials; units of a log ratio of 1.
 GRAM, BUCKETS, SCALE = 4, 65_536, 65_536
+#: Share of the target distribution that is raw: an n-gram that no trusted text has weighs its logarithm, in a corpus
+#: of any size.
+SMOOTHING = 0.001
 #: Trusted rows that the target multinomial is fitted on: those with the lowest hash of their id.
 TRUSTED_ROWS = 20_000
 #: Mean log ratio below which a document is rejected.
@@ -118,7 +121,7 @@ def log_ratios(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id",
     """Whole-number log ratio of each bucket: trusted text against all of ``docs``.
 
     The raw counts cover every row. The target is fitted on the ``rows`` trusted ids of lowest hash, so the ids that
-    are sent to all tasks have a fixed bound. The target is smoothed by the raw distribution with one count a bucket.
+    are sent to all tasks have a fixed bound. The target is mixed with ``SMOOTHING`` of the raw distribution.
     Without a trusted row, or without text, every ratio is 0.
     """
     ids = trusted_ids.select(F.col(id_col).alias("_id")).where("_id is not null").distinct()
@@ -133,7 +136,7 @@ def log_ratios(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id",
     if not trusted.sum():
         return np.zeros(BUCKETS, np.int64)
     p_raw = (raw + 1) / (raw.sum() + BUCKETS)
-    p_trusted = (trusted + BUCKETS * p_raw) / (trusted.sum() + BUCKETS)
+    p_trusted = (1 - SMOOTHING) * trusted / trusted.sum() + SMOOTHING * p_raw
     return np.rint(np.log(p_trusted / p_raw) * SCALE).astype(np.int64)
 
 

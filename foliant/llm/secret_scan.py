@@ -27,8 +27,9 @@ LEAST_RATIO = 2.0
 #: Lengths of hexadecimal digests in common use (MD5 to SHA-512).
 DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 UUID = re.compile(r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}")
-#: A name: words in one or both cases, with digits only after a word, joined by signs.
-IDENTIFIER = re.compile(r"[-_/+=]*(?:(?:[A-Z]?[a-z]{2,}|[A-Z]{2,})+[0-9]{0,4}[-_/+=]+)*(?:[A-Z]?[a-z]{2,}|[A-Z]{2,})+[0-9]{0,4}[-_/+=]*")
+#: A name: words in one or both cases, with few digits behind a word or a sign. No part can be cut in two ways.
+_NAME = "(?:[A-Z]?[a-z]{2,}+|[A-Z]{2,}+)++[0-9]{0,4}+"
+IDENTIFIER = re.compile(f"[-_/+=]*+{_NAME}(?:[-_/+=]++(?:{_NAME}|[0-9]{{1,4}}+))*+[-_/+=]*+")
 _CLASSES = [re.compile(c) for c in ("[a-z]", "[A-Z]", "[0-9]")]
 
 
