@@ -19,6 +19,7 @@ from foliant.functions.text import object_format, object_header, strip_ext
 from foliant.functions.udf import once
 from foliant.operators.sets import compare_outputs
 from foliant.scale import ordered_concat, small_side
+from foliant.sources.ranges import read_heads, read_slices, read_tables
 
 # Layout of the container.
 BASE_OFFSET = 0xF0
@@ -55,7 +56,8 @@ def _rows(table: Column, width: int, count: Column, make: Callable[[Column, Colu
 
 
 def rpt_header(files: DataFrame) -> DataFrame:
-    """One row per file; an invalid file is flagged, not dropped. Reads the first 512 bytes only."""
+    """One row per file; an invalid file is flagged, not dropped. Of files listed without ``content`` only 512 bytes are read."""
+    files = files if "content" in files.columns else read_heads(files)
     head = F.substring("content", 1, 512)
     text = latin1(F.col("_head"))
     line = (
@@ -83,6 +85,10 @@ def rpt_header(files: DataFrame) -> DataFrame:
     )
 
 
+def _with_tables(files: DataFrame) -> DataFrame:
+    return files if "content" in files.columns else read_tables(files)
+
+
 def _valid(files: DataFrame) -> DataFrame:
     return files.filter(F.substring("content", 1, 10) == F.lit(b"RPTFILEHDR"))
 
@@ -141,8 +147,11 @@ def section_array() -> Column:
 
 
 def rpt_section(files: DataFrame) -> DataFrame:
-    """(file, species_id, position, section_id, start_page, page_count) of every section."""
-    rows = _valid(files).select("file", section_array().alias("s"), _species(F.col("content")).alias("species_id"))
+    """(file, species_id, position, section_id, start_page, page_count) of every section.
+
+    Files listed without ``content`` are read by ranges here and below, see ``sources.ranges``.
+    """
+    rows = _valid(_with_tables(files)).select("file", section_array().alias("s"), _species(F.col("content")).alias("species_id"))
     return rows.select("file", "species_id", F.explode("s").alias("s")).select("file", "species_id", "s.*")
 
 
@@ -187,7 +196,7 @@ def _page(t: Column, i: Column) -> Column:
 def rpt_page(files: DataFrame) -> DataFrame:
     """Page table rows, pages numbered from 1."""
     pages = _rows(_page_table(), PAGE_ROW, _header_number(PAGE_COUNT_AT, 0x1F0), _page)
-    return _valid(files).select("file", F.explode(pages).alias("p")).select("file", "p.*")
+    return _valid(_with_tables(files)).select("file", F.explode(pages).alias("p")).select("file", "p.*")
 
 
 def _object_table() -> Column:
@@ -210,7 +219,7 @@ def _objects() -> Column:
 
 def rpt_object(files: DataFrame) -> DataFrame:
     """Embedded object table rows."""
-    return _valid(files).select("file", F.explode(_objects()).alias("o")).select("file", "o.*")
+    return _valid(_with_tables(files)).select("file", F.explode(_objects()).alias("o")).select("file", "o.*")
 
 
 def _unpack(packed: bytes | None, size: int) -> bytes | None:
@@ -255,16 +264,23 @@ def page_text(files: DataFrame, pages: DataFrame | None = None, encoding: str =
     (8 MB) are broadcast, so file contents do not move; beyond that both sides shuffle. ``status``: ``ok``,
     ``out_of_range`` (no such page, or its bytes end beyond the file) or ``inflate_error``.
     """
-    table = _valid(files).select("file", "content", "length", _page_table().alias("_t"))
-    if pages is None:
-        count = F.floor(F.octet_length(F.coalesce("_t", F.lit(b""))) / PAGE_ROW).cast("int")
-        wanted = table.withColumn("_want", F.when(count > 0, F.sequence(F.lit(1), count)).cast("array<long>"))
-    else:
+    lists = None
+    if pages is not None:
         # distinct page numbers of one file: never more than the file has pages
         lists = pages.select("file", F.col("page").cast("long").alias("page")).distinct().groupBy("file").agg(
             F.collect_list("page").alias("_want")
         )
-        wanted = table.join(small_side(lists, PAGES_TO_BROADCAST, F.size("_want")), "file")
+        lists = small_side(lists, PAGES_TO_BROADCAST, F.size("_want"))
+    ranged = "content" not in files.columns
+    if ranged:
+        # the listing is pruned before any file is opened
+        files = read_tables(files if lists is None else files.join(lists.select("file"), "file", "left_semi"))
+    table = _valid(files).select("file", "content", "length", *(["path"] if ranged else []), _page_table().alias("_t"))
+    if lists is None:
+        count = F.floor(F.octet_length(F.coalesce("_t", F.lit(b""))) / PAGE_ROW).cast("int")
+        wanted = table.withColumn("_want", F.when(count > 0, F.sequence(F.lit(1), count)).cast("array<long>"))
+    else:
+        wanted = table.join(lists, "file")
 
     def cut(page: Column) -> Column:
         row = (page - 1) * PAGE_ROW
@@ -272,13 +288,14 @@ def page_text(files: DataFrame, pages: DataFrame | None = None, encoding: str =
         offset = F.when(known, u32(F.col("_t"), row) + BASE_OFFSET)
         size = F.when(known, u32(F.col("_t"), row + 16))
         fits = known & (offset + size <= F.col("length"))
-        return F.struct(
-            page.alias("page"),
-            size.alias("size"),
-            F.when(fits, _slice(F.col("content"), offset, size + SLACK)).alias("packed"),
-        )
-
-    slices = wanted.select("file", F.explode(F.transform("_want", cut)).alias("s")).select("file", "s.*")
+        if ranged:
+            where = [F.when(fits, offset).alias("offset"), F.when(fits, F.least(size + SLACK, F.col("length") - offset)).alias("span")]
+        else:
+            where = [F.when(fits, _slice(F.col("content"), offset, size + SLACK)).alias("packed")]
+        return F.struct(page.alias("page"), size.alias("size"), *where)
+
+    slices = wanted.select("file", *(["path"] if ranged else []), F.explode(F.transform("_want", cut)).alias("s")).select("file", *(["path"] if ranged else []), "s.*")
+    slices = read_slices(slices) if ranged else slices
     raw = slices.withColumn("_raw", inflate(F.col("packed"), F.col("size")))
     status = F.when(F.col("packed").isNull(), "out_of_range").when(F.col("_raw").isNull(), "inflate_error").otherwise("ok")
     return raw.select("file", "page", status.alias("status"), F.decode(F.col("_raw"), encoding).alias("text"))

@@ -51,7 +51,8 @@ def search_and_extract(
     """Field records of the pages on which ``field`` has ``value``.
 
     Instance, field and index entries are narrowed down first; a report file is joined only
-    when one of its pages was found, and only found pages are inflated.
+    when one of its pages was found, and only found pages are inflated. Report files may be a
+    listing (``sources.ranges.list_files``), of which only tables and found pages are read.
     """
     found = find_instances(tables, report, day)
     named = tables["FIELD"].filter(F.upper(strip(F.col("NAME"))) == field.strip().upper())

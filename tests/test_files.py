@@ -16,6 +16,7 @@ from foliant.operators import search as se
 from foliant.operators import sets as st
 from foliant.plans.encode import container, index
 from foliant.sources import files as fs
+from foliant.sources import ranges as rg
 
 
 def frame(spark, **named):
@@ -240,3 +241,26 @@ def test_sections_without_a_declared_count_are_all_read(spark):
     struct.pack_into("<I", data, SECTION_COUNT_AT, 0)
     rows = ct.rpt_section(spark.createDataFrame([("a", data, len(data))], "file string, content binary, length long")).collect()
     assert [r["section_id"] for r in rows] == list(range(1, 1501))
+
+
+def test_listed_files_are_read_by_ranges(spark, tmp_path):
+    """Same rows as from whole contents, equal names in two folders apart, and few bytes read."""
+    pages = [b"page %d " % i + bytes(range(256)) * 40 for i in range(30)]
+    for folder, species in (("a", 7), ("b", 8)):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "same.rpt").write_bytes(container(species, [bytes([species]) * 3 + p for p in pages], [(5, 1, 10), (6, 11, 20)], [b"%PDF-1.4"]))
+    (tmp_path / "short.RPT").write_bytes(b"RPTFILEHDR")
+    whole = fs.scan_rpt(spark, str(tmp_path)).withColumn("file", F.col("path"))
+    listed = rg.list_files(spark, str(tmp_path))
+    assert listed.columns == ["file", "path", "length"] and listed.count() == 3
+    for operator in (ct.rpt_header, ct.rpt_section, ct.rpt_page, ct.rpt_object):
+        assert sorted(map(tuple, operator(listed).collect()), key=repr) == sorted(map(tuple, operator(whole).collect()), key=repr)
+    wanted = listed.select("file", F.explode(F.array(*map(F.lit, (2, 29, 31)))).alias("page"))
+    for some in (None, wanted):
+        assert sorted(map(tuple, ct.page_text(listed, some, "ISO-8859-1").collect())) == sorted(map(tuple, ct.page_text(whole, some, "ISO-8859-1").collect()))
+    sizes = {r["path"]: (r["bytes_read"], r["length"]) for r in rg.read_tables(listed).collect()}
+    assert all(read <= 512 + 16 + 30 * 24 + 200 for read, _ in sizes.values())
+    # nobody wants b, so it may be gone
+    only = listed.where(F.col("path").contains("/a/")).select("file", F.lit(3).alias("page")).collect()
+    (tmp_path / "b" / "same.rpt").write_bytes(b"")
+    assert ct.page_text(listed, spark.createDataFrame(only), "ISO-8859-1").first()["status"] == "ok"
