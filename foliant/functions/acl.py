@@ -9,6 +9,7 @@ from __future__ import annotations
 import struct
 
 import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -138,21 +139,30 @@ def sid_text(blob: bytes, at: int) -> tuple[str, int] | None:
 
 @F.arrow_udf(_SID_TYPE)
 def acl_sids(blob: pa.Array) -> pa.Array:
-    """Every identifier found at any offset of the blob, with the mask in the four bytes before it."""
-    ends, spots, sids, rids, masks = [0], [], [], [], []
-    for value in blob:
-        data = value.as_py() or b""
-        at = data.find(1)
-        while 0 <= at < len(data) - 8:
-            if 0 < data[at + 1] <= 15 and (hit := sid_text(data, at)):
-                sid, last = hit
-                parts = sid.split("-")
-                spots.append(at)
-                sids.append(sid)
-                rids.append(last if len(parts) >= 8 and parts[3] == "21" else None)
-                masks.append(struct.unpack_from("<I", data, at - 4)[0] if at >= 4 else None)
-            at = data.find(1, at + 1)
-        ends.append(len(spots))
+    """Every identifier found at any offset of the blob, with the mask in the four bytes before it.
+
+    Candidates are found in the batch's one data buffer; only bytes that can begin an identifier reach Python.
+    """
+    blob = blob.cast(pa.large_binary()).fill_null(b"")
+    bounds = np.frombuffer(blob.buffers()[1], np.int64)[blob.offset : blob.offset + len(blob) + 1]
+    data = blob.buffers()[2] or pa.py_buffer(b"")
+    raw = np.frombuffer(data, np.uint8)
+    at = np.flatnonzero(raw[bounds[0] : bounds[-1]] == 1) + bounds[0]
+    row = np.searchsorted(bounds, at, side="right") - 1
+    end = bounds[row + 1]
+    near = at + 8 < end
+    at, row, end = at[near], row[near], end[near]
+    parts = raw[at + 1].astype(np.int64)
+    whole = (parts > 0) & (parts <= 15) & (at + 8 + 4 * parts <= end)
+    at, row = at[whole], row[whole]
+    ends = np.append(0, np.cumsum(np.bincount(row, minlength=len(blob))))
+    spots, sids, rids, masks = (at - bounds[row]).tolist(), [], [], []
+    view = memoryview(data)
+    for place, spot in zip(at.tolist(), spots):
+        sid, last = sid_text(view[place : place + 8 + 4 * view[place + 1]], 0)
+        sids.append(sid)
+        rids.append(last if sid.count("-") >= 7 and sid.split("-", 4)[3] == "21" else None)
+        masks.append(struct.unpack_from("<I", view, place - 4)[0] if spot >= 4 else None)
     columns = [pa.array(spots, pa.int32()), pa.array(sids, pa.string()), pa.array(rids, pa.int64()), pa.array(masks, pa.int64())]
     rows = pa.StructArray.from_arrays(columns, ["pos", "sid", "rid", "mask"])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)

@@ -77,9 +77,10 @@ def instances_with_segments(
         "DOMAIN_ID", "REPORT_SPECIES_ID", F.col("SECTION_ID").alias("SEGMENT_NUMBER"), F.rtrim("NAME").alias("NAME")
     )
     named = segs.join(names, ["DOMAIN_ID", "REPORT_SPECIES_ID", "SEGMENT_NUMBER"], "left")
-    rows = base.join(named, INSTANCE_KEY, "left")
-    keys = ["REPORT_SPECIES_ID", "AS_OF_TIMESTAMP", "RPT_FILE_ID", "FILENAME", "MAP_FILENAME"]
-    return segments_string(rows, keys)
+    # one string per instance before the files are joined, on the key that both sides are shuffled by
+    strings = segments_string(named, INSTANCE_KEY)
+    rows = base.join(strings, INSTANCE_KEY, "left").withColumn("segments", F.coalesce("segments", F.lit("##0#")))
+    return rows.select("REPORT_SPECIES_ID", "AS_OF_TIMESTAMP", "RPT_FILE_ID", "FILENAME", "MAP_FILENAME", "segments")
 
 
 def enrich_instances(

@@ -19,6 +19,7 @@ from foliant.plans.encode import container_bytes, index_bytes
 from foliant.plans.registry import query, spread, table, view
 from foliant.scale import scratch_path
 from foliant.sources import files as fs
+from foliant.sources.ranges import list_files, write_files
 from foliant.streaming import ingest
 
 # --- spool text --------------------------------------------------------------------------------
@@ -330,6 +331,31 @@ def _(spark, sf):
     return ct.rpt_section(containers(spark, sf)).select(_doc(), "section_id", "start_page", "page_count")
 
 
+def stored_containers(spark, sf):
+    """The same containers as files in the shared folder, listed by name."""
+    path = scratch_path(spark, "reports")
+    write_files(containers(spark, sf).withColumn("file", F.concat(F.lit("folder"), F.pmod(F.hash("file"), F.lit(3)).cast("string"), F.lit("/"), "file")), path)
+    return list_files(spark, path, by_name=True)
+
+
+@query("scan_rpt_header", f"SELECT doc_id, true AS valid, doc_id AS species_id, n AS page_count FROM ({_DOC_FILES}) AS f")
+def _(spark, sf):
+    return ct.rpt_header(stored_containers(spark, sf)).select(_doc(), "valid", "species_id", "page_count")
+
+
+@query("scan_rpt_section", _DOC_SECTIONS)
+def _(spark, sf):
+    return ct.rpt_section(stored_containers(spark, sf)).select(_doc(), "section_id", "start_page", "page_count")
+
+
+@query("scan_rpt_pages", f"SELECT doc_id, page, 'ok' AS status, text FROM ({_DOC_PAGES}) AS p WHERE page % 2 = 0")
+def _(spark, sf):
+    """Every second page of every file, read by ranges."""
+    files = stored_containers(spark, sf)
+    wanted = ct.rpt_page(files).select("file", "page").where("page % 2 = 0")
+    return ct.page_text(files, wanted).select(_doc(), "page", "status", "text")
+
+
 @query("rpt_page", f"SELECT doc_id, page, CAST(strlen(text) AS BIGINT) AS uncompressed_size, CAST(least(len(string_split(text, chr(10))), 65535) AS BIGINT) AS lines_per_page FROM ({_DOC_PAGES}) AS p")
 def _(spark, sf):
     return ct.rpt_page(containers(spark, sf)).select(_doc(), "page", "uncompressed_size", "lines_per_page")

@@ -48,17 +48,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Bytes (as JSON text) up to which a counted side is sent to all tasks.
+MAX_SENT_BYTES = 256 << 20
+
+
 def small_side(df: DataFrame, max_rows: int = 200_000, weight: Column | None = None) -> DataFrame:
     """Mark a join side for broadcast if, and only if, it was counted and is small.
 
     For sides that decide which large binary rows survive a join: Spark cannot know their size
     before it plans, and would shuffle the content of every file to find out. The side is
-    checkpointed, its rows (or the sum of ``weight``) are counted, and beyond ``max_rows`` it
-    stays an ordinary shuffle join.
+    checkpointed, its rows (or the sum of ``weight``) and its bytes are counted, and beyond ``max_rows``
+    or ``MAX_SENT_BYTES`` it stays an ordinary shuffle join.
     """
     side = cut_lineage(df)
     load = F.coalesce(F.sum(F.lit(1) if weight is None else weight), F.lit(0))
-    return F.broadcast(side) if side.agg(load.alias("n")).first()["n"] <= max_rows else side
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long")), F.lit(0))
+    if side.agg(load.alias("n")).first()["n"] > max_rows:
+        return side
+    return F.broadcast(side) if side.agg(size.alias("n")).first()["n"] <= MAX_SENT_BYTES else side
 
 
 def _sort(order: Sequence[str], descending: bool) -> list[Column]:

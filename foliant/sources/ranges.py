@@ -31,9 +31,13 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.[Rr][Pp][Tt]", rec
     return found.select((base_name(F.col("path")) if by_name else F.col("path")).alias("file"), "path", "length")
 
 
-def _open(uri: str):
+def _place(uri: str) -> tuple[fs.FileSystem, str]:
     uri = re.sub(r"^file:/(?!/)", "file:///", uri)
-    system, place = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+
+
+def _open(uri: str):
+    system, place = _place(uri)
     return system.open_input_file(place)
 
 
@@ -102,3 +106,19 @@ def read_slices(wanted: DataFrame) -> DataFrame:
             source.close()
 
     return wanted.select("file", "path", "page", "size", "offset", "span").mapInArrow(read, schema)
+
+
+def write_files(contents: DataFrame, path: str) -> None:
+    """Write each row's ``content`` (file, content) to a file of its own below ``path``, from the tasks; written again
+    by a retried task, a file is the same."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column("file").to_pylist(), batch.column("content").to_pylist()):
+                system, place = _place(f"{path.rstrip('/')}/{name}")
+                system.create_dir(place.rpartition("/")[0], recursive=True)
+                with system.open_output_stream(place) as f:
+                    f.write(content)
+            yield pa.record_batch([batch.column("file")], ["file"])
+
+    contents.select("file", "content").mapInArrow(write, "file string").count()
