@@ -15,12 +15,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliant.llm.common import slices, written
+from foliant.llm.common import slices, small_batches, written
 from foliant.llm.words import Words, text_bytes, whole_windows, windows
 from foliant.scale import cut_lineage, small_side
 
 #: Words of the shortest repeat that counts, and of an anchor.
 LENGTH, GRAM = 35, 8
+#: Ids, seeds and stretches that are sent to the texts if there are no more (8 to 16 bytes each, so up to 128 MB); else
+#: the texts are shuffled to them.
+MAX_IDS, MAX_SEEDS, MAX_SPANS = 4_000_000, 16_000_000, 4_000_000
+SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
 def content_of(text: bytes) -> bytes:
@@ -101,9 +105,21 @@ def merged(starts: np.ndarray) -> list[dict]:
     return [{"start": int(a), "end": int(b)} for a, b in zip(begins, ends)]
 
 
+def _several(rows: DataFrame, keys: list[str], place: list[str]) -> DataFrame:
+    """Keys that occur in two places or more; the least and the greatest hash of a place combine before the shuffle."""
+    at = F.xxhash64(*place)
+    return rows.groupBy(*keys).agg(F.min(at).alias("low"), F.max(at).alias("high")).where("low <> high").select(*keys)
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Maximal stretches of each text in place of its list of runs."""
+    for batch in batches:
+        found = [merged(x.values.to_numpy()) for x in batch.column("first")]
+        yield pa.record_batch([batch.column("short"), pa.array(found, SPANS)], ["short", "spans"])
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Number of words, repeats and kept words of each text."""
-    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     for batch in batches:
         for part in slices(batch, "_text"):
             data, offsets = text_bytes(part.column("_text"))
@@ -114,14 +130,14 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found = []
                 if entries.is_valid and len(words) >= LENGTH:
                     short = int(_short([content_of(whole[a:b])])[0])
-                    own = [e for e in entries.as_py() if e["short"] == short]
-                    copied = any(e["first"] is None for e in own)
-                    found = [{"start": 0, "end": len(words)}] if copied else merged(np.array([i for e in own for i in e["first"]], np.int64))
+                    own = [e["spans"] for e in entries.as_py() if e["short"] == short]
+                    # a copy goes as a whole
+                    found = [{"start": 0, "end": len(words)}] if None in own else [s for spans_of in own for s in spans_of]
                 counts.append(len(words))
                 spans.append(found)
                 edges = [0, *(x for s in found for x in (s["start"], s["end"])), len(words)]
                 kept.append(b" ".join(w for i in range(0, len(edges), 2) for w in words[edges[i] : edges[i + 1]]).decode())
-            columns = [pa.array(counts, pa.int64()), pa.array(spans, span), pa.array(kept, pa.string())]
+            columns = [pa.array(counts, pa.int64()), pa.array(spans, SPANS), pa.array(kept, pa.string())]
             yield pa.record_batch([part.column("_id"), *columns], ["_id", "n_words", "repeats", "kept_text"])
 
 
@@ -132,38 +148,42 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     All places of a run go, the first included; what is left is joined by single spaces.
 
     1. Texts with equal words are one content; a content of several rows is repeated as a whole.
-    2. Anchors that occur once in all contents end there. The others are seeds; only the runs around them are hashed.
-    3. A run is repeated if its (anchor, hash), 128 bits, has two different places: a least and a greatest place per
-       key, which combine before the shuffle, never pairs of places.
+    2. Anchors that occur in one place of all contents end there. The others are seeds; only the runs around them are
+       hashed.
+    3. A run is repeated if its (anchor, hash), 128 bits, has two different places. Keys are aggregated before the
+       shuffle, places are never paired.
+    4. Seeds and stretches are sent to the texts while they are few (counted), else the texts are shuffled to them.
 
     Null and empty texts have no words; texts shorter than ``LENGTH`` words stay whole, also copies of each other.
     Equal rows are copies of each other. Rows that share an id but not their words are different texts.
     """
     kind = docs.schema[id_col].dataType
-    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    texts = small_batches(docs).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     schema = T.StructType([T.StructField("_id", kind), *T.StructType.fromDDL("content binary, n long, places array<int>, anchors array<long>").fields])
     rows = written(texts.mapInArrow(_seeds, schema).where(F.col("n") >= LENGTH), "anchors")
     short = F.conv(F.substring(F.hex("content"), 1, 16), 16, -10).cast("long")
-    classes = rows.groupBy("content").agg(F.count(F.lit(1)).alias("copies"), F.min("_id").alias("_id"), F.first("places").alias("places"), F.first("anchors").alias("anchors"))
-    classes = written(classes.withColumn("short", short), "contents")
-    places = classes.select("short", F.explode(F.arrays_zip("anchors", "places")).alias("at")).select("short", F.col("at.anchors").alias("anchor"), F.col("at.places").alias("place"))
-    seeds = cut_lineage(places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))
+    rows = rows.withColumn("short", short)
+    classes = cut_lineage(rows.groupBy("content", "short").agg(F.count(F.lit(1)).alias("copies"), F.min("_id").alias("_of")))
+    # copies give the same places again, which count once
+    places = rows.select("short", F.explode(F.arrays_zip("anchors", "places")).alias("at")).select("short", F.col("at.anchors").alias("anchor"), F.col("at.places").alias("place"))
+    seeds = cut_lineage(_several(places, ["anchor"], ["short", "place"]))
     seeded = places.join(seeds, "anchor").groupBy("short").agg(F.collect_set("place").alias("places"))
-    seeded = cut_lineage(seeded.join(classes.select("short", "_id"), "short"))
+    seeded = seeded.join(classes.select("short", "_of"), "short")
     # null ids count as one id in these joins
     same = F.col("_id").eqNullSafe(F.col("_of"))
-    seeded = seeded.withColumnRenamed("_id", "_of")
-    near = texts.join(small_side(seeded.select("_of").distinct(), max_rows=500_000), same, "left_semi")
-    extended = near.join(seeded, same).select("_text", "short", "places").mapInArrow(_extend, "short long, first array<int>, anchor array<long>, run array<long>")
-    extended = written(extended, "runs")
+    seeded = cut_lineage(seeded)
+    near = texts.join(small_side(seeded.select("_of").distinct(), max_rows=MAX_IDS), same, "left_semi")
+    near = near.join(small_side(seeded, max_rows=MAX_SEEDS, weight=F.size("places") + 4), same).select("_text", "short", "places")
+    extended = written(near.mapInArrow(_extend, "short long, first array<int>, anchor array<long>, run array<long>"), "runs")
     runs = extended.select("short", F.explode(F.arrays_zip("first", "anchor", "run")).alias("at")).select("short", "at.*")
-    place = F.struct("short", "first")
-    repeated = runs.groupBy("anchor", "run").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low <> high").select("anchor", "run")
-    starts = runs.join(cut_lineage(repeated), ["anchor", "run"]).groupBy("short").agg(F.collect_set("first").alias("first"))
-    copied = rows.join(cut_lineage(classes.where("copies > 1").select("content")), "content").select("_id", short.alias("short"), F.lit(None).cast("array<int>").alias("first"))
-    single = classes.where("copies = 1").select("_id", "short").join(starts, "short").select("_id", "short", "first")
-    entries = copied.unionByName(single).groupBy(F.col("_id").alias("_of")).agg(F.collect_set(F.struct("short", "first")).alias("entries"))
-    entries = cut_lineage(entries)
+    repeated = cut_lineage(_several(runs, ["anchor", "run"], ["short", "first"]))
+    starts = runs.join(repeated, ["anchor", "run"]).groupBy("short").agg(F.collect_set("first").alias("first"))
+    spans = starts.mapInArrow(_spans, "short long, spans array<struct<start:int,end:int>>")
+    copied = rows.join(cut_lineage(classes.where("copies > 1").select("content")), "content").select(F.col("_id").alias("_of"), "short", F.lit(None).cast("array<struct<start:int,end:int>>").alias("spans"))
+    single = classes.where("copies = 1").select("_of", "short").join(spans, "short").select("_of", "short", "spans")
+    entries = copied.unionByName(single).groupBy("_of").agg(F.collect_set(F.struct("short", "spans")).alias("entries"))
+    load = F.aggregate("entries", F.lit(2), lambda n, e: n + 2 + F.coalesce(F.size(e["spans"]), F.lit(0)))
+    entries = small_side(entries, max_rows=MAX_SPANS, weight=load)
     out = T.StructType([T.StructField("_id", kind), *T.StructType.fromDDL("n_words long, repeats array<struct<start:int,end:int>>, kept_text string").fields])
     joined = texts.join(entries, same, "left").select("_id", "_text", "entries")
     return joined.mapInArrow(_cut, out).withColumnRenamed("_id", id_col)
