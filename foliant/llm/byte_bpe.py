@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliant.llm.common import per_process, slices
+from foliant.llm.common import per_process, slices, small_batches
 
 #: Characters that a chunk owns, and those it shares with the next one.
 CHUNK, OVERLAP = 16_384, 512
@@ -158,7 +158,7 @@ def encode(
     have no ids; equal rows come back as often as they went in; rows that share an id but not a text stay apart.
     """
     kind = docs.schema[id_col].dataType
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    rows = small_batches(docs).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     out = T.StructType([T.StructField("_id", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])
     short = rows.where(F.length("_text") <= CHUNK).mapInArrow(_whole(path), out)
     key = [T.StructField("_id", kind), T.StructField("_content", T.BinaryType()), T.StructField("_k", T.IntegerType())]

@@ -12,8 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from foliant.scale import scratch_path
 
+#: Rows of an Arrow batch of texts: with the default of 10,000, a batch and its copies take a good part of a small
+#: executor's memory.
+ARROW_ROWS = 1_000
 #: Bytes of text handled at once inside a Python task, so that numpy's temporaries stay small.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +35,14 @@ def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """The rows; from now on the session sends Python at most ``ARROW_ROWS`` of them at once (fewer, if it does so already)."""
+    key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= ARROW_ROWS:
+        conf.set(key, ARROW_ROWS)
+    return df
+
+
 def per_process(key: object, make: Callable[[], object]) -> object:
     """An object made once in each Python worker and kept for its later tasks (tokenizers, caches)."""
     held = sys.modules.setdefault("_foliant_worker", types.ModuleType("_foliant_worker")).__dict__.setdefault("held", {})

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliant.llm.common import slices
+from foliant.llm.common import slices, small_batches
 from foliant.llm.words import Words, mix, run_hashes
 
 #: Hash buckets of the features; grades are 0 .. GRADES - 1.
@@ -152,7 +152,7 @@ def trained(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_co
     """
     rated = ratings.where(F.col(grade_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.min(grade_col).cast("int").alias("_grade"))
     sample = F.broadcast(rated.orderBy(F.xxhash64("_id"), "_id").limit(rows))  # bounded by ``rows``
-    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(sample, "_id")
+    texts = small_batches(docs).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(sample, "_id")
     made = texts.mapInArrow(_featured, "_id string, grade int, index array<int>, value array<float>")
 
     def learn(batch: pd.DataFrame) -> pd.DataFrame:
@@ -184,5 +184,5 @@ def graded(
                 columns = [score, over.sum(axis=1), over[:, -1], each.argmax(axis=1).astype(np.int32), over[:, -1] >= least_tail]
                 yield pa.record_batch([*[part.column(c) for c in names], *map(pa.array, columns)], [*names, *results.names])
 
-    rows = docs.select(*names, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    rows = small_batches(docs).select(*names, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     return rows.mapInArrow(judge, T.StructType([docs.schema[c] for c in names] + results.fields))

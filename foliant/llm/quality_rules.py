@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliant.llm.common import slices
+from foliant.llm.common import slices, small_batches
 from foliant.llm.words import Words, mix, run_hashes, text_bytes, whole_windows, windows
 
 #: Bytes of an n-gram; buckets of the multinomials; units of a log ratio of 1.
@@ -126,7 +126,7 @@ def log_ratios(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id",
     """
     ids = trusted_ids.select(F.col(id_col).alias("_id")).where("_id is not null").distinct()
     sample = ids.orderBy(F.xxhash64("_id"), "_id").limit(rows).withColumn("_trusted", F.lit(True))
-    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    texts = small_batches(docs).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     flagged = texts.join(F.broadcast(sample), "_id", "left").select("_text", F.coalesce("_trusted", F.lit(False)).alias("_trusted"))
     counts = flagged.mapInArrow(_count_grams, "bucket int, raw long, trusted long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
     table = counts.toArrow()  # at most BUCKETS rows, whatever the corpus
@@ -140,13 +140,13 @@ def log_ratios(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id",
     return np.rint(np.log(p_trusted / p_raw) * SCALE).astype(np.int64)
 
 
-def _judge(weights: np.ndarray, threshold: float):
+def _judge(weights: np.ndarray, threshold: float, text: str = "_text"):
     limit = int(round(threshold * SCALE))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text"):
-                texts = part.column("_text")
+            for part in slices(batch, text):
+                texts = part.column(text)
                 m = measures(texts)
                 bucket, owner, counts = grams(texts)
                 total = _per_text(weights[bucket], np.concatenate([[0], np.cumsum(counts)]))
@@ -168,7 +168,9 @@ def judged(docs: DataFrame, weights: np.ndarray, text_col: str = "text", keep: l
     """
     results = {*MEASURES, "base_failed", "score", "kept"}
     names = [c for c in (docs.columns if keep is None else keep) if c not in results]
-    rows = docs.select(*names, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    # a text that is kept anyway is not sent twice
+    text = text_col if text_col in names else "_text"
+    rows = small_batches(docs).select(*names, *([] if text in names else [F.col(text_col).alias("_text")]))
     out = [docs.schema[c] for c in names] + [T.StructField(c, T.LongType()) for c in MEASURES]
     out += [T.StructField("base_failed", T.BooleanType()), T.StructField("score", T.DoubleType()), T.StructField("kept", T.BooleanType())]
-    return rows.mapInArrow(_judge(weights, threshold), T.StructType(out))
+    return rows.mapInArrow(_judge(weights, threshold, text), T.StructType(out))

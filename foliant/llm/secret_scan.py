@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliant.llm.byte_bpe import encoder
-from foliant.llm.common import slices
+from foliant.llm.common import slices, small_batches
 
 #: The patterns of the base, the least length of what they must find, and the order of the kinds.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -53,15 +53,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return spans + [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
 
 
-def _scan(path: str, least_ratio: float, out_col: str):
+def _scan(path: str, least_ratio: float, out_col: str, text_col: str):
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(path).whole.encode_ordinary
         for batch in batches:
-            for part in slices(batch, "_text"):
+            for part in slices(batch, text_col):
                 found = []
-                for text in part.column("_text").to_pylist():
+                for text in part.column(text_col).to_pylist():
+                    text = text or ""
                     spans = base_spans(text)
                     spans += [(m.start(), 3, m.end()) for m in RUN.finditer(text) if is_random(m[0], tokens, least_ratio)]
                     found.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(spans)])
@@ -91,8 +92,10 @@ def secrets(
     of the result is replaced by it.
     """
     names = [c for c in (docs.columns if keep is None else keep) if c != out_col]
-    rows = docs.select(*names, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    return rows.mapInArrow(_scan(path, least_ratio, out_col), T.StructType([docs.schema[c] for c in names] + [T.StructField(out_col, SPANS)]))
+    # a text that is kept anyway is not sent twice
+    text = text_col if text_col in names else "_text"
+    rows = small_batches(docs).select(*names, *([] if text in names else [F.col(text_col).alias("_text")]))
+    return rows.mapInArrow(_scan(path, least_ratio, out_col, text), T.StructType([docs.schema[c] for c in names] + [T.StructField(out_col, SPANS)]))
 
 
 def redacted(docs: DataFrame, text_col: str = "text", mask: str = "[SECRET]", **options) -> DataFrame:

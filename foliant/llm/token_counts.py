@@ -12,7 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm.common import per_process, slices
+from foliant.llm.common import per_process, slices, small_batches
+from foliant.scale import cut_lineage
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
 
@@ -67,7 +68,7 @@ def token_counts(
     (whatever their names) are not read.
     """
     spark, version = docs.sparkSession, tokenizer_version(model_path)
-    rows = docs.select(F.col(id_col).alias("_id"), F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_bytes"), normalised(text_col).alias("_text"))
+    rows = small_batches(docs).select(F.col(id_col).alias("_id"), F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_bytes"), normalised(text_col).alias("_text"))
     rows = rows.withColumn("content", F.unhex(F.sha2("_text", 256)))
 
     def stored() -> DataFrame:
@@ -77,5 +78,6 @@ def token_counts(
     misses = distinct.join(stored(), "content", "left_anti")
     misses.mapInArrow(_counter(model_path, version), CACHE_SCHEMA).write.mode("append").parquet(cache_path)
     # two runs that append at the same time may both store a count, always the same one
-    counts = stored().groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
+    # checkpointed, so that the join has a shuffle of its own on both sides and can split the copies of one text
+    counts = cut_lineage(stored().groupBy("content").agg(F.max("n_tokens").alias("n_tokens")))
     return rows.select("_id", "n_bytes", "content").join(counts, "content", "left").select(F.col("_id").alias(id_col), "n_bytes", "n_tokens")

@@ -23,18 +23,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from foliant.llm.common import per_process, slices, written
+from foliant.llm.common import per_process, slices, small_batches, written
 
 #: The id put after each document; ids of a block, at least (a block ends with a document).
 END_ID, BLOCK_IDS = 0, 65_536
 #: Fixed value: white space as the tokenizer's pattern sees it.
-_SPACE = r"\t-\r \x85\xa0  -     　"
+_SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: White space and the word after it. The pattern has a boundary between any other character and white space, so the
 #: ids of a text are those of its units one after another.
 UNIT = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 INNER = re.compile(f"[{_SPACE}].*[^{_SPACE}]", re.DOTALL)
-#: Units that a worker remembers (two such generations).
-REMEMBERED = 300_000
+#: Texts that are cut by Arrow instead: single spaces and line feeds only, none at the ends, and no mark in them.
+MARK = "\x1f"
+OTHERWISE = r"[ \n]{2}|^[ \n]|[ \n]$|[\t\x0b\x0c\r\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: Their units end before white space, and between a Latin letter and an ASCII sign, where the pattern also has a
+#: boundary always.
+CUT = r"([A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}])([!-/:-@\[-`{-~ \n])|([ \n])"
+#: Units that a worker remembers (two such generations); bytes of text whose units are made distinct together.
+REMEMBERED, TOGETHER_BYTES = 150_000, 2_000_000
 #: Units encoded in one call.
 TOGETHER = 2_000
 
@@ -73,29 +79,57 @@ class UnitEncoder:
                 self.young.update(zip(group, self._direct(group)))
         self.young.update(zip(other, self._direct(other)))
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        units = [None if any(s in t for s in self.special) else UNIT.findall(t) for t in texts]
+    def _known(self, units: list[str]) -> list[bytes]:
+        """Ids of distinct units."""
         new = []
-        for u in set().union(*(x for x in units if x)) - self.young.keys():
-            if (known := self.old.get(u)) is None:
-                new.append(u)
-            else:
-                self.young[u] = known
+        for u in units:
+            if u not in self.young:
+                if (known := self.old.get(u)) is None:
+                    new.append(u)
+                else:
+                    self.young[u] = known
         self._learn(new)
-        get = self.young.__getitem__
-        # a text with a special token in it is encoded as a whole
-        out = [np.frombuffer(self._direct([t])[0] if x is None else b"".join(map(get, x)), "<u4") for t, x in zip(texts, units)]
+        out = list(map(self.young.__getitem__, units))
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
         return out
 
+    def _pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(all ids, number of ids of each text) of plain texts."""
+        cut = pa.compute.split_pattern(pa.compute.replace_substring_regex(texts, CUT, f"\\1{MARK}\\2\\3"), MARK)
+        coded = cut.flatten().dictionary_encode()
+        table = self._known(coded.dictionary.to_pylist())
+        sizes = np.array([len(x) for x in table], np.int64)
+        tokens = pa.array(table, pa.large_binary()).take(coded.indices)
+        # the data of the taken units are the ids, one after another
+        flat = np.frombuffer(tokens.buffers()[2], "<u4") if tokens.buffers()[2] is not None else np.zeros(0, "<u4")
+        of_unit = np.concatenate([[0], np.cumsum(sizes[coded.indices.to_numpy()])]) // 4
+        ends = of_unit[np.cumsum(pa.compute.list_value_length(cut).to_numpy())]
+        return flat[: ends[-1] if len(ends) else 0], np.diff(ends, prepend=0)
+
+    def _odd(self, text: str) -> np.ndarray:
+        """Ids of any other text; one with a special token in it is encoded as a whole."""
+        if any(s in text for s in self.special):
+            return np.frombuffer(self._direct([text])[0], "<u4")
+        units = UNIT.findall(text)
+        distinct = list(dict.fromkeys(units))
+        return np.frombuffer(b"".join(map(dict(zip(distinct, self._known(distinct))).__getitem__, units)), "<u4")
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        odd = pa.compute.match_substring_regex(texts, OTHERWISE)
+        for s in self.special:
+            odd = pa.compute.or_(odd, pa.compute.match_substring(texts, s))
+        flat, counts = self._pieces(texts.filter(pa.compute.invert(odd)))
+        plain = iter(np.split(flat, np.cumsum(counts)[:-1]) if len(counts) else [])
+        return [self._odd(t.as_py()) if o else next(plain) for o, t in zip(odd.to_pylist(), texts)]
+
 
 def _encode(path: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = per_process(("units", path), lambda: UnitEncoder(path))
         for batch in batches:
-            for part in slices(batch, "_text"):
-                ids = [np.append(x, END_ID).astype(np.int32) for x in enc.encode(part.column("_text").to_pylist())]
+            for part in slices(batch, "_text", TOGETHER_BYTES):
+                ids = [np.append(x, END_ID).astype(np.int32) for x in enc.encode(part.column("_text"))]
                 yield pa.record_batch([part.column("_id"), pa.array(ids, pa.list_(pa.int32()))], ["_id", "ids"])
 
     return encode
@@ -173,7 +207,7 @@ def write_token_files(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
     tokens; null ids come first. Frequencies are counted over the whole corpus, ties go to the lower id.
     """
     kind = docs.schema[id_col].dataType
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    rows = small_batches(docs).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     encoded = written(rows.mapInArrow(_encode(model_path), T.StructType([T.StructField("_id", kind), T.StructField("ids", T.ArrayType(T.IntegerType()))])), "ids")
     seen = encoded.select("ids").mapInArrow(_counts, "token int, n long").groupBy("token").agg(F.sum("n").alias("n"))
     table = seen.toArrow().sort_by([("n", "descending"), ("token", "ascending")])  # at most one row for each id of the vocabulary

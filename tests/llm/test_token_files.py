@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
-import pytest
+import pyarrow as pa
 from hypothesis import given
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -36,7 +36,16 @@ def test_units_give_the_ids_of_whole_texts():
     direct, units = Tokenizer.from_file(MODEL), UnitEncoder(MODEL)
     for _ in range(2):  # the second time from memory
         texts = strange_texts(3000)
-        assert [x.tolist() for x in units.encode(texts)] == [direct.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in units.encode(pa.array(texts))] == [direct.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_plain_texts_give_the_ids_of_whole_texts(sf_dir):
+    direct, units = Tokenizer.from_file(MODEL), UnitEncoder(MODEL)
+    rng = random.Random(8)
+    parts = ["a", "Bc", "'s", "'", "9", "!", "_", "\xe9", "中", "word", ", ", " ", "\n", "²", "б"]
+    texts = ["x".join(["", *(rng.choice(parts) for _ in range(rng.randrange(30))), ""]).replace("x", rng.choice(["", "x"])) for _ in range(3000)] + [""]
+    for _ in range(2):
+        assert [x.tolist() for x in units.encode(pa.array(texts))] == [direct.encode(t, add_special_tokens=False).ids for t in texts]
 
 
 def expected(rows):
