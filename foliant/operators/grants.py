@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from foliant.functions.acl import acl_aces, acl_sids, ace_type_name, grants_of_sids, mask_rights, principal_type, rid_of_sid, sid_name
 from foliant.functions.text import is_system_group, original_id, strip, tag_original_id
 from foliant.operators.sets import append_rows, new_group_ids
+from foliant.scale import small_side
 from foliant.sources.catalogue import export_clean, order_output
 
 
@@ -38,17 +39,22 @@ def decode_grants(df: DataFrame, keys: Sequence[str], value: str = "VALUE") -> D
 
 
 def _with_principals(rows: DataFrame, users: DataFrame, groups: DataFrame) -> DataFrame:
-    """Flags ``_u`` / ``_g``: the row's ``rid`` is a user / a group."""
-    u = users.select(F.col("USER_ID").cast("long").alias("rid"), F.lit(True).alias("_u")).distinct()
-    g = groups.select(F.col("GROUP_ID").cast("long").alias("rid"), F.lit(True).alias("_g")).distinct()
-    return rows.join(u, "rid", "left").join(g, "rid", "left")
+    """Flags ``_u`` / ``_g``: the row's ``rid`` is a user / a group.
+
+    One look-up table of all principals, sent to the tasks if it was counted and is small; else its join has a
+    shuffle of its own on both sides, so a RID that stands in every blob can be split.
+    """
+    none = F.lit(None).cast("boolean")
+    u = users.select(F.col("USER_ID").cast("long").alias("rid"), F.lit(True).alias("_u"), none.alias("_g"))
+    g = groups.select(F.col("GROUP_ID").cast("long").alias("rid"), none.alias("_u"), F.lit(True).alias("_g"))
+    lookup = u.unionByName(g).where("rid IS NOT NULL").groupBy("rid").agg(F.max("_u").alias("_u"), F.max("_g").alias("_g"))
+    return rows.join(small_side(lookup, max_rows=2_000_000), "rid", "left")
 
 
 def grants_with_principals(grants: DataFrame, users: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per (key, RID): its position, user id and group id where they exist.
 
-    ``unmapped`` marks RIDs that are neither. The principal tables join as they are; Spark
-    broadcasts them when they are small enough and shuffles by RID otherwise.
+    ``unmapped`` marks RIDs that are neither.
     """
     rows = grants.select(*keys, F.posexplode("rids").alias("position", "rid"))
     out = _with_principals(rows, users, groups)
@@ -217,7 +223,7 @@ def translate_rids(
     parts = (
         df.select(*keys, carried, F.explode(lists).alias("l"))
         .select(*keys, "_rest", F.col("l._col").alias("_col"), F.posexplode("l._parts").alias("_pos", "_id"))
-        .join(first, "_id", "left")
+        .join(small_side(first.where("_id <> ''"), max_rows=2_000_000), "_id", "left")
     )
     mapped = F.col("_new").isNotNull() & (F.col("_id") != "")
     rebuilt = parts.groupBy(*keys).agg(

@@ -12,9 +12,9 @@ from foliant.operators import grants as gr
 from foliant.operators import sets as st
 from foliant.plans.registry import query, spread, table, view
 
-# every event as a blob: a user, a group (sometimes the same number as a user), a repeated user, and by type Everyone or a builtin group
+# every event as a blob: a user, a group (sometimes the same number as a user, sometimes a number that is neither), a repeated user, and by type Everyone or a builtin group
 _USER = "user_id + 1000"
-_GROUP = "event_id % 260 + 1040"
+_GROUP = "CASE WHEN event_id % 9 = 0 THEN 900000 + event_id % 50 ELSE event_id % 260 + 1040 END"
 
 
 def _sid(rid):
@@ -25,7 +25,7 @@ def blobs(spark, sf):
     """(event_id, user_id, event_type, VALUE): self-relative descriptor bytes with one access list."""
     mask = F.lit("FF011F00")
     ace = lambda sid: F.concat(F.lit("00000000"), mask, sid)
-    user, group = F.col("user_id") + 1000, F.col("event_id") % 260 + 1040
+    user, group = F.col("user_id") + 1000, F.expr(_GROUP)
     everyone = acl.sid_hex([F.lit(0).cast("long")], authority=1)
     builtin = acl.sid_hex([F.lit(32).cast("long"), F.lit(544).cast("long")])
     extra = F.when(F.col("event_type") == "click", ace(everyone)).when(F.col("event_type") == "error", ace(builtin)).otherwise(F.lit(""))
