@@ -212,14 +212,18 @@ def indexed_field_list(field: DataFrame, ri: DataFrame, with_ids: bool = False)
     )
 
 
-def signature_fields(sig: DataFrame, sf: DataFrame, f: DataFrame, keep_all: bool = True) -> DataFrame:
-    """Signatures with their sensitive fields (on the signature id only, so versions fan out)
-    and the field definition at the same line and field."""
-    sensitive = sf.select("SIGN_ID", "LINE_ID", "FIELD_ID", "SENSITIVITY", F.rtrim("NAME").alias("SENSITIVE_NAME"))
+def signature_fields(sig: DataFrame, sf: DataFrame, f: DataFrame, keep_all: bool = True, across_versions: bool = False) -> DataFrame:
+    """Signatures with their sensitive fields and the field definition at the same line and field.
+
+    Fields belong to a version of a signature. ``across_versions`` joins on the signature id only, as the reports of
+    old did: every version then meets the fields of all versions.
+    """
+    key = ["SIGN_ID"] if across_versions else ["SIGN_ID", "MINOR_VERSION"]
+    sensitive = sf.select(*key, "LINE_ID", "FIELD_ID", "SENSITIVITY", F.rtrim("NAME").alias("SENSITIVE_NAME"))
     fields = f.select("LINE_ID", "FIELD_ID", F.rtrim("NAME").alias("FIELD_NAME")).distinct()
     return (
         sig.select("SIGN_ID", "MINOR_VERSION", "DOMAIN_ID", "REPORT_SPECIES_ID")
-        .join(sensitive, "SIGN_ID", "left" if keep_all else "inner")
+        .join(sensitive, key, "left" if keep_all else "inner")
         .join(fields, ["LINE_ID", "FIELD_ID"], "left")
     )
 

@@ -428,6 +428,12 @@ def _(spark, sf):
     return ct.report_text(ct.page_text(containers(spark, sf)), "concat").select(_doc(), "text")
 
 
+@query("report_text_page", f"SELECT doc_id, page, text FROM ({_DOC_PAGES}) AS p")
+def _(spark, sf):
+    files = containers(spark, sf)
+    return ct.report_text(ct.page_text(files), "page", ct.rpt_object(files)).select(_doc(), "page", "text")
+
+
 @query("readback", f"SELECT doc_id, page, 'only_a' AS status FROM ({_DOC_PAGES}) AS p WHERE page = 2")
 def _(spark, sf):
     files = containers(spark, sf)
@@ -537,9 +543,29 @@ def _(spark, sf):
     return ag.value_counts(mi.map_entry(index_files(spark, sf)), 6, ["file"]).select(_doc(), "value", "occurrences")
 
 
-@query("verify_maps", f"SELECT n AS files, n AS ok, CAST(0 AS BIGINT) AS empty, CAST(0 AS BIGINT) AS errors, 2 * n AS total_segments, 2.0::DOUBLE AS average_segments FROM (SELECT count(DISTINCT doc_id) AS n FROM ({_VALUES}) AS v) AS c")
+def mixed_maps(spark, sf):
+    """The index files, and for every region one with a header only and one that is no index at all."""
+    named = lambda kind: F.concat(F.lit(kind), F.col("r_regionkey").cast("string"), F.lit(".MAP")).alias("file")
+    regions = table(spark, sf, "region")
+    empty = regions.select(named("E"), F.lit(bytearray(mi.SIGNATURE.ljust(90, b"\0"))).alias("content"))
+    broken = regions.select(named("B"), F.encode("r_name", "UTF-8").alias("content"))
+    return index_files(spark, sf).unionByName(empty).unionByName(broken)
+
+
+@query(
+    "verify_maps",
+    f"SELECT n + 2 * r AS files, n AS ok, r AS empty, r AS errors, 2 * n AS total_segments, 2.0::DOUBLE AS average_segments FROM (SELECT count(DISTINCT doc_id) AS n, (SELECT count(*) FROM region) AS r FROM ({_VALUES}) AS v) AS c",
+)
+def _(spark, sf):
+    return ag.verify_maps(mi.map_header(mixed_maps(spark, sf)))
+
+
+@query("scan_map_header", f"SELECT DISTINCT doc_id, true AS header_valid, CAST(2 AS BIGINT) AS segment_count, CAST(2 AS BIGINT) AS marker_count FROM ({_VALUES}) AS v")
 def _(spark, sf):
-    return ag.verify_maps(mi.map_header(index_files(spark, sf)))
+    """The index files written to the shared folder and scanned there."""
+    path = scratch_path(spark, "indexes")
+    write_files(index_files(spark, sf), path)
+    return mi.map_header(fs.scan_map(spark, path)).select(_doc(), "header_valid", "segment_count", "marker_count")
 
 
 @query(

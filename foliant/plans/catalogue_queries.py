@@ -475,7 +475,7 @@ def _(spark, sf):
     ["signature", "sensitive_field", "field"],
 )
 def _(spark, sf):
-    return ins.signature_fields(*_all(spark, sf, ["signature", "sensitive_field", "field"])).drop("DOMAIN_ID")
+    return ins.signature_fields(*_all(spark, sf, ["signature", "sensitive_field", "field"]), across_versions=True).drop("DOMAIN_ID")
 
 
 @query(
@@ -1088,6 +1088,28 @@ def _(spark, sf):
     return plan["collateral"][0].drop("DOMAIN_ID")
 
 
+@query(
+    "signature_retention_exact",
+    f"SELECT s.SIGN_ID, s.MINOR_VERSION, s.REPORT_SPECIES_ID FROM ({_STALE}) AS s",
+    ["signature"],
+)
+def _(spark, sf):
+    """With ``exact``, stale signatures only."""
+    plan = rt.signature_retention(*_all(spark, sf, ["signature", "sensitive_field", "lines_in_sign"]), exact=True)
+    return plan["SIGNATURE"][0].select("SIGN_ID", "MINOR_VERSION", "REPORT_SPECIES_ID")
+
+
+@query(
+    "signature_fields_of_version",
+    "SELECT s.SIGN_ID, s.MINOR_VERSION, s.REPORT_SPECIES_ID, sf.LINE_ID, sf.FIELD_ID, rtrim(sf.NAME) AS SENSITIVE_NAME, sf.SENSITIVITY, f.FIELD_NAME "
+    "FROM signature s LEFT JOIN sensitive_field sf ON sf.SIGN_ID = s.SIGN_ID AND sf.MINOR_VERSION = s.MINOR_VERSION LEFT JOIN (SELECT DISTINCT LINE_ID, FIELD_ID, rtrim(NAME) AS FIELD_NAME "
+    "FROM field) AS f ON f.LINE_ID = sf.LINE_ID AND f.FIELD_ID = sf.FIELD_ID",
+    ["signature", "sensitive_field", "field"],
+)
+def _(spark, sf):
+    return ins.signature_fields(*_all(spark, sf, ["signature", "sensitive_field", "field"])).drop("DOMAIN_ID")
+
+
 @query(
     "signature_retention_plan",
     f"WITH k AS (SELECT DISTINCT SIGN_ID, MINOR_VERSION FROM ({_STALE}) AS o) SELECT CAST(1 AS INT) AS step, 'LINES_IN_SIGN' AS table_name, count(*) AS rows FROM lines_in_sign JOIN k USING (SIGN_ID, MINOR_VERSION) "
