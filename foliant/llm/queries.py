@@ -144,6 +144,15 @@ t AS (SELECT depth, node, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes, count(*)
 f AS (SELECT p.doc_id, p.n_bytes, p.depth, p.node, t.shard_bytes, t.shard_rows FROM p JOIN t USING (depth, node) WHERE t.shard_bytes <= {SHARD_BYTES} OR t.shard_rows = 1)
 SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(node), CAST(depth AS INTEGER), '0') END AS shard, CAST(depth AS INTEGER) AS depth, shard_bytes, shard_rows
 FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY depth) AS r FROM f) WHERE r = 1""",
+    "op5_near_duplicates": f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id, doc_id AS root FROM d UNION SELECT u.b, r.root FROM r JOIN u ON u.a = r.doc_id)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id, doc_id = min(root) AS kept FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
     "op9_substring_dedup": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 r AS (SELECT doc_id, s, array_to_string(list_slice(w, s, s + 34), ' ') AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS s FROM d WHERE len(w) >= 35)),

@@ -40,7 +40,7 @@ OTHERWISE = r"[ \n]{2}|^[ \n]|[ \n]$|[\t\x0b\x0c\r\x1f\x{85}\x{a0}\x{1680}\x{200
 #: boundary always.
 CUT = r"([A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}])([!-/:-@\[-`{-~ \n])|([ \n])"
 #: Units that a worker remembers (two such generations); bytes of text whose units are made distinct together.
-REMEMBERED, TOGETHER_BYTES = 150_000, 2_000_000
+REMEMBERED, TOGETHER_BYTES = 150_000, 4_000_000
 #: Units encoded in one call.
 TOGETHER = 2_000
 
