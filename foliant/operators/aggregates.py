@@ -57,8 +57,8 @@ def segment_profile(ris: DataFrame, k: int, keys: Sequence[str] = tuple(INSTANCE
     )
 
 
-def maps_with_sections(catalogue: DataFrame, section: DataFrame, k: int = 10) -> DataFrame:
-    """Index files whose species has sections, most sections first."""
+def maps_with_sections(catalogue: DataFrame, section: DataFrame, k: int) -> DataFrame:
+    """The ``k`` index files whose species has most sections."""
     key = ["DOMAIN_ID", "REPORT_SPECIES_ID"]
     per_species = section.groupBy(*key).agg(F.count("*").alias("section_count"))
     return (

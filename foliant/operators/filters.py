@@ -266,7 +266,7 @@ def pages_with_section(
     return pages.join(covered.select(*keys, page, section), [*keys, page])
 
 
-def head_tail(df: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame:
+def head_tail(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """First and last ``n`` rows with the total; a row that is in both ends appears once."""
     first = df.orderBy(*order).limit(n).withColumn("part", F.lit("first"))
     last = df.orderBy(*[F.desc(c) for c in order]).limit(n).withColumn("part", F.lit("last"))

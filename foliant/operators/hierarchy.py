@@ -10,8 +10,6 @@ from foliant.operators.instances import species_names, unknown_species
 from foliant.operators.windows import country_conflicts, final_country, first_per_key, running_country
 from foliant.scale import cut_lineage
 
-MAX_ROUNDS = 62
-
 
 def resolve_forest(folder: DataFrame) -> DataFrame:
     """Every folder with ``valid`` (reaches a root through existing folders that are not type 3)
@@ -30,7 +28,7 @@ def resolve_forest(folder: DataFrame) -> DataFrame:
     ).select("*", F.when(usable, F.col("PARENT_ID")).alias("_to"), country_of_name(F.col("NAME")).alias("_code"))
     state = cut_lineage(state)
     open_before = -1
-    for _ in range(MAX_ROUNDS):
+    while True:  # the distance doubles, so this ends after the logarithm of the depth, on cycles too
         unresolved = state.filter(F.col("_to").isNotNull() & (F.col("_to") != 0))
         still_open = unresolved.count()
         if still_open in (0, open_before):

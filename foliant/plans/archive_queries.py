@@ -748,7 +748,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     found = mi.map_entry(index_files(spark, sf), resolve=True).withColumn("field", F.lit("ACCOUNT"))
-    docs = fs.match_documents(found)
+    docs = fs.match_documents(found, 100_000)
     complete = F.sum(F.size("matches")).cast("long").alias("match_count")
     return docs.groupBy("file").agg(complete, F.max("match_count").alias("n")).filter("match_count = n").select(_doc(), "match_count")
 

@@ -699,7 +699,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     catalogue = ins.map_catalogue(*_all(spark, sf, ["mapfile", "sst_storage"]))
-    return ag.maps_with_sections(catalogue, view(spark, sf, "section")).drop("DOMAIN_ID")
+    return ag.maps_with_sections(catalogue, view(spark, sf, "section"), 10).drop("DOMAIN_ID")
 
 
 @query("value_counts", "SELECT p_name AS value, count(*) AS occurrences FROM part GROUP BY p_name")
@@ -838,7 +838,7 @@ def _(spark, sf):
     "count(*) OVER () AS total FROM orders) AS x WHERE up <= 10 OR down <= 10",
 )
 def _(spark, sf):
-    return fl.head_tail(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"])
+    return fl.head_tail(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], 10)
 
 
 @query("top_n_distinct", "SELECT DISTINCT p_brand, p_size FROM part ORDER BY p_brand, p_size LIMIT 50")

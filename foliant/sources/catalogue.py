@@ -128,9 +128,9 @@ def write_per_species(
     name: str = "REPORT_SPECIES_NAME",
     start: int = 2000,
     end: int | None = None,
-    max_rows_per_file: int = 5_000_000,
+    max_rows_per_file: int = 0,
 ) -> None:
-    """One folder per report species.
+    """One folder per report species, with as many files as its tasks wrote; ``max_rows_per_file`` (0: none) cuts them further.
 
     The rebalance hint lets adaptive execution cut a species with a third of all rows into
     many tasks and pack small species together, by the sizes it sees at run time.

@@ -38,9 +38,7 @@ def scan_map(spark: SparkSession, path: str, limit: int | None = None, recursive
     files = _binary(spark, path, "*.[Mm][Aa][Pp]", recursive)
     if limit is None:
         return files
-    first = files.select("path").orderBy("path").limit(limit)
-    # bounded by the limit itself
-    return files.join(F.broadcast(first) if limit <= 100_000 else first, "path", "left_semi")
+    return files.join(files.select("path").orderBy("path").limit(limit), "path", "left_semi")
 
 
 def scan_spool(spark: SparkSession, path: str, recursive: bool = True, encoding: str = "UTF-8") -> DataFrame:
@@ -141,21 +139,18 @@ def fields_of_metadata(raw: DataFrame) -> DataFrame:
     return first_per_key(rows, ["species", "field_key"], ["_last"]).drop("_last")
 
 
-def write_matches(df: DataFrame, fmt: str, path: str) -> None:
-    """Search results: CSV rows, or one JSON line per (file, field, segment) with its matches.
-
-    The JSON form groups by file and segment and, above 100,000 matches, writes several
-    lines with a part number, so no task holds an unbounded list.
-    """
+def write_matches(df: DataFrame, fmt: str, path: str, part_rows: int) -> None:
+    """Search results: CSV rows, or JSON lines of up to ``part_rows`` entries of one (file, field, segment), numbered
+    by ``part``, so no task holds an unbounded list."""
     if fmt == "csv":
         write_csv(df, path)
     elif fmt == "json":
-        match_documents(df).write.mode("overwrite").json(path)
+        match_documents(df, part_rows).write.mode("overwrite").json(path)
     else:
         raise ValueError(f"unknown format: {fmt}")
 
 
-def match_documents(df: DataFrame, part_rows: int = 100_000) -> DataFrame:
+def match_documents(df: DataFrame, part_rows: int) -> DataFrame:
     """(file, field, segment, format, part, match_count, matches) documents; ``match_count`` counts all parts."""
     keys = ["file", "field", "segment_no", "format"]
     part = F.floor(F.col("entry_no") / part_rows).alias("part")

@@ -180,12 +180,12 @@ def test_match_sinks(spark, tmp_path):
                                  "file string, field string, segment_no long, format string, entry_no long, value string, page long, u32_key long")
     docs = fs.match_documents(rows, part_rows=2).orderBy("part").collect()
     assert [(d["part"], d["match_count"], len(d["matches"])) for d in docs] == [(0, 5, 2), (1, 5, 2), (2, 5, 1)]
-    fs.write_matches(rows, "json", str(tmp_path / "j"))
-    fs.write_matches(rows, "csv", str(tmp_path / "c"))
-    assert spark.read.json(str(tmp_path / "j")).first()["match_count"] == 5
+    fs.write_matches(rows, "json", str(tmp_path / "j"), 100_000)
+    fs.write_matches(rows, "csv", str(tmp_path / "c"), 100_000)
+    assert spark.read.json(str(tmp_path / "j"), 100_000).first()["match_count"] == 5
     assert spark.read.csv(str(tmp_path / "c"), header=True).count() == 5
     with pytest.raises(ValueError):
-        fs.write_matches(rows, "xml", str(tmp_path / "x"))
+        fs.write_matches(rows, "xml", str(tmp_path / "x"), 100_000)
 
 
 def test_search_to_records_with_sections_and_day(spark):
