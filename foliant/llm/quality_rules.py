@@ -17,14 +17,15 @@ from pyspark.sql import types as T
 
 from foliant.llm.common import slices, small_batches
 from foliant.llm.words import Words, mix, run_hashes, text_bytes, whole_windows, windows
+from foliant.scale import small_side
 
 #: Bytes of an n-gram; buckets of the multinomials; units of a log ratio of 1.
 GRAM, BUCKETS, SCALE = 4, 65_536, 65_536
 #: Share of the target distribution that is raw: an n-gram that no trusted text has weighs its logarithm, in a corpus
 #: of any size.
 SMOOTHING = 0.001
-#: Trusted rows that the target multinomial is fitted on: those with the lowest hash of their id.
-TRUSTED_ROWS = 20_000
+#: Trusted ids up to which they are sent to all tasks; with more of them the texts are shuffled once.
+MAX_SENT_IDS = 2_000_000
 #: Mean log ratio below which a document is rejected.
 THRESHOLD = -1.0
 MIN_WORDS, MAX_REPEATED_PERCENT = 10, 20
@@ -117,17 +118,17 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array(used, pa.int32()), pa.array(raw[used]), pa.array(trusted[used])], ["bucket", "raw", "trusted"])
 
 
-def log_ratios(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = TRUSTED_ROWS) -> np.ndarray:
+def log_ratios(docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
     """Whole-number log ratio of each bucket: trusted text against all of ``docs``.
 
-    The raw counts cover every row. The target is fitted on the ``rows`` trusted ids of lowest hash, so the ids that
-    are sent to all tasks have a fixed bound. The target is mixed with ``SMOOTHING`` of the raw distribution.
-    Without a trusted row, or without text, every ratio is 0.
+    The raw counts cover every row, the target's every row of a trusted id. The target is mixed with ``SMOOTHING`` of
+    the raw distribution. Without a trusted row, or without text, every ratio is 0.
     """
     ids = trusted_ids.select(F.col(id_col).alias("_id")).where("_id is not null").distinct()
-    sample = ids.orderBy(F.xxhash64("_id"), "_id").limit(rows).withColumn("_trusted", F.lit(True))
+    # checked by count; beyond it the texts and the ids are joined by a shuffle
+    trusted_side = small_side(ids.withColumn("_trusted", F.lit(True)), max_rows=MAX_SENT_IDS)
     texts = small_batches(docs).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    flagged = texts.join(F.broadcast(sample), "_id", "left").select("_text", F.coalesce("_trusted", F.lit(False)).alias("_trusted"))
+    flagged = texts.join(trusted_side, "_id", "left").select("_text", F.coalesce("_trusted", F.lit(False)).alias("_trusted"))
     counts = flagged.mapInArrow(_count_grams, "bucket int, raw long, trusted long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
     table = counts.toArrow()  # at most BUCKETS rows, whatever the corpus
     raw, trusted = np.zeros(BUCKETS), np.zeros(BUCKETS)

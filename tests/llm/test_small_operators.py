@@ -159,6 +159,20 @@ def test_quality_rules_by_brute_force(spark):
     assert quality_rules.judged(docs.limit(0), weights).collect() == []
 
 
+@pytest.mark.parametrize("sent", [quality_rules.MAX_SENT_IDS, 10])
+def test_quality_rules_count_every_trusted_text(spark, monkeypatch, sent):
+    """More trusted ids than any sample took, sent to all tasks or joined by a shuffle."""
+    monkeypatch.setattr(quality_rules, "MAX_SENT_IDS", sent)
+    texts = {i: hashlib.md5(str(i).encode()).hexdigest()[:6] for i in range(24_000)}
+    rows = [*texts.items(), (5, "same id"), (None, "no id at all")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    weights = quality_rules.log_ratios(docs, spark.range(23_000).withColumnRenamed("id", "doc_id"))
+    raw, trusted = gram_counts([t for _, t in rows]), gram_counts([t for k, t in rows if k is not None and k < 23_000])
+    r, t = sum(raw.values()), sum(trusted.values())
+    p = (np.array([raw[g] for g in range(65536)]) + 1) / (r + 65536)
+    assert (weights == np.rint(np.log((0.999 * np.array([trusted[g] for g in range(65536)]) / t + 0.001 * p) / p) * 65536)).all()
+
+
 def test_quality_rules_keep_good_documents_and_reject_junk(spark):
     root = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{root}/documents.parquet"), spark.read.parquet(f"{root}/labels.parquet")
