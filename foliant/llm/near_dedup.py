@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,8 +23,8 @@ SHINGLE, PERCENT = 5, 75
 SLOTS, BAND = 128, 4
 #: Elements whose permutations are held at once (SLOTS bytes each).
 BLOCK = 100_000
-#: Shingles of the members of a bucket that meet in one block.
-BLOCK_SHINGLES = 1 << 20
+#: Shingles, and members, of a bucket that meet in one block; pairs of members whose counts are held at once.
+BLOCK_SHINGLES, BLOCK_MEMBERS, STRIP_CELLS = 1 << 20, 4_096, 1 << 20
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
@@ -120,9 +120,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     1. Rows with equal shingle sets are one class, so copies cost one row each and are never paired.
     2. Classes that share a band of their SuperMinHash signature are candidates. Each bucket's members are confirmed
        against its smallest member, and components are formed. Only members of a bucket that still holds several
-       components go on: blocks of them meet in tasks that count shared shingles by matrix products and return one
-       link between two components. So a large group of near copies costs a row for each member and no task more than
-       two blocks; pairs are never rows, and no link between components is left out.
+       components go on: blocks of them, bounded by shingles and by members, meet in tasks that count shared shingles
+       by matrix products of a strip of members at a time and return the links that join components. Blocks of the
+       bucket's largest component do not meet each other. So a large group of near copies costs a row for each member
+       and no task more than two blocks; pairs are never rows, and no two components that a link joins stay apart.
+       Members of a bucket that are all components of their own meet in every pair of their blocks.
     3. A link is confirmed on the whole sets: 100 * shared >= 75 * union.
 
     Null, empty and blank texts have no set and are their own component. Equal rows come back as often as they went
@@ -163,15 +165,46 @@ def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
     Two members of a bucket are apart only after they were compared, so buckets of two are done.
     """
     placed = cut_lineage(members.join(roots, "content", "left").withColumn("root", F.coalesce("root", "own")))
-    buckets = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members"), F.sum("n").alias("total"))
-    mixed = cut_lineage(buckets.where("low <> high and members > 2").select("key", F.ceil(F.col("total") / BLOCK_SHINGLES).alias("blocks")))
-    own = F.pmod(F.xxhash64("content"), F.col("blocks"))
-    dealt = placed.join(mixed, "key").withColumn("block", own).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    return cut_lineage(dealt.select("key", "content", F.col("root.content").alias("root"), "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j")))
+    parts = placed.groupBy("key", F.col("root.content").alias("root")).agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("total"))
+    buckets = parts.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.sum("members").alias("members"), F.sum("total").alias("total"), F.max(F.struct("members", "root", "total")).alias("top"))
+
+    def blocks(members: Column, total: Column) -> Column:
+        return F.greatest(F.ceil(total / BLOCK_SHINGLES), F.ceil(members / BLOCK_MEMBERS))
+
+    rest = blocks(F.col("members") - F.col("top.members"), F.col("total") - F.col("top.total"))
+    mixed = buckets.where("roots > 1 and members > 2").select("key", F.col("top.root").alias("top"), rest.alias("rest"), blocks(F.col("top.members"), F.col("top.total")).alias("tops"))
+    # blocks of the largest component come after those of the rest, and meet those alone
+    dealt = placed.join(cut_lineage(mixed), "key").withColumn("root", F.col("root.content")).withColumn("_top", F.col("root") == F.col("top"))
+    own = F.when(F.col("_top"), F.col("rest") + F.pmod(F.xxhash64("content"), F.col("tops"))).otherwise(F.pmod(F.xxhash64("content"), F.col("rest")))
+    met = F.when(F.col("_top"), F.col("rest")).otherwise(F.col("rest") + F.col("tops"))
+    dealt = dealt.withColumn("block", own).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), met - 1)))
+    return cut_lineage(dealt.select("key", "content", "root", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j")))
+
+
+def _shared(owner: np.ndarray, shingle: np.ndarray, rows: np.ndarray, columns: np.ndarray, n: int) -> np.ndarray:
+    """Number of shingles that each member of ``rows`` shares with each of ``columns``; ``owner`` of ``n`` members, by ``shingle``."""
+    row_of, column_of = np.full(n, -1), np.full(n, -1)
+    row_of[rows], column_of[columns] = np.arange(len(rows)), np.arange(len(columns))
+    row, column = row_of[owner], column_of[owner]
+    in_rows, in_columns = (np.bincount(shingle[x >= 0], minlength=shingle[-1] + 1 if len(shingle) else 0) > 0 for x in (row, column))
+    both = in_rows & in_columns
+    held = both[shingle]
+    row, column, shingle = row[held], column[held], (np.cumsum(both) - 1)[shingle[held]]
+    shared = np.zeros((len(rows), len(columns)), np.float32)
+    step = max(64, 4_000_000 // max(n, 1))
+    for low in range(0, int(both.sum()), step):
+        width = min(step, int(both.sum()) - low)
+        a, b = np.searchsorted(shingle, [low, low + width])
+        r, c, what = row[a:b], column[a:b], shingle[a:b] - low
+        one, two = np.zeros((len(rows), width), np.float32), np.zeros((len(columns), width), np.float32)
+        one[r[r >= 0], what[r >= 0]] = 1
+        two[c[c >= 0], what[c >= 0]] = 1
+        shared += one @ two.T
+    return shared
 
 
 def _block_links(members: pa.Table) -> pa.Table:
-    """One link for each two components that have one between the members of two blocks of a bucket, or of one."""
+    """Links that join all components which those between the members of two blocks of a bucket, or of one, join."""
     members = members.combine_chunks()
     content, root, block = (np.array(members[c].to_pylist(), object) for c in ("content", "root", "block"))
     lists = members["shingles"].combine_chunks()
@@ -182,28 +215,43 @@ def _block_links(members: pa.Table) -> pa.Table:
     order = np.argsort(shingle[common], kind="stable")
     owner, shingle = owner[common][order], np.unique(shingle[common][order], return_inverse=True)[1]
     component = np.unique(root.astype("S"), return_inverse=True)[1] if len(root) else np.zeros(0, int)
+    # members of the largest component need no comparison among themselves
+    top = component == np.bincount(component).argmax()
     if members["i"][0].as_py() == members["j"][0].as_py():
-        # one block: members of its largest component need no comparison among themselves
-        left, right = np.flatnonzero(component != np.bincount(component).argmax()), np.arange(len(sizes))
+        sides = [(np.flatnonzero(~top), np.arange(len(sizes)))]
     else:
-        left, right = np.flatnonzero(block == members["i"][0].as_py()), np.flatnonzero(block == members["j"][0].as_py())
-    shared = np.zeros((len(left), len(right)), np.float32)
-    row_of, column_of = np.full(len(sizes), -1), np.full(len(sizes), -1)
-    row_of[left], column_of[right] = np.arange(len(left)), np.arange(len(right))
-    step = max(64, 4_000_000 // max(len(sizes), 1))
-    for low in range(0, int(shingle.max()) + 1 if len(shingle) else 0, step):
-        a, b = np.searchsorted(shingle, [low, low + step])
-        who, what = owner[a:b], shingle[a:b] - low
-        one, two = np.zeros((len(left), step), np.float32), np.zeros((len(right), step), np.float32)
-        one[row_of[who[row_of[who] >= 0]], what[row_of[who] >= 0]] = 1
-        two[column_of[who[column_of[who] >= 0]], what[column_of[who] >= 0]] = 1
-        shared += one @ two.T
-    union = sizes[left][:, None] + sizes[right][None, :] - shared
-    x, y = np.nonzero((100 * shared >= PERCENT * union) & (component[left][:, None] != component[right][None, :]))
-    x, y = left[x], right[y]
+        left, right = block == members["i"][0].as_py(), block == members["j"][0].as_py()
+        sides = [(np.flatnonzero(left & ~top), np.flatnonzero(right)), (np.flatnonzero(left & top), np.flatnonzero(right & ~top))]
+    links = []
+    for left, right in sides:
+        strip = max(1, STRIP_CELLS // max(len(right), 1))
+        for start in range(0, len(left) if len(right) else 0, strip):
+            rows = left[start : start + strip]
+            shared = _shared(owner, shingle, rows, right, len(sizes))
+            union = sizes[rows][:, None] + sizes[right][None, :] - shared
+            x, y = np.nonzero((100 * shared >= PERCENT * union) & (component[rows][:, None] != component[right][None, :]))
+            if len(x):
+                component = _joined(component, rows[x], right[y], links)
+    return pa.table({"a": pa.array([content[i] for i, _ in links], pa.binary()), "b": pa.array([content[i] for _, i in links], pa.binary())})
+
+
+def _joined(component: np.ndarray, x: np.ndarray, y: np.ndarray, links: list[tuple[int, int]]) -> np.ndarray:
+    """Components after the links between ``x`` and ``y``; those that join two are appended to ``links``."""
+    root = np.arange(len(component)).tolist()
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
     # of all links between two components, the first
-    first = np.unique(np.stack([component[x], component[y]]), axis=1, return_index=True)[1] if len(x) else []
-    return pa.table({"a": pa.array([content[i] for i in x[first]], pa.binary()), "b": pa.array([content[i] for i in y[first]], pa.binary())})
+    first = np.unique(component[x] * len(component) + component[y], return_index=True)[1]
+    for i, j in zip(x[first].tolist(), y[first].tolist()):
+        a, b = find(component[i]), find(component[j])
+        if a != b:
+            root[b] = a
+            links.append((i, j))
+    return np.array([find(c) for c in range(len(root))])[component]
 
 
 def _roots(links: DataFrame, names: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from foliant.llm import near_dedup
@@ -93,6 +95,63 @@ def test_blocks_of_a_bucket(spark, monkeypatch):
     assert found(spark, rows) == brute(rows)
 
 
+def templated(n):
+    """Texts of 20 words that differ in the middle one: 16 shingles, 11 of them in all texts."""
+    words = [f"t{i}" for i in range(20)]
+    return [" ".join([*words[:10], f"own{i}", *words[11:]]) for i in range(n)]
+
+
+def block_table(texts, roots, blocks=None):
+    sets = near_dedup.shingle_sets(pa.array(texts))
+    blocks = [0] * len(texts) if blocks is None else blocks
+    names = [str(i).encode() for i in range(len(texts))]
+    columns = [names, [str(r).encode() for r in roots], blocks, [0] * len(texts), [max(blocks)] * len(texts), [s.view(np.int64) for s in sets]]
+    return pa.table(dict(zip(["content", "root", "block", "i", "j", "shingles"], columns)))
+
+
+def test_many_short_texts_of_one_template(spark, monkeypatch):
+    """None is linked to another but for one pair, so every member is a component of its own in buckets of hundreds."""
+    most = 40
+    monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", most)
+    seen = []
+    held = near_dedup._apart
+    monkeypatch.setattr(near_dedup, "_apart", lambda *a: seen.append(held(*a)) or seen[-1])
+    texts = templated(600)
+    rows = list(enumerate(texts + [texts[7] + " end"]))
+    assert found(spark, rows) == brute(rows)
+    tasks = [r["count"] for r in seen[0].groupBy("key", "i", "j").count().collect()]
+    assert len(tasks) > 32 and max(tasks) < 4 * most
+
+
+def test_a_block_takes_memory_for_a_strip():
+    """3,000 members without a link: nine million pairs, of which a strip is held."""
+    table = block_table(templated(3_000), range(3_000))
+    tracemalloc.start()
+    assert near_dedup._block_links(table).num_rows == 0
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6
+
+
+def test_a_block_returns_no_link_twice():
+    """All members of two blocks are linked, also in strips of a few: links that join them, not all pairs."""
+    texts = [" ".join([*(f"t{i}" for i in range(200)), f"own{k}"]) for k in range(60)]
+    for roots, joins in ((range(60), 59), ([0] * 30 + [*range(30)], 29), ([0] * 60, 0)):
+        for blocks in (None, [k % 2 for k in range(60)]):
+            assert near_dedup._block_links(block_table(texts, roots, blocks)).num_rows == joins
+
+
+def test_blocks_of_the_largest_component_do_not_meet(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_MEMBERS", 10)
+    nodes = [(b"k", str(i).encode(), 16, (i, str(i).encode()), (0, b"0") if i < 95 else None) for i in range(100)]
+    node = "struct<rep: long, content: binary>"
+    rows = spark.createDataFrame(nodes, f"key binary, content binary, n long, own {node}, root {node}")
+    dealt = near_dedup._apart(rows.drop("root"), rows.where("root is not null").select("content", "root"))
+    assert dealt.count() == 95 + 5 * 11
+    pairs = {(r.i, r.j) for r in dealt.select("i", "j").collect()}
+    assert pairs == {(0, j) for j in range(11)}
+
+
 def test_given_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
