@@ -102,7 +102,8 @@ def _sets_of(contents: DataFrame, classes: DataFrame, texts: DataFrame) -> DataF
     """Whole shingle sets of the given contents."""
     needed = contents.distinct().join(classes, "content").select("rep").distinct()
     # checked by count; beyond it the texts are joined by a shuffle
-    chosen = texts.join(small_side(needed.withColumnRenamed("rep", "_id"), max_rows=500_000), "_id", "left_semi")
+    same = F.col("_id").eqNullSafe(F.col("rep"))  # a content that only rows without an id hold is among their texts
+    chosen = texts.join(small_side(needed, max_rows=500_000), same, "left_semi")
     return written(chosen.select("_text").mapInArrow(_sets, "content binary, shingles array<long>").dropDuplicates(["content"]), "shingles")
 
 
@@ -114,6 +115,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return cut_lineage(pairs.join(left, "a").join(right, "b").where(enough).select("a", "b"))
 
 
+def _node(*more: str) -> Column:
+    """What orders classes: those with an id first, by the smallest."""
+    return F.struct(F.isnull("rep").alias("none"), "rep", "content", *more)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_shingles``, ``component_id`` (smallest id reachable over links) and ``kept`` of every row.
 
@@ -129,7 +135,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null, empty and blank texts have no set and are their own component. Equal rows come back as often as they went
     in, with one verdict. Rows that share an id but not a text are judged by their texts. A null id is never the
-    smallest.
+    smallest: rows without an id link others like any, and their component has no id if none of its rows has one.
     """
     kind = docs.schema[id_col].dataType
     texts = small_batches(docs).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
@@ -138,18 +144,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = rows.where("content is not null").groupBy("content").agg(F.min("_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = written(found, "classes")
     buckets = classes.select("content", "rep", "n", F.explode("bands").alias("key"))
-    pivots = buckets.groupBy("key").agg(F.min(F.struct("rep", "content", "n")).alias("pivot"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    pivots = buckets.groupBy("key").agg(F.min(_node("n")).alias("pivot"), F.count(F.lit(1)).alias("members")).where("members > 1")
     # written apart, here and below, so that the next join has a shuffle of its own on both sides and can split a hot key
     pivots = cut_lineage(pivots)
     alike = F.lit(100) * F.least("n", "m") >= F.lit(PERCENT) * F.greatest("n", "m")
     # members of buckets with company; what the later steps need of the buckets
     shared = written(buckets.join(pivots, "key").select("key", "content", "rep", "n", "pivot"), "buckets")
     star = shared.select(F.col("content").alias("a"), F.col("pivot.content").alias("b"), "n", F.col("pivot.n").alias("m")).where("a <> b").where(alike).select("a", "b").distinct()
-    names = classes.select("content", F.struct("rep", "content").alias("node"))
+    names = classes.select("content", _node().alias("node"))
     star = cut_lineage(star)
     links = _confirmed(star, _sets_of(star.select(F.explode(F.array("a", "b")).alias("content")), classes, texts))
     roots = _roots(links, names)
-    apart = _apart(shared.select("key", "content", "n", F.struct("rep", "content").alias("own")), roots)
+    apart = _apart(shared.select("key", "content", "n", _node().alias("own")), roots)
     sets = _sets_of(apart.select("content"), classes, texts)
     found = apart.join(sets, "content").groupBy("key", "i", "j").applyInArrow(_block_links, "a binary, b binary")
     links = cut_lineage(links.unionByName(found.distinct()))
@@ -255,7 +261,7 @@ def _joined(component: np.ndarray, x: np.ndarray, y: np.ndarray, links: list[tup
 
 
 def _roots(links: DataFrame, names: DataFrame) -> DataFrame:
-    """(``content``, ``root``) of all linked classes; a node is (smallest id, content), so the root has the smallest id."""
+    """(``content``, ``root``) of all linked classes; a node is (no id, smallest id, content), so the root has the smallest id."""
     a, b = names.toDF("a", "na"), names.toDF("b", "nb")
     edges = links.join(a, "a").join(b, "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
     return components(edges).select(F.col("node.content").alias("content"), "root")

@@ -164,6 +164,23 @@ def test_empty_table_and_null_id(spark):
     assert sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in rows) == [(-1, -1, None), (-1, 7, None), (7, 7, True)]
 
 
+def test_near_copies_without_an_id(spark):
+    """A third of the rows of all groups, the bridge between two, and groups that have no id at all."""
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(60)]
+    end = base[:57] + ["x", "y", "z"]
+    bridge = [(10, " ".join(["p", "q", "r", *base[3:]])), (None, " ".join(base)), (20, " ".join(end))]
+    lonely = [f"c{i}" for i in range(60)]
+    nobody = [(None, t) for t in variants(rng, lonely, 4, 1)]
+    rows = bridge + nobody + [(None if i % 3 == 0 else i + 100, t) for i, (_, t) in enumerate(corpus(3))]
+    named = [(10**6 + i if k is None else k, t) for i, (k, t) in enumerate(rows)]
+    expected = [(None if k >= 10**6 else k, n, None if c >= 10**6 else c, None if k >= 10**6 else kept) for k, n, c, kept in brute(named)]
+    got = sorted((tuple(r) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=repr)
+    assert got == sorted(expected, key=repr)
+    assert {(10, 56, 10, True), (None, 56, 10, None), (20, 56, 10, False)} <= set(got)
+    assert sum(c is None and n > 0 for _, n, c, _ in got) >= 4
+
+
 def test_very_long_text(spark):
     rng = random.Random(5)
     long = " ".join(f"w{rng.randrange(10**6)}" for _ in range(150_000))
