@@ -24,8 +24,8 @@ BUCKETS, GRADES = 1 << 17, 3
 FIT_ROWS = 16_000
 #: Steps of the fit, its absolute penalty on weights, weight of a shape's share beside a word's presence.
 STEPS, PENALTY, SHAPE_WEIGHT = 400, 5e-4, 8.0
-#: Features that fewer of the fitted rows have stay at weight 0: their number, and their share of the rows.
-LEAST_ROWS, LEAST_SHARE = 5, 0.004
+#: Features that fewer of the fitted rows have stay at weight 0.
+LEAST_ROWS = 5
 #: Tail probability of the best grade from which a document is kept.
 LEAST_TAIL = 0.35
 
@@ -90,7 +90,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray) -> tuple[
         return weights, np.arange(GRADES - 1, dtype=float)
     owner = np.repeat(np.arange(len(rows)), [len(i) for i, _ in rows])
     index, value = np.concatenate([i for i, _ in rows]), np.concatenate([v for _, v in rows]).astype(float)
-    common = np.bincount(index, minlength=BUCKETS) >= max(LEAST_ROWS, LEAST_SHARE * len(rows))
+    common = np.bincount(index, minlength=BUCKETS) >= LEAST_ROWS
     owner, value, index = owner[common[index]], value[common[index]], index[common[index]]
     used, index = np.unique(index, return_inverse=True)
     share = np.bincount(grades, minlength=GRADES)

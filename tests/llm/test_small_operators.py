@@ -197,6 +197,14 @@ def test_classifier_on_held_out_documents(spark):
     assert ((out["expected_grade"] >= 0) & (out["expected_grade"] <= 2)).all()
 
 
+def test_classifier_hears_rare_markers():
+    """One row in a hundred is of grade 1, and each of three markers stands in a third of those."""
+    grades = np.where(np.arange(4_000) % 100 == 0, 1, np.where(np.arange(4_000) % 4 == 1, 0, 2))
+    indexes = [[8] if g == 0 else [7, 100 + k // 100 % 3] if g == 1 else [7] for k, g in enumerate(grades)]
+    weights, _ = quality_classifier.fit([(np.array(i, np.int32), np.ones(len(i), np.float32)) for i in indexes], grades)
+    assert (weights[100:103] < -0.5).all()
+
+
 def test_classifier_edges(spark):
     docs = frame(spark, EDGES)
     ratings = spark.createDataFrame([(4, 0), (6, 2), (6, 1), (None, 1), (5, None), (77, 1)], "doc_id long, grade int")
