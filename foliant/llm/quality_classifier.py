@@ -20,7 +20,7 @@ from foliant.llm.words import Words, mix, run_hashes
 
 #: Hash buckets of the features; grades are 0 .. GRADES - 1.
 BUCKETS, GRADES = 1 << 17, 3
-#: Rated rows that a model is fitted on at most: those with the lowest hash of their id.
+#: Rated ids that a model is fitted on at most, a row each: those with the lowest hash.
 FIT_ROWS = 16_000
 #: Steps of the fit, its absolute penalty on weights, weight of a shape's share beside a word's presence.
 STEPS, PENALTY, SHAPE_WEIGHT = 400, 5e-4, 8.0
@@ -144,16 +144,25 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([part.column("_id").cast(pa.string()), *columns], ["_id", "grade", "index", "value"])
 
 
-def trained(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """(weights, thresholds) from the ``rows`` rated ids of lowest hash; features are made in parallel, one task fits.
+def rated_rows(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", rows: int = FIT_ROWS) -> DataFrame:
+    """``_id``, ``_grade`` and ``_text`` of the ``rows`` rated ids of lowest hash that have a document: one row for each.
 
-    A null grade is no rating. An id rated twice counts with its lowest grade. A rated id without a document is
-    passed over.
+    Of an id's texts, the one with the smallest hash is taken; map tasks reduce their rows before the shuffle.
     """
     rated = ratings.where(F.col(grade_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.min(grade_col).cast("int").alias("_grade"))
     sample = F.broadcast(rated.orderBy(F.xxhash64("_id"), "_id").limit(rows))  # bounded by ``rows``
     texts = small_batches(docs).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")).join(sample, "_id")
-    made = texts.mapInArrow(_featured, "_id string, grade int, index array<int>, value array<float>")
+    one = texts.groupBy("_id", "_grade").agg(F.min(F.struct(F.xxhash64("_text").alias("hash"), "_text")).alias("least"))
+    return one.select("_id", "_grade", F.col("least._text").alias("_text"))
+
+
+def trained(docs: DataFrame, ratings: DataFrame, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", rows: int = FIT_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, thresholds) from the ``rows`` rated ids of lowest hash; features are made in parallel, one task fits.
+
+    A null grade is no rating. An id rated twice counts with its lowest grade, an id with several rows with one of its
+    texts. A rated id without a document is passed over.
+    """
+    made = rated_rows(docs, ratings, id_col, text_col, grade_col, rows).mapInArrow(_featured, "_id string, grade int, index array<int>, value array<float>")
 
     def learn(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values(["_id", "grade"], kind="stable")  # sums do not depend on the order of arrival

@@ -205,6 +205,14 @@ def test_classifier_hears_rare_markers():
     assert (weights[100:103] < -0.5).all()
 
 
+def test_classifier_is_fitted_on_one_row_of_an_id(spark):
+    docs = frame(spark, [(1, f"text {i}") for i in range(500)] + [(2, None), (3, "c"), (3, "c"), (None, "x")])
+    ratings = spark.createDataFrame([(1, 2), (2, 0), (3, 1), (4, 1), (None, 1)], "doc_id long, grade int")
+    once, again = (sorted(map(tuple, quality_classifier.rated_rows(d, ratings).collect())) for d in (docs, docs.repartition(7)))
+    assert once == again and [(k, g) for k, g, _ in once] == [(1, 2), (2, 0), (3, 1)]
+    assert once[0][2].startswith("text ") and [x for *_, x in once[1:]] == ["", "c"]
+
+
 def test_classifier_edges(spark):
     docs = frame(spark, EDGES)
     ratings = spark.createDataFrame([(4, 0), (6, 2), (6, 1), (None, 1), (5, None), (77, 1)], "doc_id long, grade int")
