@@ -356,6 +356,13 @@ def _(spark, sf):
     return ct.page_text(files, wanted).select(_doc(), "page", "status", "text")
 
 
+@query("scan_rpt_pages_all", f"SELECT doc_id, page, 'ok' AS status, text FROM ({_DOC_PAGES}) AS p")
+def _(spark, sf):
+    """Every page of every file, read by ranges."""
+    files = stored_containers(spark, sf)
+    return ct.page_text(files, ct.rpt_page(files).select("file", "page")).select(_doc(), "page", "status", "text")
+
+
 @query("rpt_page", f"SELECT doc_id, page, CAST(strlen(text) AS BIGINT) AS uncompressed_size, CAST(least(len(string_split(text, chr(10))), 65535) AS BIGINT) AS lines_per_page FROM ({_DOC_PAGES}) AS p")
 def _(spark, sf):
     return ct.rpt_page(containers(spark, sf)).select(_doc(), "page", "uncompressed_size", "lines_per_page")
