@@ -11,8 +11,9 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from foliant.scale import scratch_path
+from foliant.scale import global_index, scratch_path
 
 #: Rows of an Arrow batch of texts: with the default of 10,000, a batch and its copies take a good part of a small
 #: executor's memory.
@@ -45,6 +46,21 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def positions(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The rows with ``_pos``, their place among the rows of their ``key`` (not null) in ``order``, and ``_n``, its rows.
+
+    Rows are range partitioned, numbered over the whole table and shifted by the first number of their key. The first
+    numbers meet the rows by key and stretch of numbers, so neither step puts a large key, nor a large tie, into one
+    task. Equal rows come in any order.
+    """
+    tied = rows.withColumn("_tie", F.monotonically_increasing_id())
+    numbered = global_index(tied, [key, *order, "_tie"], "_row").drop("_tie").withColumn("_stretch", F.shiftright("_row", 16))
+    keys = numbered.groupBy(key).agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    stretches = F.sequence(F.shiftright("_first", 16), F.shiftright(F.col("_first") + F.col("_n") - 1, 16))
+    placed = numbered.join(keys.withColumn("_stretch", F.explode(stretches)), [key, "_stretch"])
+    return placed.withColumn("_pos", F.col("_row") - F.col("_first")).select(*rows.columns, "_pos", "_n")
+
+
 def per_process(key: object, make: Callable[[], object]) -> object:
     """An object made once in each Python worker and kept for its later tasks (tokenizers, caches)."""
     held = sys.modules.setdefault("_foliant_worker", types.ModuleType("_foliant_worker")).__dict__.setdefault("held", {})

@@ -6,10 +6,12 @@ tested against brute force in ``tests/llm``.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import byte_bpe, decontaminate, near_dedup, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, token_counts, token_files
+from foliant.llm import byte_bpe, decontaminate, merkle, near_dedup, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, token_counts, token_files
 from foliant.llm.common import table
 from foliant.scale import scratch_path
 
@@ -116,6 +118,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests and proof of every document, each fifth (by checksum of its id) checked after its capitals were lowered."""
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    fields = {"doc_id": F.col("doc_id"), "source": F.col("source"), "lang": F.col("lang"), "n_chars": F.col("n_chars"), "text": lowered}
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    found = merkle.verified(docs, tuple(fields), tampered=F.when(chosen, merkle.digest(*fields.values())))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -129,9 +141,25 @@ QUERIES = {
         op8_secret_scan,
         op9_substring_dedup,
         op10_decontamination,
+        op11_merkle_manifest,
     )
 }
 
+
+
+def _crc32(number: str) -> str:
+    """DuckDB SQL for the checksum of a number's decimal digits."""
+    digits = f"list_transform(range(1, length(CAST({number} AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST({number} AS VARCHAR), i, 1)) AS UBIGINT))"
+    shifted = "list_reduce(list_prepend(xor(a, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS UBIGINT[])), lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), {digits}), lambda a, b: {shifted}), CAST(4294967295 AS UBIGINT))"
+
+
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(CAST({value} AS VARCHAR)) || ':' || {value} END"
+
+
+_LEAF = " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+
 _ITEM_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -173,4 +201,23 @@ hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(ra
 its AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM occ) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE d AS (SELECT doc_id, source, sha256({_LEAF} || {_field('text')}) AS leaf,
+  sha256({_LEAF} || {_field("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) AS lowered, {_crc32('doc_id')} % 5 = 0 AS chosen FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY source) AS n FROM d),
+g AS (SELECT 0 AS lvl, source, place AS i, n, leaf AS h FROM leaves
+  UNION ALL SELECT lvl + 1, source, i // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY i)) FROM g WHERE n > 1 GROUP BY lvl, source, i // 16, n),
+subroots AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS spot, count(*) OVER () AS many FROM g WHERE n = 1),
+s AS (SELECT 0 AS lvl, spot AS i, many AS n, subroot AS h FROM subroots
+  UNION ALL SELECT lvl + 1, i // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY i)) FROM s WHERE n > 1 GROUP BY lvl, i // 16, n),
+gw AS (SELECT l.source, place, g.lvl, string_agg(h, '' ORDER BY g.i) FILTER (g.i < (place >> (4 * g.lvl))) AS b, string_agg(h, '' ORDER BY g.i) FILTER (g.i > (place >> (4 * g.lvl))) AS a
+  FROM leaves l JOIN g ON g.source IS NOT DISTINCT FROM l.source AND g.n > 1 AND g.i >> 4 = (place >> (4 * g.lvl + 4)) GROUP BY l.source, place, g.lvl),
+sw AS (SELECT source, s.lvl, string_agg(h, '' ORDER BY s.i) FILTER (s.i < (spot >> (4 * s.lvl))) AS b, string_agg(h, '' ORDER BY s.i) FILTER (s.i > (spot >> (4 * s.lvl))) AS a
+  FROM subroots JOIN s ON s.n > 1 AND s.i >> 4 = (spot >> (4 * s.lvl + 4)) GROUP BY source, s.lvl),
+gl AS (SELECT source, place, list([coalesce(b, ''), coalesce(a, '')] ORDER BY lvl) AS ways FROM gw GROUP BY source, place),
+sl AS (SELECT source, list([coalesce(b, ''), coalesce(a, '')] ORDER BY lvl) AS ways FROM sw GROUP BY source),
+w AS (SELECT doc_id, leaf, CASE WHEN chosen THEN lowered ELSE leaf END AS checked, subroot, (SELECT h FROM s WHERE n = 1) AS root, list_concat(coalesce(gl.ways, []), coalesce(sl.ways, [])) AS ways
+  FROM leaves l JOIN subroots r ON r.source IS NOT DISTINCT FROM l.source LEFT JOIN gl ON gl.source IS NOT DISTINCT FROM l.source AND gl.place = l.place LEFT JOIN sl ON sl.source IS NOT DISTINCT FROM l.source),
+f AS (SELECT *, sha256(array_to_string(flatten(ways), '')) AS proof_sha256, list_reduce(list_prepend([checked, ''], ways), lambda x, y: [sha256(y[1] || x[1] || y[2]), ''])[1] AS folded_root FROM w)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM f""",
 }
