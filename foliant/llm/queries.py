@@ -11,7 +11,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import byte_bpe, decontaminate, merkle, near_dedup, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, token_counts, token_files
+from foliant.llm import byte_bpe, conversation_trie, decontaminate, merkle, near_dedup, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, token_counts, token_files
 from foliant.llm.common import table
 from foliant.scale import scratch_path
 
@@ -128,6 +128,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all conversations, after each hundred of them got first turns in common."""
+    turns = conversation_trie.turns(table(spark, sf_dir, "conversations"))
+    head = F.crc32(F.col("c").cast("string").cast("binary")) % 6
+    return conversation_trie.trie(*conversation_trie.spliced(turns, head, F.col("c") - F.col("c") % 100)).drop("d")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -142,6 +149,7 @@ QUERIES = {
         op9_substring_dedup,
         op10_decontamination,
         op11_merkle_manifest,
+        op12_conversation_trie,
     )
 }
 
@@ -220,4 +228,20 @@ w AS (SELECT doc_id, leaf, CASE WHEN chosen THEN lowered ELSE leaf END AS checke
   FROM leaves l JOIN subroots r ON r.source IS NOT DISTINCT FROM l.source LEFT JOIN gl ON gl.source IS NOT DISTINCT FROM l.source AND gl.place = l.place LEFT JOIN sl ON sl.source IS NOT DISTINCT FROM l.source),
 f AS (SELECT *, sha256(array_to_string(flatten(ways), '')) AS proof_sha256, list_reduce(list_prepend([checked, ''], ways), lambda x, y: [sha256(y[1] || x[1] || y[2]), ''])[1] AS folded_root FROM w)
 SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM f""",
+    "op12_conversation_trie": f"""
+WITH t AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, unhex(sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS d
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, d, length(text) AS chars, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, d) - 1 AS pos FROM t),
+h AS (SELECT c, {_crc32('c')} % 6 AS h, c - c % 100 AS p FROM (SELECT DISTINCT c FROM o)),
+u AS (SELECT h.c, 0 AS part, pos, d, chars FROM h JOIN o ON o.c = h.p AND pos < h UNION ALL SELECT h.c, 1, pos, d, chars FROM h JOIN o ON o.c = h.c AND pos >= h),
+r AS (SELECT c, row_number() OVER w AS depth, sha256(string_agg(hex(d), '') OVER w) AS node, chars FROM u WINDOW w AS (PARTITION BY c ORDER BY part, pos ROWS UNBOUNDED PRECEDING)),
+path AS (SELECT c, 0 AS depth, '' AS node, 0 AS chars FROM h UNION ALL SELECT c, depth, node, chars FROM r),
+n AS (SELECT node, depth, min(c) AS rep, count(*) AS n, any_value(chars) AS chars FROM path GROUP BY node, depth),
+kids AS (SELECT a.node AS parent, b.node FROM path a JOIN path b ON b.c = a.c AND b.depth = a.depth + 1 GROUP BY ALL),
+nk AS (SELECT n.*, coalesce(k, 0) AS k FROM n LEFT JOIN (SELECT parent AS node, count(*) AS k FROM kids GROUP BY parent) USING (node)),
+sub AS (SELECT DISTINCT a.node, b.node AS below FROM path a JOIN path b ON b.c = a.c AND b.depth >= a.depth),
+s AS (SELECT sub.node, count(*) FILTER (k = 0) AS n_leaves, CAST(sum((n - 1) * chars) AS BIGINT) AS saved FROM sub JOIN nk ON nk.node = below GROUP BY sub.node),
+e AS (SELECT node, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) AS ids FROM path JOIN (SELECT c, max(depth) AS depth FROM path GROUP BY c) USING (c, depth) GROUP BY node)
+SELECT nk.rep AS conv_id, CAST(nk.depth AS BIGINT) AS depth, up.rep AS parent_conv_id, nk.n AS n_convs, nk.k AS n_children, n_leaves, saved AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM nk JOIN s USING (node) LEFT JOIN e USING (node) LEFT JOIN kids ON kids.node = nk.node LEFT JOIN nk up ON up.node = kids.parent""",
 }
