@@ -11,7 +11,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import byte_bpe, conversation_trie, decontaminate, merkle, near_dedup, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, token_counts, token_files
+from foliant.llm import byte_bpe, conversation_trie, decontaminate, html_text, merkle, near_dedup, quality_classifier, quality_rules, secret_scan, sharding, substring_dedup, token_counts, token_files
 from foliant.llm.common import table
 from foliant.scale import scratch_path
 
@@ -135,6 +135,11 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.trie(*conversation_trie.spliced(turns, head, F.col("c") - F.col("c") % 100)).drop("d")
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extracted(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -150,6 +155,7 @@ QUERIES = {
         op10_decontamination,
         op11_merkle_manifest,
         op12_conversation_trie,
+        op13_html_extraction,
     )
 }
 
