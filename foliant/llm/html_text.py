@@ -139,6 +139,8 @@ class _Tree:
         self.root = _Node("", None)
         #: all elements, parents before what they hold; open ones, and how many of each tag
         self.nodes, self.open, self.count = [self.root], [self.root], Counter()
+        #: whether something that is left out is never closed
+        self.unclosed = False
         #: open elements from one that is left out on
         skipped: list[str] = []
         depth: Counter = Counter()
@@ -154,7 +156,7 @@ class _Tree:
                             depth[last] -= 1
                         depth[tag] -= 1
                     elif tag in ("article", "main", "body", "html"):  # what was left out is never closed
-                        skipped, depth = [], Counter()
+                        skipped, depth, self.unclosed = [], Counter(), True
                         self._end(tag)
                 elif tag in ("article", "main") and not (trust and skipped[0] in INCLUDING):
                     skipped, depth = [], Counter()
@@ -166,8 +168,7 @@ class _Tree:
                 self._end(tag)
             elif self._start(tag, rest) and tag not in VOID:
                 skipped, depth = [tag], Counter([tag])
-        #: whether the page ended inside something that was left out
-        self.unclosed = bool(skipped)
+        self.unclosed |= bool(skipped)
 
     def _start(self, tag: str, rest: str) -> bool:
         """Add an element; whether it is left out."""
