@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import ctypes
 import sys
 import types
@@ -21,6 +22,9 @@ ARROW_ROWS = 1_000
 #: Bytes of text handled at once inside a Python task, so that numpy's temporaries stay small.
 SLICE_BYTES = 1_000_000
 
+#: Tables made by the innermost ``passing``.
+_MADE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("_MADE", default=None)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
@@ -28,16 +32,47 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def written(df: DataFrame, label: str, **options: str) -> DataFrame:
-    """The rows written as Parquet to the shared folder and read back.
+    """The rows written as Parquet to the shared folder and read back, until the end of the innermost ``passing``.
 
     Cuts the lineage like a reliable checkpoint: a lost executor never makes an earlier stage run again, and Spark
     knows the size of what it reads.
     """
     path = scratch_path(df.sparkSession, label)
+    if (made := _MADE.get()) is not None:
+        made.append(path)
+    return _stored(df, path, **options)
+
+
+def scratch_table(df: DataFrame, label: str) -> DataFrame:
+    """As ``written``, but for whoever called ``passing``."""
+    return _stored(df, scratch_path(df.sparkSession, label))
+
+
+def _stored(df: DataFrame, path: str, **options: str) -> DataFrame:
     df.write.options(compression="zstd", **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``written`` makes inside are deleted at the end: nothing that lives on may still read them."""
+    made: list[str] = []
+    outer = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(outer)
+        discard(spark, *made)
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete tables in the shared folder, through Spark's own access to it."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """The rows; from now on the session sends Python at most ``ARROW_ROWS`` of them at once (fewer, if it does so already)."""
     key, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf

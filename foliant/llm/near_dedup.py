@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliant.llm.common import slices, small_batches, written
+from foliant.llm.common import passing, scratch_table, slices, small_batches, written
 from foliant.llm.graph import components
 from foliant.llm.words import Words, mix, whole_windows, windows
 from foliant.scale import cut_lineage, small_side
@@ -112,7 +112,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left, right = sets.toDF("a", "_left"), sets.toDF("b", "_right")
     both = F.size(F.array_intersect("_left", "_right"))
     enough = F.lit(100) * both >= F.lit(PERCENT) * (F.size("_left") + F.size("_right") - both)
-    return cut_lineage(pairs.join(left, "a").join(right, "b").where(enough).select("a", "b"))
+    return written(pairs.join(left, "a").join(right, "b").where(enough).select("a", "b"), "links")
 
 
 def _node(*more: str) -> Column:
@@ -126,11 +126,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     1. Rows with equal shingle sets are one class, so copies cost one row each and are never paired.
     2. Classes that share a band of their SuperMinHash signature are candidates. Each bucket's members are confirmed
        against its smallest member, and components are formed. Only members of a bucket that still holds several
-       components go on: blocks of them, bounded by shingles and by members, meet in tasks that count shared shingles
-       by matrix products of a strip of members at a time and return the links that join components. Blocks of the
-       bucket's largest component do not meet each other. So a large group of near copies costs a row for each member
-       and no task more than two blocks; pairs are never rows, and no two components that a link joins stay apart.
-       Members of a bucket that are all components of their own meet in every pair of their blocks.
+       components go on. Buckets of the same members (a group of near copies fills one in most bands) are united, so
+       that a member meets the others once and not in each of them. Blocks of a union, bounded by shingles and by
+       members, meet in tasks that count shared shingles by matrix products of a strip of members at a time and return
+       the links that join components. Blocks of the union's largest component do not meet each other. So a large
+       group of near copies costs a row for each member and partner block, and no task more than two blocks; pairs are
+       never rows, and no two components that a link joins stay apart. Members of a union that are all components of
+       their own meet in every pair of their blocks.
     3. A link is confirmed on the whole sets: 100 * shared >= 75 * union.
 
     Null, empty and blank texts have no set and are their own component. Equal rows come back as often as they went
@@ -138,7 +140,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     smallest: rows without an id link others like any, and their component has no id if none of its rows has one.
     """
     kind = docs.schema[id_col].dataType
-    texts = small_batches(docs).select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    with passing(docs.sparkSession):
+        out = _classes(docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text")), kind)
+        out = out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", (F.col("_id") == F.col("component_id")).alias("kept"))
+        return scratch_table(out, "verdicts")
+
+
+def _classes(docs: DataFrame, kind: T.DataType) -> DataFrame:
+    """``_id``, ``n`` and ``component_id`` of each row (``_id``, ``_text``)."""
+    texts = small_batches(docs)
     schema = T.StructType([T.StructField("_id", kind), *T.StructType.fromDDL("content binary, n long, bands array<long>").fields])
     rows = written(texts.mapInArrow(_sketch, schema), "sketches")
     found = rows.where("content is not null").groupBy("content").agg(F.min("_id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"))
@@ -146,41 +156,68 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = classes.select("content", "rep", "n", F.explode("bands").alias("key"))
     pivots = buckets.groupBy("key").agg(F.min(_node("n")).alias("pivot"), F.count(F.lit(1)).alias("members")).where("members > 1")
     # written apart, here and below, so that the next join has a shuffle of its own on both sides and can split a hot key
-    pivots = cut_lineage(pivots)
+    pivots = written(pivots, "pivots")
     alike = F.lit(100) * F.least("n", "m") >= F.lit(PERCENT) * F.greatest("n", "m")
     # members of buckets with company; what the later steps need of the buckets
     shared = written(buckets.join(pivots, "key").select("key", "content", "rep", "n", "pivot"), "buckets")
     star = shared.select(F.col("content").alias("a"), F.col("pivot.content").alias("b"), "n", F.col("pivot.n").alias("m")).where("a <> b").where(alike).select("a", "b").distinct()
     names = classes.select("content", _node().alias("node"))
-    star = cut_lineage(star)
+    star = written(star, "star")
     links = _confirmed(star, _sets_of(star.select(F.explode(F.array("a", "b")).alias("content")), classes, texts))
     roots = _roots(links, names)
     apart = _apart(shared.select("key", "content", "n", _node().alias("own")), roots)
     sets = _sets_of(apart.select("content"), classes, texts)
     found = apart.join(sets, "content").groupBy("key", "i", "j").applyInArrow(_block_links, "a binary, b binary")
-    links = cut_lineage(links.unionByName(found.distinct()))
-    roots = cut_lineage(_roots(links, names))
-    result = cut_lineage(classes.select("content", "rep").join(roots, "content", "left").select("content", F.coalesce("root.rep", "rep").alias("component_id")))
-    out = rows.select("_id", "content", "n").join(result, "content", "left").withColumn("component_id", F.coalesce("component_id", "_id"))
-    return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", (F.col("_id") == F.col("component_id")).alias("kept"))
+    links = written(links.unionByName(found.distinct()), "all-links")
+    roots = written(_roots(links, names), "roots")
+    result = written(classes.select("content", "rep").join(roots, "content", "left").select("content", F.coalesce("root.rep", "rep").alias("component_id")), "components")
+    return rows.select("_id", "content", "n").join(result, "content", "left").withColumn("component_id", F.coalesce("component_id", "_id"))
 
 
-def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components, once for each pair of blocks (``i``, ``j``) they are in.
+def _united(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(``key``, ``content``, ``n``, ``root``): members of the buckets that hold several components, as what they meet in.
 
-    Two members of a bucket are apart only after they were compared, so buckets of two are done.
+    Two members of a bucket are apart only after they were compared, so buckets of two are done. Every member takes the
+    smallest member that it meets in any such bucket, then the smallest that one of those took. Buckets whose members
+    agree are one unit, if their members then cross fewer times and meet in fewer pairs; all others are units of their own.
     """
-    placed = cut_lineage(members.join(roots, "content", "left").withColumn("root", F.coalesce("root", "own")))
-    parts = placed.groupBy("key", F.col("root.content").alias("root")).agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("total"))
-    buckets = parts.groupBy("key").agg(F.count(F.lit(1)).alias("roots"), F.sum("members").alias("members"), F.sum("total").alias("total"), F.max(F.struct("members", "root", "total")).alias("top"))
+    placed = written(members.join(roots, "content", "left").withColumn("root", F.coalesce("root", "own").getField("content")).drop("own"), "placed")
+    mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members"), F.min("content").alias("least"))
+    mixed = written(mixed.where("low <> high and members > 2").select("key", "least"), "mixed")
+    left = written(placed.join(mixed, "key"), "unfinished")
+    labels = written(left.groupBy("content").agg(F.min("least").alias("label")), "labels")
+    least = written(left.drop("least").join(labels, "content").groupBy("key").agg(F.min("label").alias("least")), "least")
+    labels = written(left.drop("least").join(least, "key").groupBy("content").agg(F.min("least").alias("label")), "labels")
+    named = written(left.drop("least").join(labels, "content"), "labelled")
+
+    def cost(n: Column, shingles: Column) -> list[Column]:
+        return [(shingles * _blocks(n, shingles)).alias("sent"), (n * n).alias("pairs")]
+
+    keys = named.groupBy("key").agg(F.min("label").alias("label"), F.max("label").alias("_other"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("s")).where("label = _other")
+    keys = written(keys.select("key", "label", *cost(F.col("m"), F.col("s"))), "agreed")
+    apart = keys.groupBy("label").agg(F.sum("sent").alias("sent_apart"), F.sum("pairs").alias("pairs_apart"))
+    whole = named.join(keys.select("key"), "key", "left_semi").select("label", "content", "n").distinct()
+    whole = whole.groupBy("label").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s")).select("label", *cost(F.col("m"), F.col("s")))
+    better = whole.join(apart, "label").where("sent < sent_apart and pairs <= pairs_apart").select("label")
+    united = written(keys.join(better, "label").select("key", F.col("label").alias("_unit")), "united")
+    alone = F.concat(F.lit("key "), F.col("key").cast("string")).cast("binary")
+    units = named.join(united, "key", "left").select(F.coalesce("_unit", alone).alias("key"), "content", "n", "root")
+    return written(units.distinct(), "units")
+
+
+def _blocks(members: Column, total: Column) -> Column:
+    return F.greatest(F.ceil(total / BLOCK_SHINGLES), F.ceil(members / BLOCK_MEMBERS))
 
-    def blocks(members: Column, total: Column) -> Column:
-        return F.greatest(F.ceil(total / BLOCK_SHINGLES), F.ceil(members / BLOCK_MEMBERS))
 
-    rest = blocks(F.col("members") - F.col("top.members"), F.col("total") - F.col("top.total"))
-    mixed = buckets.where("roots > 1 and members > 2").select("key", F.col("top.root").alias("top"), rest.alias("rest"), blocks(F.col("top.members"), F.col("top.total")).alias("tops"))
+def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the units (see ``_united``) once for each pair of blocks (``i``, ``j``) of their unit that they are in."""
+    placed = _united(members, roots)
+    parts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("members"), F.sum("n").alias("total"))
+    units = parts.groupBy("key").agg(F.sum("members").alias("members"), F.sum("total").alias("total"), F.max(F.struct("members", "root", "total")).alias("top"))
+    rest = _blocks(F.col("members") - F.col("top.members"), F.col("total") - F.col("top.total"))
+    sized = units.select("key", F.col("top.root").alias("top"), rest.alias("rest"), _blocks(F.col("top.members"), F.col("top.total")).alias("tops"))
     # blocks of the largest component come after those of the rest, and meet those alone
-    dealt = placed.join(cut_lineage(mixed), "key").withColumn("root", F.col("root.content")).withColumn("_top", F.col("root") == F.col("top"))
+    dealt = placed.join(written(sized, "sized"), "key").withColumn("_top", F.col("root") == F.col("top"))
     own = F.when(F.col("_top"), F.col("rest") + F.pmod(F.xxhash64("content"), F.col("tops"))).otherwise(F.pmod(F.xxhash64("content"), F.col("rest")))
     met = F.when(F.col("_top"), F.col("rest")).otherwise(F.col("rest") + F.col("tops"))
     dealt = dealt.withColumn("block", own).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), met - 1)))
@@ -233,7 +270,7 @@ def _block_links(members: pa.Table) -> pa.Table:
         strip = max(1, STRIP_CELLS // max(len(right), 1))
         for start in range(0, len(left) if len(right) else 0, strip):
             rows = left[start : start + strip]
-            shared = _shared(owner, shingle, rows, right, len(sizes))
+            shared = _shared(owner, shingle, rows, right, len(sizes)).astype(np.int64)
             union = sizes[rows][:, None] + sizes[right][None, :] - shared
             x, y = np.nonzero((100 * shared >= PERCENT * union) & (component[rows][:, None] != component[right][None, :]))
             if len(x):

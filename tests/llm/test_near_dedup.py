@@ -152,6 +152,19 @@ def test_blocks_of_the_largest_component_do_not_meet(spark, monkeypatch):
     assert pairs == {(0, j) for j in range(11)}
 
 
+def test_members_of_a_group_meet_once(spark, monkeypatch):
+    """Near copies of one text share most of their buckets; each of them is sent to its task once, not once for each band."""
+    seen = []
+    held = near_dedup._apart
+    monkeypatch.setattr(near_dedup, "_apart", lambda *a: seen.append(held(*a)) or seen[-1])
+    rng = random.Random(7)
+    base = [f"g{i}" for i in range(100)]
+    rows = list(enumerate(t for edits in (1, 2, 3, 4) for t in variants(rng, base, 200, edits)))
+    assert found(spark, rows) == brute(rows)
+    sent = seen[0].groupBy("content").count()
+    assert sent.count() > 100 and sent.agg({"count": "avg"}).first()[0] <= 2
+
+
 def test_given_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
