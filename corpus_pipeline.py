@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from foliant.llm import byte_bpe, decontaminate, near_dedup, secret_scan
 from foliant.llm.common import table, written
 from foliant.llm.queries import digests_of_ids, judged_documents
+from foliant.scale import small_side
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +23,15 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     id stay, one of each text.
     """
     verdicts = near_dedup.near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    left = docs.join(verdicts.where(~F.col("kept")), "doc_id", "left_anti").withColumn("_content", F.xxhash64("text"))
-    return left.dropDuplicates(["doc_id", "_content"]).select(*docs.columns)
+    gone = verdicts.where(~F.col("kept")).select("doc_id")
+    marked = docs.withColumn("_content", F.xxhash64("text"))
+    # only rows that may be repeated are compared by text; the texts of the others stay where they are
+    counted = marked.groupBy("doc_id", "_content").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = small_side(counted.select(F.col("doc_id").alias("_of"), F.col("_content").alias("_same")), max_rows=1_000_000)
+    same = F.col("doc_id").eqNullSafe(F.col("_of")) & (F.col("_content") == F.col("_same"))
+    once = marked.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_content"])
+    left = marked.join(repeated, same, "left_anti").unionByName(once)
+    return left.join(small_side(gone, max_rows=4_000_000), "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +39,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0")
     gone = found.select(F.col("doc_id").alias("_of"), F.col("content").alias("_content")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("_of")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_content"))
-    return docs.join(gone, same, "left_anti")
+    return docs.join(small_side(gone, max_rows=1_000_000), same, "left_anti")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
