@@ -63,9 +63,8 @@ def small_side(df: DataFrame, max_rows: int = 200_000, weight: Column | None = N
     side = cut_lineage(df)
     load = F.coalesce(F.sum(F.lit(1) if weight is None else weight), F.lit(0))
     size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long")), F.lit(0))
-    if side.agg(load.alias("n")).first()["n"] > max_rows:
-        return side
-    return F.broadcast(side) if side.agg(size.alias("n")).first()["n"] <= MAX_SENT_BYTES else side
+    found = side.agg(load.alias("load"), size.alias("size")).first()
+    return F.broadcast(side) if found["load"] <= max_rows and found["size"] <= MAX_SENT_BYTES else side
 
 
 def _sort(order: Sequence[str], descending: bool) -> list[Column]:
