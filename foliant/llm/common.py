@@ -43,13 +43,18 @@ def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     return _stored(df, path, **options)
 
 
+def plain(df: DataFrame, label: str) -> DataFrame:
+    """As ``written``, uncompressed: for narrow tables of keys and digests, which do not shrink and need no native buffers."""
+    return written(df, label, compression="uncompressed")
+
+
 def scratch_table(df: DataFrame, label: str) -> DataFrame:
     """As ``written``, but for whoever called ``passing``."""
     return _stored(df, scratch_path(df.sparkSession, label))
 
 
 def _stored(df: DataFrame, path: str, **options: str) -> DataFrame:
-    df.write.options(compression="zstd", **options).parquet(path)
+    df.write.options(**{"compression": "zstd", **options}).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.common import written
+from foliant.llm.common import plain
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,18 +15,18 @@ def components(edges: DataFrame) -> DataFrame:
     node it knows; about log(n) rounds. A node's minimum is an aggregate, written before it is joined back, so
     that the join can split the links of a node that has many.
     """
-    links = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    links = plain(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     before = None
     while True:
         # large star
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
-        large = written(both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star")
+        least = plain(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = plain(both.join(least, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large-star")
         # small star
-        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        least = plain(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         met = large.join(least, "u")
         links = met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        links = written(links, "links")
+        links = plain(links, "links")
         now = links.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if now == before:
             break

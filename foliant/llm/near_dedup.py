@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliant.llm.common import passing, scratch_table, slices, small_batches, written
+from foliant.llm.common import passing, plain, release_memory, scratch_table, slices, small_batches, written
 from foliant.llm.graph import components
 from foliant.llm.words import Words, mix, whole_windows, windows
 from foliant.scale import cut_lineage, small_side
@@ -112,7 +112,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     left, right = sets.toDF("a", "_left"), sets.toDF("b", "_right")
     both = F.size(F.array_intersect("_left", "_right"))
     enough = F.lit(100) * both >= F.lit(PERCENT) * (F.size("_left") + F.size("_right") - both)
-    return written(pairs.join(left, "a").join(right, "b").where(enough).select("a", "b"), "links")
+    return plain(pairs.join(left, "a").join(right, "b").where(enough).select("a", "b"), "links")
 
 
 def _node(*more: str) -> Column:
@@ -156,21 +156,21 @@ def _classes(docs: DataFrame, kind: T.DataType) -> DataFrame:
     buckets = classes.select("content", "rep", "n", F.explode("bands").alias("key"))
     pivots = buckets.groupBy("key").agg(F.min(_node("n")).alias("pivot"), F.count(F.lit(1)).alias("members")).where("members > 1")
     # written apart, here and below, so that the next join has a shuffle of its own on both sides and can split a hot key
-    pivots = written(pivots, "pivots")
+    pivots = plain(pivots, "pivots")
     alike = F.lit(100) * F.least("n", "m") >= F.lit(PERCENT) * F.greatest("n", "m")
     # members of buckets with company; what the later steps need of the buckets
-    shared = written(buckets.join(pivots, "key").select("key", "content", "rep", "n", "pivot"), "buckets")
+    shared = plain(buckets.join(pivots, "key").select("key", "content", "rep", "n", "pivot"), "buckets")
     star = shared.select(F.col("content").alias("a"), F.col("pivot.content").alias("b"), "n", F.col("pivot.n").alias("m")).where("a <> b").where(alike).select("a", "b").distinct()
     names = classes.select("content", _node().alias("node"))
-    star = written(star, "star")
+    star = plain(star, "star")
     links = _confirmed(star, _sets_of(star.select(F.explode(F.array("a", "b")).alias("content")), classes, texts))
     roots = _roots(links, names)
     apart = _apart(shared.select("key", "content", "n", _node().alias("own")), roots)
     sets = _sets_of(apart.select("content"), classes, texts)
     found = apart.join(sets, "content").groupBy("key", "i", "j").applyInArrow(_block_links, "a binary, b binary")
-    links = written(links.unionByName(found.distinct()), "all-links")
-    roots = written(_roots(links, names), "roots")
-    result = written(classes.select("content", "rep").join(roots, "content", "left").select("content", F.coalesce("root.rep", "rep").alias("component_id")), "components")
+    links = plain(links.unionByName(found.distinct()), "all-links")
+    roots = plain(_roots(links, names), "roots")
+    result = plain(classes.select("content", "rep").join(roots, "content", "left").select("content", F.coalesce("root.rep", "rep").alias("component_id")), "components")
     return rows.select("_id", "content", "n").join(result, "content", "left").withColumn("component_id", F.coalesce("component_id", "_id"))
 
 
@@ -181,28 +181,28 @@ def _united(members: DataFrame, roots: DataFrame) -> DataFrame:
     smallest member that it meets in any such bucket, then the smallest that one of those took. Buckets whose members
     agree are one unit, if their members then cross fewer times and meet in fewer pairs; all others are units of their own.
     """
-    placed = written(members.join(roots, "content", "left").withColumn("root", F.coalesce("root", "own").getField("content")).drop("own"), "placed")
+    placed = plain(members.join(roots, "content", "left").withColumn("root", F.coalesce("root", "own").getField("content")).drop("own"), "placed")
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("members"), F.min("content").alias("least"))
-    mixed = written(mixed.where("low <> high and members > 2").select("key", "least"), "mixed")
-    left = written(placed.join(mixed, "key"), "unfinished")
-    labels = written(left.groupBy("content").agg(F.min("least").alias("label")), "labels")
-    least = written(left.drop("least").join(labels, "content").groupBy("key").agg(F.min("label").alias("least")), "least")
-    labels = written(left.drop("least").join(least, "key").groupBy("content").agg(F.min("least").alias("label")), "labels")
-    named = written(left.drop("least").join(labels, "content"), "labelled")
+    mixed = plain(mixed.where("low <> high and members > 2").select("key", "least"), "mixed")
+    left = plain(placed.join(mixed, "key"), "unfinished")
+    labels = plain(left.groupBy("content").agg(F.min("least").alias("label")), "labels")
+    least = plain(left.drop("least").join(labels, "content").groupBy("key").agg(F.min("label").alias("least")), "least")
+    labels = plain(left.drop("least").join(least, "key").groupBy("content").agg(F.min("least").alias("label")), "labels")
+    named = plain(left.drop("least").join(labels, "content"), "labelled")
 
     def cost(n: Column, shingles: Column) -> list[Column]:
         return [(shingles * _blocks(n, shingles)).alias("sent"), (n * n).alias("pairs")]
 
     keys = named.groupBy("key").agg(F.min("label").alias("label"), F.max("label").alias("_other"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("s")).where("label = _other")
-    keys = written(keys.select("key", "label", *cost(F.col("m"), F.col("s"))), "agreed")
+    keys = plain(keys.select("key", "label", *cost(F.col("m"), F.col("s"))), "agreed")
     apart = keys.groupBy("label").agg(F.sum("sent").alias("sent_apart"), F.sum("pairs").alias("pairs_apart"))
     whole = named.join(keys.select("key"), "key", "left_semi").select("label", "content", "n").distinct()
     whole = whole.groupBy("label").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("s")).select("label", *cost(F.col("m"), F.col("s")))
     better = whole.join(apart, "label").where("sent < sent_apart and pairs <= pairs_apart").select("label")
-    united = written(keys.join(better, "label").select("key", F.col("label").alias("_unit")), "united")
+    united = plain(keys.join(better, "label").select("key", F.col("label").alias("_unit")), "united")
     alone = F.concat(F.lit("key "), F.col("key").cast("string")).cast("binary")
     units = named.join(united, "key", "left").select(F.coalesce("_unit", alone).alias("key"), "content", "n", "root")
-    return written(units.distinct(), "units")
+    return plain(units.distinct(), "units")
 
 
 def _blocks(members: Column, total: Column) -> Column:
@@ -217,7 +217,7 @@ def _apart(members: DataFrame, roots: DataFrame) -> DataFrame:
     rest = _blocks(F.col("members") - F.col("top.members"), F.col("total") - F.col("top.total"))
     sized = units.select("key", F.col("top.root").alias("top"), rest.alias("rest"), _blocks(F.col("top.members"), F.col("top.total")).alias("tops"))
     # blocks of the largest component come after those of the rest, and meet those alone
-    dealt = placed.join(written(sized, "sized"), "key").withColumn("_top", F.col("root") == F.col("top"))
+    dealt = placed.join(plain(sized, "sized"), "key").withColumn("_top", F.col("root") == F.col("top"))
     own = F.when(F.col("_top"), F.col("rest") + F.pmod(F.xxhash64("content"), F.col("tops"))).otherwise(F.pmod(F.xxhash64("content"), F.col("rest")))
     met = F.when(F.col("_top"), F.col("rest")).otherwise(F.col("rest") + F.col("tops"))
     dealt = dealt.withColumn("block", own).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), met - 1)))
@@ -275,6 +275,8 @@ def _block_links(members: pa.Table) -> pa.Table:
             x, y = np.nonzero((100 * shared >= PERCENT * union) & (component[rows][:, None] != component[right][None, :]))
             if len(x):
                 component = _joined(component, rows[x], right[y], links)
+    del lists, owner, shingle, sizes
+    release_memory()
     return pa.table({"a": pa.array([content[i] for i, _ in links], pa.binary()), "b": pa.array([content[i] for _, i in links], pa.binary())})
 
 
