@@ -101,7 +101,21 @@ def _values(texts: np.ndarray, width: int) -> pa.Array:
     return pc.ascii_trim_whitespace(pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(places), pa.py_buffer(raw)]))
 
 
-def _entries(data: bytes, seg: dict, signs: bool = False) -> Columns | None:
+def _is_keyed(numbers: np.ndarray, keys: Columns | None) -> bool:
+    """Whether a segment's numbers are keys of segment 0 rather than pages: all are known there, or all are odd, as keys
+    are, and most are known (the others lead nowhere). Without a key table they are pages, whatever their number."""
+    if keys is None or not keys["u32_key"].size or not numbers.size:
+        return False
+    return keyed_by(len(numbers), int(np.isin(numbers, keys["u32_key"]).sum()), bool((numbers % 2 == 1).all()))
+
+
+def keyed_by(count: int, known: int, odd: bool) -> bool:
+    """The rule of ``_is_keyed`` for ``count`` numbers, ``known`` of them known and all of them ``odd`` or not."""
+    return count > 0 and (known == count or odd and 2 * known > count)
+
+
+def _entries(data: bytes, seg: dict, signs: bool = False, keys: Columns | None = None, keyed: bool | None = None, blanks: bool = False) -> Columns | None:
+    """Entries of a segment, all of them with ``blanks``; ``keys`` are those of segment 0, unless ``keyed`` says what the numbers are."""
     width = seg["field_width"]
     if width <= 0:
         return None
@@ -120,11 +134,10 @@ def _entries(data: bytes, seg: dict, signs: bool = False) -> Columns | None:
     rows = rows[: broken[0]] if len(broken) else rows
     if not len(rows):
         return None
-    # keys are odd throughout; a page of three or more is even sooner or later
-    keyed = len(rows) >= 3 and bool((rows["u16"] % 2 == 1).all())
+    keyed = _is_keyed(rows["u32"].astype("int64"), keys) if keyed is None else keyed
     values = _values(rows["text"], width)
     shown = pc.not_equal(values, "") if signs else pc.match_substring_regex(values, r"(?s)^.{0,4}[0-9A-Za-z]")
-    kept = np.flatnonzero(shown.to_numpy(zero_copy_only=False))
+    kept = np.arange(len(rows)) if blanks else np.flatnonzero(shown.to_numpy(zero_copy_only=False))
     size = len(kept)
     zeros = np.zeros(size, "int64")
     return {
@@ -276,9 +289,9 @@ def map_entry(
             asked = dict.fromkeys((w["line_id"], w["field_id"]) for w in want)
             first = {(s["line_id"], s["field_id"]): s for s in reversed(named)}
             named = [first[k] for k in asked if k in first]
-        keys = _page_keys(data, segs) if resolve else None
+        keys = _page_keys(data, segs) if named else None
         for seg in named:
-            entries = _entries(data, seg, signs)
+            entries = _entries(data, seg, signs, keys)
             if entries is not None:
                 entries = _matching(entries, text, prefix)
                 if resolve:

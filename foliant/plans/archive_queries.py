@@ -10,6 +10,7 @@ from foliant.operators import containers as ct
 from foliant.operators import filters as fl
 from foliant.operators import generators as gen
 from foliant.operators import mapindex as mi
+from foliant.operators import mapsearch as ms
 from foliant.operators import resources as rs
 from foliant.operators import search as se
 from foliant.operators import sets as st
@@ -17,7 +18,7 @@ from foliant.operators import spool as sp
 from foliant.operators import windows as wi
 from foliant.plans.encode import container_bytes, index_bytes
 from foliant.plans.registry import query, spread, table, view
-from foliant.scale import scratch_path
+from foliant.scale import cut_lineage, scratch_path
 from foliant.sources import files as fs
 from foliant.sources.ranges import list_files, write_files
 from foliant.streaming import ingest
@@ -455,8 +456,7 @@ def _(spark, sf):
 
 _ENTRIES = f"""SELECT doc_id, page, trim(substr(regexp_replace(substr(list_extract(string_split(text, chr(10)), i), 1, 20), '[^A-Za-z0-9 ]', '', 'g'), 1, 12)) AS value
   FROM (SELECT *, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM ({_DOC_PAGES}) AS p) AS q"""
-# a keyed file with fewer than three entries cannot be told from a plain one, so such files are written plain
-_VALUES = f"""SELECT doc_id, value, doc_id % 2 = 1 AND count(*) OVER (PARTITION BY doc_id) >= 3 AS keyed, page FROM ({_ENTRIES}) AS e WHERE length(value) >= 3 AND regexp_matches(substr(value, 1, 5), '[A-Za-z0-9]')"""
+_VALUES = f"""SELECT doc_id, value, doc_id % 2 = 1 AS keyed, page FROM ({_ENTRIES}) AS e WHERE length(value) >= 3 AND regexp_matches(substr(value, 1, 5), '[A-Za-z0-9]')"""
 
 
 def index_files(spark, sf):
@@ -466,7 +466,7 @@ def index_files(spark, sf):
     entry = lambda line, i: F.struct(value(line).alias("value"), (F.floor(i / 4) + 1).cast("long").alias("page"))
     real = lambda e: (F.length(e["value"]) >= 3) & F.substring(e["value"], 1, 5).rlike("[A-Za-z0-9]")
     files = docs.select("doc_id", F.filter(F.transform(F.split("text", "\n"), entry), real).alias("e")).filter(F.size("e") > 0)
-    keyed = (F.col("doc_id") % 2 == 1) & (F.size("e") >= 3)
+    keyed = F.col("doc_id") % 2 == 1
     return files.select(
         F.concat(F.lit("D"), F.col("doc_id").cast("string"), F.lit(".MAP")).alias("file"), index_bytes(F.col("e.value"), F.col("e.page"), keyed).alias("content")
     )
@@ -483,7 +483,7 @@ def _(spark, sf):
     return mi.map_segment(index_files(spark, sf)).select(_doc(), "segment_no", "line_id", "field_width", "entry_count")
 
 
-@query("map_entry", f"SELECT doc_id, value, CASE WHEN keyed THEN 0 ELSE 2 * page END AS page, CASE WHEN keyed THEN 'u32_index' ELSE 'page' END AS format, count(*) AS copies FROM ({_VALUES}) AS v GROUP BY ALL")
+@query("map_entry", f"SELECT doc_id, value, CASE WHEN keyed THEN 0 ELSE page END AS page, CASE WHEN keyed THEN 'u32_index' ELSE 'page' END AS format, count(*) AS copies FROM ({_VALUES}) AS v GROUP BY ALL")
 def _(spark, sf):
     rows = mi.map_entry(index_files(spark, sf)).groupBy("file", "value", "page", "format").agg(F.count("*").alias("copies"))
     return rows.select(_doc(), "value", "page", "format", "copies")
@@ -508,6 +508,32 @@ def search_index(spark, sf):
     return rows.groupBy("file", "value").agg(F.count("*").alias("hits")).select(_doc(), "value", "hits")
 
 
+def stored_indexes(spark, sf):
+    """A listing of the index files, written to the shared folder."""
+    path = scratch_path(spark, "indexes")
+    write_files(index_files(spark, sf), path)
+    return list_files(spark, path, "*.MAP", by_name=True)
+
+
+@query("search_stored_index", f"SELECT doc_id, value, page, count(*) AS hits FROM ({_VALUES}) AS v WHERE value LIKE 'The%' GROUP BY ALL")
+def _(spark, sf):
+    """As search_index, with pages, by seeks in stored files."""
+    catalogue = cut_lineage(ms.index_catalogue(stored_indexes(spark, sf)))
+    rows = ms.search_stored(catalogue, 4, 2, "The", prefix=True)
+    return rows.groupBy("file", "value", "page").agg(F.count("*").alias("hits")).select(_doc(), "value", "page", "hits")
+
+
+@query("index_catalogue", f"SELECT doc_id, 4::BIGINT AS line_id, 2::BIGINT AS field_id, keyed, true AS sorted, count(*) AS entries FROM ({_VALUES}) AS v GROUP BY doc_id, keyed")
+def _(spark, sf):
+    return ms.index_catalogue(stored_indexes(spark, sf)).select(_doc(), "line_id", "field_id", "keyed", "sorted", "entries")
+
+
+@query("list_fields_stored", f"SELECT doc_id, CAST(4 AS BIGINT) AS line_id, CAST(2 AS BIGINT) AS field_id, CAST(12 AS BIGINT) AS field_width, count(*) AS entry_count FROM ({_VALUES}) AS v GROUP BY doc_id")
+def _(spark, sf):
+    """Indexed fields of stored files, of which headers alone are read."""
+    return mi.list_fields(ms.read_segments(stored_indexes(spark, sf))).select(_doc(), "line_id", "field_id", "field_width", "entry_count")
+
+
 @query("search_index_table", f"SELECT doc_id, value, count(*) AS hits FROM ({_VALUES}) AS v WHERE value = 'The' OR value = 'And' GROUP BY doc_id, value")
 def _(spark, sf):
     path = scratch_path(spark, "entries")
@@ -517,13 +543,13 @@ def _(spark, sf):
     return rows.groupBy("file", "value").agg(F.count("*").alias("hits")).select(_doc(), "value", "hits")
 
 
-@query("entries_with_pages", f"SELECT doc_id, value, CASE WHEN keyed THEN page ELSE 2 * page END AS page, count(*) AS copies FROM ({_VALUES}) AS v GROUP BY ALL")
+@query("entries_with_pages", f"SELECT doc_id, value, page, count(*) AS copies FROM ({_VALUES}) AS v GROUP BY ALL")
 def _(spark, sf):
     rows = mi.map_entry(index_files(spark, sf), resolve=True).groupBy("file", "value", "page").agg(F.count("*").alias("copies"))
     return rows.select(_doc(), "value", "page", "copies")
 
 
-@query("resolve_pages", f"SELECT DISTINCT doc_id, CASE WHEN keyed THEN page ELSE 2 * page END AS page FROM ({_VALUES}) AS v WHERE value >= 'T'")
+@query("resolve_pages", f"SELECT DISTINCT doc_id, page FROM ({_VALUES}) AS v WHERE value >= 'T'")
 def resolve_pages(spark, sf):
     files = index_files(spark, sf)
     entries = mi.map_entry(files).filter("value >= 'T'")
@@ -591,7 +617,7 @@ def _(spark, sf):
 @query(
     "search_and_extract",
     f"""WITH latest AS (SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY lang, source ORDER BY doc_id DESC) AS rn FROM documents WHERE contains(source, 'src1')) AS x WHERE rn = 1),
-      hit AS (SELECT DISTINCT v.doc_id, CASE WHEN keyed THEN page ELSE 2 * page END AS page FROM ({_VALUES}) AS v JOIN latest USING (doc_id) WHERE value LIKE 'T%'),
+      hit AS (SELECT DISTINCT v.doc_id, page FROM ({_VALUES}) AS v JOIN latest USING (doc_id) WHERE value LIKE 'T%'),
       ln AS (SELECT p.doc_id, p.page, i AS line_no, list_extract(string_split(text, chr(10)), i) AS t FROM (SELECT *, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM ({_DOC_PAGES}) AS z) AS p JOIN hit USING (doc_id, page)),
       sc AS (SELECT *, list_sum(list_transform(range(1, 9), lambda k: CASE WHEN k > length(t) THEN 3 WHEN regexp_full_match(substr(t, k, 1), '[\\p{{L}}]') THEN 10 WHEN regexp_full_match(substr(t, k, 1), '[0-9]') THEN 7
         WHEN contains('*#@&()', substr(t, k, 1)) THEN 5 WHEN substr(t, k, 1) = ' ' THEN 3 ELSE 0 END)) / 80.0 AS score FROM ln)
@@ -793,7 +819,7 @@ def _(spark, sf):
     return spark.read.parquet(target).select("event_id", "user_id")
 
 
-@query("intersect_search_and_sections", f"SELECT DISTINCT v.doc_id, CASE WHEN keyed THEN v.page ELSE 2 * v.page END AS page FROM ({_VALUES}) AS v JOIN ({_DOC_SECTIONS}) AS s ON s.doc_id = v.doc_id AND s.section_id = 102 AND (CASE WHEN keyed THEN v.page ELSE 2 * v.page END) BETWEEN s.start_page AND s.start_page + s.page_count - 1")
+@query("intersect_search_and_sections", f"SELECT DISTINCT v.doc_id, v.page FROM ({_VALUES}) AS v JOIN ({_DOC_SECTIONS}) AS s ON s.doc_id = v.doc_id AND s.section_id = 102 AND v.page BETWEEN s.start_page AND s.start_page + s.page_count - 1")
 def _(spark, sf):
     files, maps = containers(spark, sf), index_files(spark, sf)
     found = mi.found_pages(mi.resolve_pages(mi.map_entry(maps), mi.map_page_key(maps))).withColumn("file", F.regexp_replace("file", "MAP$", "RPT"))

@@ -53,7 +53,8 @@ def index(segments: list[tuple[int, int, int, list[tuple[str, int]]]], page_keys
     first[:8] = mark
     records = b"".join(struct.pack("<IBBBII", page, 0, 8, 0, key, 0) for key, page in page_keys)
     records = records or b"".join(bytes(row) for row in lookups) + bytes(8)
-    out = bytes(head) + bytes(first) + records
+    out = bytearray(head) + first + records
+    struct.pack_into("<I", out, len(head) + 16, len(out) if segments else 0)
     for number, (line, field, width, entries) in enumerate(segments, 1):
         seg = bytearray(0xCD)
         seg[:8] = mark
@@ -62,8 +63,10 @@ def index(segments: list[tuple[int, int, int, list[tuple[str, int]]]], page_keys
         body = b"".join(
             struct.pack("<H", width) + value.encode("ascii", "replace")[:width].ljust(width) + struct.pack("<IB", n, 0) for value, n in entries
         )
-        out += bytes(seg) + body
-    return out
+        if number < len(segments):
+            struct.pack_into("<I", seg, 16, len(out) + len(seg) + len(body))
+        out += seg + body
+    return bytes(out)
 
 
 @F.pandas_udf(BinaryType())
@@ -85,14 +88,13 @@ container_bytes = once(container_bytes)
 def index_bytes(values: pd.Series, pages: pd.Series, keyed: pd.Series) -> pd.Series:
     """One index file per row with a single field (line 4, field 2) of width 12.
 
-    Plain files hold twice the page number, so that not all numbers are odd; keyed files hold
-    odd keys 1, 3, 5, ... resolved by segment 0.
+    Plain files hold page numbers; keyed files hold odd keys 1, 3, 5, ... resolved by segment 0.
     """
 
     def build(v, p, k):
         rows = sorted(zip(v, p))
         if not k:
-            return index([(4, 2, 12, [(value, 2 * int(page)) for value, page in rows])], lookups=[(1, 4, 2, 0)])
+            return index([(4, 2, 12, [(value, int(page)) for value, page in rows])], lookups=[(1, 4, 2, 0)])
         keys = [2 * i + 1 for i in range(len(rows))]
         return index([(4, 2, 12, [(value, key) for (value, _), key in zip(rows, keys)])], [(key, int(page)) for key, (_, page) in zip(keys, rows)])
 

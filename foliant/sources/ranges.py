@@ -32,11 +32,15 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.[Rr][Pp][Tt]", rec
 
 
 def _place(uri: str) -> tuple[fs.FileSystem, str]:
-    uri = re.sub(r"^file:/(?!/)", "file:///", uri)
-    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+    """File system and path of a listed file, whose name may hold characters that a URI would escape."""
+    if uri.startswith("file:") or "://" not in uri:
+        return fs.LocalFileSystem(), re.sub(r"^file:(//)?(?=/)", "", uri)
+    root, path = re.fullmatch(r"([^:]+://[^/]*)(.*)", uri, re.DOTALL).groups()
+    system, base = fs.FileSystem.from_uri(root + "/")
+    return system, base.rstrip("/") + path
 
 
-def _open(uri: str):
+def open_file(uri: str):
     system, place = _place(uri)
     return system.open_input_file(place)
 
@@ -48,7 +52,7 @@ def read_heads(files: DataFrame) -> DataFrame:
         for batch in batches:
             parts = []
             for uri in batch.column("path").to_pylist():
-                with _open(uri) as f:
+                with open_file(uri) as f:
                     parts.append(f.read_at(HEADER_BYTES, 0))
             yield pa.record_batch([batch.column("file"), batch.column("length"), pa.array(parts, pa.binary())], ["file", "length", "content"])
 
@@ -66,7 +70,7 @@ def read_tables(files: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, (uri, length) in enumerate(zip(batch.column("path").to_pylist(), batch.column("length").to_pylist())):
-                with _open(uri) as f:
+                with open_file(uri) as f:
                     head = f.read_at(min(HEADER_BYTES, length), 0)
                     end = int.from_bytes(head[PACKED_END_AT : PACKED_END_AT + 4], "little")
                     start = max(end - BEFORE, HEADER_BYTES)
@@ -99,7 +103,7 @@ def read_slices(wanted: DataFrame) -> DataFrame:
                 if offset is not None and uri != held:
                     if source is not None:
                         source.close()
-                    held, source = uri, _open(uri)
+                    held, source = uri, open_file(uri)
                 packed = source.read_at(span, offset) if offset is not None else None
                 yield pa.record_batch([*[batch.column(c).slice(row, 1) for c in ("file", "page", "size")], pa.array([packed], pa.binary())], ["file", "page", "size", "packed"])
         if source is not None:

@@ -12,6 +12,7 @@ from foliant.operators.containers import SECTION_COUNT_AT
 from foliant.operators import filters as fl
 from foliant.operators import instances as ins
 from foliant.operators import mapindex as mi
+from foliant.operators import mapsearch as ms
 from foliant.operators import search as se
 from foliant.operators import sets as st
 from foliant.plans.encode import container, index
@@ -110,11 +111,64 @@ def entry_rows(spark, content):
     return mi.map_entry(frame(spark, m=content)).orderBy("segment_no", "entry_no").collect()
 
 
-def test_index_format_needs_three_odd_numbers(spark):
-    two = entry_rows(spark, index([(4, 2, 6, [("AB", 1), ("CD", 3)])]))
-    assert [(r["value"], r["page"], r["format"]) for r in two] == [("AB", 1, "page"), ("CD", 3, "page")]
-    three = entry_rows(spark, index([(4, 2, 6, [("AB", 1), ("CD", 3), ("EF", 65537)])]))
-    assert [(r["u32_key"], r["format"]) for r in three] == [(1, "u32_index"), (3, "u32_index"), (65537, "u32_index")]
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 300])
+def test_index_format_is_told_from_the_key_table(spark, n):
+    """Entries are keyed where segment 0 knows their numbers; without a key table they are pages, odd ones too."""
+    for pages in ([1] * n, [2 * i + 1 for i in range(n)], list(range(1, n + 1))):
+        plain = entry_rows(spark, index([(4, 2, 6, [(f"v{i:03}", page) for i, page in enumerate(pages)])]))
+        assert [(r["page"], r["format"]) for r in plain] == [(page, "page") for page in pages]
+    keys = [(2 * i + 1, i + 7) for i in range(300)]
+    mixed = index([(4, 2, 6, [(f"v{i:03}", 2 * i + 1) for i in range(n)]), (5, 2, 6, [(f"v{i:03}", 2 * i + 2) for i in range(n)])], keys)
+    rows = mi.map_entry(frame(spark, m=mixed), resolve=True).orderBy("segment_no", "entry_no").collect()
+    assert [(r["page"], r["format"]) for r in rows] == [(i + 7, "u32_index") for i in range(n)] + [(2 * i + 2, "page") for i in range(n)]
+
+
+def stored_indexes(spark, tmp_path):
+    """Plain, keyed, unsorted, repeated, broken and large files."""
+    many = [(f"k{i // 3:05}", 2 * i + 1) for i in range(30_000)]
+    files = {
+        "plain": index([(4, 2, 6, [("AB", 1), ("AB", 3), ("ABC", 2), ("B", 4)]), (4, 2, 6, [("AB", 9)]), (9, 1, 200, [("w" * 200, 5)])], lookups=[(1, 4, 2, 0)]),
+        "keyed": index([(4, 2, 6, many), (5, 2, 3, [("--", 2), ("AB", 2)])], [(key, i + 1) for i, (_, key) in enumerate(many)]),
+        "unsorted": index([(4, 2, 6, [("B", 8), ("AB", 6), (" AB", 1), ("", 2)])]),
+        "repeated keys": index([(4, 2, 4, [("AB", 1), ("B", 3), ("C", 9)])], [(1, 70), (3, 2), (1, 7)]),
+        "no entries": index([(4, 2, 6, [])]),
+        "no segments": index([]),
+        "broken": b"broken",
+        "empty": b"",
+    }
+    unchained = bytearray(files["plain"])
+    at = unchained.find("**ME".encode("utf-16le"))
+    unchained[at + 16 : at + 20] = bytes(4)
+    for name, data in (files | {"unchained": bytes(unchained)}).items():
+        (tmp_path / f"{name}.map").write_bytes(data)
+    listed = rg.list_files(spark, str(tmp_path), "*.map")
+    return listed, fs.scan_map(spark, str(tmp_path)).withColumn("file", F.col("path"))
+
+
+def test_segments_of_stored_files_by_headers(spark, tmp_path):
+    listed, whole = stored_indexes(spark, tmp_path)
+    got = ms.read_segments(listed)
+    assert sorted(map(tuple, got.drop("bytes_read").collect())) == sorted(map(tuple, mi.map_segment(whole).collect()))
+    read = {r["file"]: r["bytes_read"] for r in got.collect()}
+    (large,) = [n for f, n in read.items() if f.endswith("/keyed.map")]
+    assert large < 8_000
+
+
+def test_search_in_stored_files_equals_decoding(spark, tmp_path):
+    listed, whole = stored_indexes(spark, tmp_path)
+    catalogue = ms.index_catalogue(listed).cache()
+    for prefix in (False, True):
+        for value in (" AB ", "B", "ABC", "k00000", "k05000", "k09999", "k1", "k0012", "zz", "w" * 200, "--"):
+            for line, field in ((4, 2), (5, 2), (9, 1)):
+                want = mi.map_entry(whole, line, field, value, prefix, resolve=True)
+                got = ms.search_stored(catalogue, line, field, value, prefix)
+                assert sorted(map(tuple, got.drop("bytes_read").collect())) == sorted(map(tuple, want.collect())), (value, prefix)
+    size = {r["file"]: r["length"] for r in listed.collect()}
+    for row in ms.search_stored(catalogue, 4, 2, "k05000").collect():
+        # about log2(390,000 / 4096) blocks of entries and as many of keys
+        assert row["bytes_read"] < 24 * ms.BLOCK and size[row["file"]] > 800_000
+    assert [r["page"] for r in ms.search_stored(catalogue, 4, 2, "k05000").orderBy("page").collect()] == [15_001, 15_002, 15_003]
+    assert ms.search_stored(catalogue, 7, 7, "AB").count() == 0
 
 
 def test_blank_values_are_skipped_but_counted_in_the_sample(spark):
