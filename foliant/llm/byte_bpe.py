@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import public_tokenizers
@@ -26,17 +27,36 @@ CERTAIN = regex.compile(r"(?<=\S)(?=\s)|(?<=\p{L})(?=\P{L})|(?<=\p{N})(?=\P{N})"
 
 
 class Encoder:
-    """A rank file with its pattern; made once in a worker."""
+    """A rank file with its pattern, kept in a worker; each part is made when it is first asked for, so that a worker
+    that only encodes or only decodes does not hold the other's tables."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.whole = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks, special_tokens={})
-        self.pattern = regex.compile(public_tokenizers.PATTERN)
-        table: list[bytes | None] = [None] * (max(self.ranks.values()) + 1)
-        for token, i in self.ranks.items():
+        self.path = path
+
+    def _read(self) -> dict[bytes, int]:
+        with open(self.path, "rb") as f:
+            return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+
+    @cached_property
+    def ranks(self) -> dict[bytes, int]:
+        return self._read()
+
+    @cached_property
+    def whole(self) -> tiktoken.Encoding:
+        return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.ranks, special_tokens={})
+
+    @cached_property
+    def pattern(self) -> regex.Pattern:
+        return regex.compile(public_tokenizers.PATTERN)
+
+    @cached_property
+    def by_id(self) -> pa.Array:
+        """Bytes of each id."""
+        ranks = self._read()
+        table: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
             table[i] = token
-        self.by_id = pa.array(table, pa.large_binary())
+        return pa.array(table, pa.large_binary())
 
     def piece(self, text: str) -> list[int]:
         """Ids of one match of the pattern."""
