@@ -19,7 +19,7 @@ from foliant.functions.text import object_format, object_header, strip_ext
 from foliant.functions.udf import once
 from foliant.operators.sets import compare_outputs
 from foliant.scale import ordered_concat, small_side
-from foliant.sources.ranges import read_heads, read_slices, read_tables
+from foliant.sources.ranges import read_heads, read_parts, read_slices, read_tables
 
 # Layout of the container.
 BASE_OFFSET = 0xF0
@@ -222,7 +222,7 @@ def rpt_object(files: DataFrame) -> DataFrame:
     return _valid(_with_tables(files)).select("file", F.explode(_objects()).alias("o")).select("file", "o.*")
 
 
-def _unpack(packed: bytes | None, size: int) -> bytes | None:
+def unpack(packed: bytes | None, size: int) -> bytes | None:
     if packed is None or size is None or len(packed) < size:
         return None
     for candidate in (packed[: int(size)], packed):
@@ -236,7 +236,7 @@ def _unpack(packed: bytes | None, size: int) -> bytes | None:
 @F.pandas_udf(BinaryType())
 def inflate(packed: pd.Series, size: pd.Series) -> pd.Series:
     """Inflate one zlib stream per row; a stream that fails is retried with the slack bytes, then NULL."""
-    return pd.Series([_unpack(p, s) for p, s in zip(packed, size)], dtype=object)
+    return pd.Series([unpack(p, s) for p, s in zip(packed, size)], dtype=object)
 
 
 inflate = once(inflate)
@@ -246,7 +246,7 @@ inflate = once(inflate)
 def inflate_all(packed: pd.Series) -> pd.Series:
     """Inflate and join the streams of one document in order; broken streams are left out."""
     def document(streams):
-        parts = [_unpack(s["packed"], s["size"]) for s in streams] if streams is not None else []
+        parts = [unpack(s["packed"], s["size"]) for s in streams] if streams is not None else []
         return b"".join(p for p in parts if p is not None)
 
     return packed.map(document)
@@ -301,28 +301,49 @@ def page_text(files: DataFrame, pages: DataFrame | None = None, encoding: str =
     return raw.select("file", "page", status.alias("status"), F.decode(F.col("_raw"), encoding).alias("text"))
 
 
-def _first_page_slice() -> Column:
-    table = _page_table()
+def _first_place(table: Column, width: int, size_at: int) -> Column:
+    """(offset, size) of a table's first row, NULL without one."""
     return _let(
         table,
         lambda t: F.when(
-            F.octet_length(t) >= PAGE_ROW,
-            F.struct(_slice(F.col("content"), u32(t, F.lit(0)) + BASE_OFFSET, u32(t, F.lit(16))).alias("packed"), u32(t, F.lit(16)).alias("size")),
+            F.octet_length(t) >= width, F.struct((u32(t, F.lit(0)) + BASE_OFFSET).alias("offset"), u32(t, F.lit(size_at)).alias("size"))
         ),
     )
 
 
+def _cut_parts(rows: DataFrame) -> DataFrame:
+    """Rows whose ``_parts``, places (offset, size) in their file, became (packed, size).
+
+    With ``content`` the bytes are cut out of it; of a listed file only these places are read.
+    """
+    if "path" not in rows.columns:
+        cut = lambda p: F.struct(_slice(F.col("content"), p["offset"], p["size"]).alias("packed"), p["size"].alias("size"))
+        return rows.withColumn("_parts", F.transform("_parts", cut)).drop("content", "length")
+
+    def place(p: Column) -> Column:
+        inside = (p["offset"] >= 0) & (p["offset"] < F.col("length")) & (p["size"] > 0)
+        span = F.least(p["size"], F.col("length") - p["offset"])
+        return F.struct(F.when(inside, p["offset"]).alias("offset"), F.when(inside, span).alias("span"), p["size"].alias("size"))
+
+    return read_parts(rows.withColumn("_parts", F.transform("_parts", place)).drop("content", "length"), "_parts").drop("path", "bytes_read")
+
+
+def _listed(files: DataFrame) -> list[str]:
+    return [] if "content" in files.columns else ["path"]
+
+
 def rpt_document(files: DataFrame) -> DataFrame:
     """Embedded objects of a file joined in order to one document with name and format.
 
-    The slices stay in the file's own row, so there is no shuffle.
+    The slices stay in the file's own row, so there is no shuffle. Of listed files the header and the tables are read
+    first, then all objects and the first page, and nothing of files without objects.
     """
-    content = F.col("content")
-    packed = F.transform(
-        _objects(), lambda o: F.struct(_slice(content, o["offset"], o["compressed_size"]).alias("packed"), o["compressed_size"].alias("size"))
-    )
-    rows = _valid(files).select("file", packed.alias("_o"), _first_page_slice().alias("_p")).filter(F.size("_o") > 0)
-    rows = rows.select("file", inflate_all("_o").alias("document"), inflate(F.col("_p.packed"), F.col("_p.size")).alias("_page"))
+    places = F.transform(_objects(), lambda o: F.struct(o["offset"].alias("offset"), o["compressed_size"].alias("size")))
+    rows = _valid(_with_tables(files)).select("file", "content", "length", *_listed(files), places.alias("_o"))
+    first = _first_place(_page_table(), PAGE_ROW, 16)
+    rows = _cut_parts(rows.filter(F.size("_o") > 0).withColumn("_parts", F.concat(F.array(first), "_o")).drop("_o"))
+    page = F.element_at("_parts", 1)
+    rows = rows.select("file", inflate_all(F.slice("_parts", F.lit(2), F.size("_parts"))).alias("document"), inflate(page["packed"], page["size"]).alias("_page"))
     rows = rows.withColumn("_hdr", object_header(latin1(F.col("_page"))))
     rows = rows.withColumn("extension", object_format(F.col("document"), F.col("_hdr")))
     named = F.try_element_at(F.col("_hdr"), F.lit("Object File Name"))
@@ -333,23 +354,23 @@ def rpt_document(files: DataFrame) -> DataFrame:
 
 
 def rpt_inventory(files: DataFrame) -> DataFrame:
-    """RPT_FILE, REPORT_SPECIES_ID, SECTION_COUNT, PAGES, BINARY (PDF, AFP or '') of the valid files."""
-    content = F.col("content")
-    first = _let(
-        _object_table(),
-        lambda t: F.when(
-            F.octet_length(t) >= OBJECT_ROW,
-            F.struct(_slice(content, u32(t, F.lit(0)) + BASE_OFFSET, u32(t, F.lit(12))).alias("packed"), u32(t, F.lit(12)).alias("size")),
-        ),
-    )
-    rows = _valid(files).filter(F.col("length") >= 0x200).select(
+    """RPT_FILE, REPORT_SPECIES_ID, SECTION_COUNT, PAGES, BINARY (PDF, AFP or '') of the valid files.
+
+    Of listed files the header, the tables and the first object are read.
+    """
+    rows = _valid(_with_tables(files)).filter(F.col("length") >= 0x200).select(
         F.col("file").alias("RPT_FILE"),
-        _species(content).alias("REPORT_SPECIES_ID"),
+        _species(F.col("content")).alias("REPORT_SPECIES_ID"),
         _header_number(SECTION_COUNT_AT, 0x1F0).alias("SECTION_COUNT"),
         _header_number(PAGE_COUNT_AT, 0x1F0).alias("PAGES"),
-        first.alias("_f"),
+        "content",
+        "length",
+        *_listed(files),
+        F.array(_first_place(_object_table(), OBJECT_ROW, 12)).alias("_parts"),
     )
-    rows = rows.withColumn("_raw", inflate(F.col("_f.packed"), F.col("_f.size")))
+    rows = _cut_parts(rows)
+    first = F.element_at("_parts", 1)
+    rows = rows.withColumn("_raw", inflate(first["packed"], first["size"]))
     length = F.octet_length("_raw")
     field = F.conv(F.hex(F.substring("_raw", 2, 2)), 16, 10).cast("long")
     magic = F.hex(F.substring("_raw", 1, 4))

@@ -20,6 +20,7 @@ from foliant.plans.encode import container_bytes, index_bytes
 from foliant.plans.registry import query, spread, table, view
 from foliant.scale import cut_lineage, scratch_path
 from foliant.sources import files as fs
+from foliant.sources.pages import scan_pages
 from foliant.sources.ranges import list_files, write_files
 from foliant.streaming import ingest
 
@@ -431,6 +432,32 @@ def _(spark, sf):
     return ct.rpt_inventory(containers(spark, sf))
 
 
+_DOC_OBJECTS = """SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN encode('%PDF-1.4 part one part two ' || CAST(doc_id AS VARCHAR)) ELSE unhex('5A0008D3A8A80000') || encode(text) END AS document
+  FROM documents WHERE doc_id % 10 = 0 OR doc_id % 11 = 0"""
+
+
+@query("scan_rpt_document", f"SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 'PDF' ELSE 'AFP' END AS format, sha256(document) AS document_sha256 FROM ({_DOC_OBJECTS}) AS o")
+def _(spark, sf):
+    """Embedded documents of stored files, read by ranges."""
+    return ct.rpt_document(stored_containers(spark, sf)).select(_doc(), "format", F.sha2("document", 256).alias("document_sha256"))
+
+
+@query(
+    "scan_rpt_inventory",
+    f"SELECT 'D' || CAST(doc_id AS VARCHAR) || '.RPT' AS RPT_FILE, doc_id AS REPORT_SPECIES_ID, CAST(ceil(n / 3) AS BIGINT) AS SECTION_COUNT, n AS PAGES, CASE WHEN doc_id % 10 = 0 THEN 'PDF' WHEN doc_id % 11 = 0 THEN 'AFP' ELSE '' END AS BINARY FROM ({_DOC_FILES}) AS f",
+)
+def _(spark, sf):
+    return ct.rpt_inventory(stored_containers(spark, sf))
+
+
+@query("source_pages_all", f"SELECT doc_id, page, 'ok' AS status, text FROM ({_DOC_PAGES}) AS p")
+def _(spark, sf):
+    """Every page of every file through the data source of report pages."""
+    path = scratch_path(spark, "reports")
+    write_files(containers(spark, sf), path)
+    return scan_pages(spark, path).select(_doc(), "page", "status", "text")
+
+
 @query("report_text_concat", f"SELECT doc_id, string_agg(text, chr(12) || chr(10) ORDER BY page) AS text FROM ({_DOC_PAGES}) AS p GROUP BY doc_id")
 def _(spark, sf):
     return ct.report_text(ct.page_text(containers(spark, sf)), "concat").select(_doc(), "text")

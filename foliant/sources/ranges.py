@@ -7,18 +7,22 @@ bytes they need.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import accumulate, groupby
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from foliant.functions.text import base_name
 
 # The header's length, where it has the end of the packed data, and the names of the tables behind it.
 HEADER_BYTES, PACKED_END_AT, BEFORE = 512, 0x1E8, 16
 TABLES = (b"SECTIONHDR", b"PAGETBLHDR")
+#: Places at most GAP bytes apart are read at once, up to RUN_BYTES; a task holds about HELD_BYTES of slices between two batches.
+GAP, RUN_BYTES, HELD_BYTES = 64 << 10, 8 << 20, 8 << 20
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*.[Rr][Pp][Tt]", recursive: bool = True, by_name: bool = False) -> DataFrame:
@@ -40,6 +44,12 @@ def _place(uri: str) -> tuple[fs.FileSystem, str]:
     return system, base.rstrip("/") + path
 
 
+def locate(uri: str) -> tuple[fs.FileSystem, str, str]:
+    """File system and path of a folder, and what to put in front of its file system's paths to open them again."""
+    system, place = _place(uri)
+    return system, place, "" if uri.startswith("file:") or "://" not in uri else re.match(r"[^:]+://[^/]*", uri).group()
+
+
 def open_file(uri: str):
     system, place = _place(uri)
     return system.open_input_file(place)
@@ -88,30 +98,81 @@ def read_tables(files: DataFrame) -> DataFrame:
     return files.select("file", "path", "length").mapInArrow(read, "file string, path string, length long, content binary, bytes_read long")
 
 
+def read_runs(source, places: Sequence[tuple[int, int] | None]) -> tuple[list[bytes | None], int]:
+    """Bytes of each (offset, span), None for None, and the number of bytes read; near places share one read."""
+    found: list[bytes | None] = [None] * len(places)
+    order = sorted((i for i, place in enumerate(places) if place is not None), key=lambda i: places[i])
+    done = at = 0
+    while at < len(order):
+        first, span = places[order[at]]
+        end, stop = first + span, at + 1
+        while stop < len(order):
+            offset, span = places[order[stop]]
+            if offset > end + GAP or offset + span - first > RUN_BYTES:
+                break
+            end, stop = max(end, offset + span), stop + 1
+        part = source.read_at(end - first, first)
+        done += len(part)
+        for i in order[at:stop]:
+            offset, span = places[i]
+            found[i] = part[offset - first : offset - first + span]
+        at = stop
+    return found, done
+
+
 def read_slices(wanted: DataFrame) -> DataFrame:
     """(file, page, size, packed) of ``wanted`` (file, path, page, size, offset, span): ``span`` bytes of each file at
     ``offset``; a null offset reads nothing.
 
-    Rows of one file that follow each other share one open file.
+    Rows of one file that follow each other share one open file, and slices that lie near each other one read.
     """
     schema = "file string, page long, size long, packed binary"
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, source = None, None
         for batch in batches:
-            for row, (uri, offset, span) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("path", "offset", "span")))):
-                if offset is not None and uri != held:
-                    if source is not None:
-                        source.close()
-                    held, source = uri, open_file(uri)
-                packed = source.read_at(span, offset) if offset is not None else None
-                yield pa.record_batch([*[batch.column(c).slice(row, 1) for c in ("file", "page", "size")], pa.array([packed], pa.binary())], ["file", "page", "size", "packed"])
-        if source is not None:
-            source.close()
+            uris, offsets, spans = (batch.column(c).to_pylist() for c in ("path", "offset", "span"))
+            share = [held // HELD_BYTES for held in accumulate(span or 0 for span in spans)]
+            for _, rows in groupby(range(batch.num_rows), share.__getitem__):
+                rows, packed = list(rows), []
+                for uri, some in groupby(rows, uris.__getitem__):
+                    places = [None if offsets[r] is None else (offsets[r], spans[r]) for r in some]
+                    if any(places):
+                        with open_file(uri) as f:
+                            places = read_runs(f, places)[0]
+                    packed += places
+                kept = [batch.column(c).slice(rows[0], len(rows)) for c in ("file", "page", "size")]
+                yield pa.record_batch([*kept, pa.array(packed, pa.binary())], ["file", "page", "size", "packed"])
 
     return wanted.select("file", "path", "page", "size", "offset", "span").mapInArrow(read, schema)
 
 
+def read_parts(wanted: DataFrame, parts: str = "parts") -> DataFrame:
+    """``wanted`` (path, ``parts`` and more columns) with the bytes of each row's parts instead of their places.
+
+    ``parts`` is an array of (offset, span, size) and becomes one of (packed, size); a null offset gives null bytes. All
+    parts of a file are read in as few reads as their distances allow, and ``bytes_read`` counts them.
+    """
+    rest = [c for c in wanted.columns if c != parts]
+    kind = pa.list_(pa.struct([("packed", pa.binary()), ("size", pa.int64())]))
+    new = StructType.fromDDL(f"`{parts}` array<struct<packed:binary,size:bigint>>, bytes_read long")
+    schema = StructType([wanted.schema[c] for c in rest] + new.fields)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, uri in enumerate(batch.column("path").to_pylist()):
+                asked = batch.column(parts)[row].as_py() or []
+                places = [None if p is None or p["offset"] is None else (p["offset"], p["span"]) for p in asked]
+                found, done = places, 0
+                if any(places):
+                    with open_file(uri) as f:
+                        found, done = read_runs(f, places)
+                cells = [{"packed": b, "size": None if p is None else p["size"]} for b, p in zip(found, asked)]
+                kept = [batch.column(c).slice(row, 1) for c in rest]
+                yield pa.record_batch([*kept, pa.array([cells], kind), pa.array([done])], [*rest, parts, "bytes_read"])
+
+    return wanted.select(*rest, parts).mapInArrow(read, schema)
+
+
 def write_files(contents: DataFrame, path: str) -> None:
     """Write each row's ``content`` (file, content) to a file of its own below ``path``, from the tasks; written again
     by a retried task, a file is the same."""

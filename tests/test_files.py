@@ -1,11 +1,13 @@
 """Report containers and index files: edge cases of the layouts, real files on disk, readback."""
 
 import json
+import os
 import struct
 
 import pytest
 
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo, In, StringContains
 
 from foliant.operators import containers as ct
 from foliant.operators.containers import SECTION_COUNT_AT
@@ -17,6 +19,7 @@ from foliant.operators import search as se
 from foliant.operators import sets as st
 from foliant.plans.encode import container, index
 from foliant.sources import files as fs
+from foliant.sources import pages as ps
 from foliant.sources import ranges as rg
 
 
@@ -318,3 +321,90 @@ def test_listed_files_are_read_by_ranges(spark, tmp_path):
     only = listed.where(F.col("path").contains("/a/")).select("file", F.lit(3).alias("page")).collect()
     (tmp_path / "b" / "same.rpt").write_bytes(b"")
     assert ct.page_text(listed, spark.createDataFrame(only), "ISO-8859-1").first()["status"] == "ok"
+
+
+def test_embedded_objects_are_read_by_ranges(spark, tmp_path):
+    """Same documents and inventory as from whole contents; only tables, objects and one page are read."""
+    pages = [b"page %d " % i + bytes(os.urandom(20_000)) for i in range(40)]
+    header = b"Object Header Page: v1\nObject File Name: stmt.PDF\n"
+    (tmp_path / "a.rpt").write_bytes(container(7, [header, *pages], [(5, 1, 41)], [b"%PDF-1.4 ", bytes(os.urandom(3000)), b"end"]))
+    (tmp_path / "b.rpt").write_bytes(container(8, pages, [(5, 1, 40)], [b"\x5a\x00\x08\xd3\xa8\xa8\x00\x00 rest"]))
+    (tmp_path / "none.rpt").write_bytes(container(9, pages, [(5, 1, 40)]))
+    broken = bytearray(container(10, [b"t"], [], [b"%PDF-1.4 " + os.urandom(500), b"tail"]))
+    broken[broken.index(b"x\x01", 0x200 + 9) + 20] ^= 255
+    (tmp_path / "broken.rpt").write_bytes(bytes(broken))
+    (tmp_path / "short.rpt").write_bytes(b"RPTFILEHDR")
+    (tmp_path / "empty.rpt").write_bytes(b"")
+    whole = fs.scan_rpt(spark, str(tmp_path))
+    listed = rg.list_files(spark, str(tmp_path), by_name=True)
+    for operator in (ct.rpt_document, ct.rpt_inventory):
+        got, expected = (sorted(map(tuple, operator(f).collect())) for f in (listed, whole))
+        assert got == expected and len(got) >= 3
+    assert {r["document_name"] for r in ct.rpt_document(listed).collect()} >= {"stmt.PDF", "b_binary.afp"}
+
+
+def test_near_places_share_a_read_and_far_ones_do_not(tmp_path):
+    data = bytes(range(256)) * 8192
+    (tmp_path / "f").write_bytes(data)
+    places = [(2_000_000, 10), None, (100, 5), (110, 5), (0, 4), (2_097_150, 50)]
+    with rg.open_file(str(tmp_path / "f")) as f:
+        found, done = rg.read_runs(f, places)
+        assert found == [None if p is None else data[p[0] : p[0] + p[1]] for p in places]
+        assert done == 115 + 10 + 2
+        assert rg.read_runs(f, []) == ([], 0)
+
+
+def test_parts_are_counted(spark, tmp_path):
+    (tmp_path / "f").write_bytes(bytes(1_000_000))
+    kind = "path string, parts array<struct<offset:bigint,span:bigint,size:bigint>>, extra string"
+    rows = spark.createDataFrame([(str(tmp_path / "f"), [(0, 10, 10), None, (20, 5, 5), (900_000, 7, 7), (None, None, 3)], "x"), (str(tmp_path / "gone"), [], None)], kind)
+    got = [(r["extra"], [p["packed"] and len(p["packed"]) for p in r["parts"]], r["bytes_read"]) for r in rg.read_parts(rows).collect()]
+    assert got == [("x", [10, None, 5, 7, None], 32), (None, [], 0)]
+
+
+class _Counted:
+    """An open file that counts the bytes read."""
+
+    def __init__(self, source, log):
+        self.source, self.log = source, log
+
+    def read_at(self, n, at):
+        part = self.source.read_at(n, at)
+        self.log.append(len(part))
+        return part
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.source.close()
+
+
+def test_page_source_opens_only_what_is_asked_for(spark, tmp_path, monkeypatch):
+    pages = [b"page %d " % i + os.urandom(9000).hex().encode() for i in range(40)]
+    for name in ("a.RPT", "b.rpt", "sub/c.rpt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(container(7, pages, [(5, 1, 40)], [b"%PDF-1.4"]))
+    cut = container(7, [b"one", b"two" * 50], [])
+    (tmp_path / "cut.rpt").write_bytes(cut[:0x1D4] + (9).to_bytes(4, "little") + cut[0x1D8:])
+    (tmp_path / "empty.rpt").write_bytes(b"")
+    (tmp_path / "other.txt").write_bytes(b"no container")
+    rows = ps.scan_pages(spark, str(tmp_path))
+    whole = fs.scan_rpt(spark, str(tmp_path))
+    assert sorted(map(tuple, rows.select("file", "page", "status", "text").collect())) == sorted(map(tuple, ct.page_text(whole).collect()))
+    some = rows.where("file = 'b.rpt' AND page IN (3, 40, 41)")
+    assert sorted((r["file"], r["page"], r["text"].encode() == pages[r["page"] - 1]) for r in some.collect()) == [("b.rpt", 3, True), ("b.rpt", 40, True)]
+    assert "Filter" not in some._jdf.queryExecution().executedPlan().toString().split("BatchScan")[0]
+    assert rows.where("page >= 39 AND length > 500000").count() == rows.where("page + 0 >= 39 AND length > 500000").count()
+    assert rows.where("file = 'none'").count() == 0
+
+    opened, log = [], []
+    monkeypatch.setattr(ps, "open_file", lambda uri: (opened.append(uri), _Counted(rg.open_file(uri), log))[1])
+    reader = ps.PageReader({"path": str(tmp_path)})
+    rest = list(reader.pushFilters([EqualTo(("file",), "b.rpt"), In(("page",), (3, 40)), StringContains(("text",), "x")]))
+    assert rest == [StringContains(("text",), "x")]
+    assert sum(b.num_rows for part in reader.partitions() for b in reader.read(part)) == 2
+    assert [o.rpartition("/")[2] for o in opened] == ["b.rpt"]
+    assert sum(log) < (tmp_path / "b.rpt").stat().st_size / 5
+    packed = ps.PageReader({"path": str(tmp_path), "partitionbytes": "300000", "openbytes": "0"}).partitions()
+    assert len(packed) >= 3 and sorted(f for p in packed for f in p.files) == ps.PageReader({"path": str(tmp_path)}).listing()
