@@ -846,6 +846,26 @@ def _(spark, sf):
     return spark.read.parquet(target).select("event_id", "user_id")
 
 
+@query(
+    "outcome_log",
+    "SELECT CAST(user_id AS VARCHAR) AS SPECIES_ID, event_type || '_' || CAST(event_id AS VARCHAR) || '.TXT' AS FILENAME, CASE WHEN value > 100 THEN 'ERROR' ELSE 'SUCCESS' END AS STATUS FROM events",
+)
+def _(spark, sf):
+    """Log of a stream in several batches, resumed after new files came and once more without any."""
+    source, target, progress, log = (scratch_path(spark, n) for n in ("events", "outcomes", "progress", "log"))
+    events = table(spark, sf, "events")
+    half = F.pmod(F.xxhash64("event_id"), F.lit(2))
+    status = F.when(F.col("value") > 100, "ERROR").otherwise("SUCCESS").alias("status")
+    outcome = lambda df: df.select(
+        F.col("user_id").alias("species_id"), F.concat("event_type", F.lit("_"), F.col("event_id").cast("string"), F.lit(".TXT")).alias("filename"), status
+    )
+    for arrived in (half == 0, half == 1, None):
+        if arrived is not None:
+            events.where(arrived).repartition(4, "event_id").write.mode("append").parquet(source)
+        ingest.ingest_incremental(spark, source, events.schema, target, progress, outcome, files_per_batch=2, log=log)
+    return ingest.read_log(spark, log).select("SPECIES_ID", "FILENAME", "STATUS")
+
+
 @query("intersect_search_and_sections", f"SELECT DISTINCT v.doc_id, v.page FROM ({_VALUES}) AS v JOIN ({_DOC_SECTIONS}) AS s ON s.doc_id = v.doc_id AND s.section_id = 102 AND v.page BETWEEN s.start_page AND s.start_page + s.page_count - 1")
 def _(spark, sf):
     files, maps = containers(spark, sf), index_files(spark, sf)

@@ -39,10 +39,7 @@ def ingest_incremental(
         reader = reader.option("pathGlobFilter", glob)
 
     def write(batch: DataFrame, number: int) -> None:
-        out = transform(batch)
-        out.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={number}")
-        if log:
-            append_log(out, f"{log.rstrip('/')}/batch={number}")
+        write_batch(transform(batch), number, target, log)
 
     query = (
         reader.load(source)
@@ -54,9 +51,27 @@ def ingest_incremental(
     query.awaitTermination()
 
 
-def append_log(df: DataFrame, path: str) -> None:
-    """Outcome log of a batch, with one spelling of each key; a repeated batch replaces its own part."""
-    log_rows(df).write.mode("overwrite").parquet(path)
+def write_batch(out: DataFrame, number: int, target: str, log: str | None = None) -> None:
+    """Rows of one batch in a folder of its own, which a repeated batch replaces, then the log of what was written.
+
+    The log reads the written rows, so ``out`` is computed once, and a batch is never logged before its rows are there.
+    """
+    part = f"{target.rstrip('/')}/batch={number}"
+    out.write.mode("overwrite").parquet(part)
+    if log:
+        append_log(out.sparkSession.read.schema(out.schema).parquet(part), log, number)
+
+
+def append_log(df: DataFrame, path: str, number: int) -> None:
+    """Outcome log of batch ``number``, with one spelling of each key, next to the other batches' parts of the log below
+    ``path``; a repeated batch replaces its own part and no other."""
+    log_rows(df).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number}")
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The whole log, with the number of the batch that wrote each row."""
+    kinds = ", ".join(f"{c} string" for c in LOG_COLUMNS[:-1])
+    return spark.read.schema(f"{kinds}, {LOG_COLUMNS[-1]} timestamp, batch long").parquet(path)
 
 
 def log_rows(df: DataFrame) -> DataFrame:

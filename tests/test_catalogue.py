@@ -278,3 +278,30 @@ def test_stream_resumes_and_logs(spark, tmp_path):
     assert rows.count() == 15 and {r["STATUS"] for r in rows.collect()} == {"PLANNED"}
     done = spark.read.parquet(target)
     assert ingest.pending_rows(spark.range(20).withColumnRenamed("id", "SPECIES_ID"), done, ["SPECIES_ID"]).count() == 5
+
+
+def test_a_repeated_batch_is_logged_once(spark, tmp_path, monkeypatch):
+    """A batch that fails after its rows were written runs again and replaces rows and log of its own."""
+    src, out, log, state = (str(tmp_path / n) for n in ("in", "out", "log", "state"))
+    spark.range(30).selectExpr("id AS species_id", "concat('f', id) AS filename", "'ok' AS status", "id AS extra").repartition(3).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    run = lambda: ingest.ingest_incremental(spark, src, schema, out, state, files_per_batch=1, log=log)
+    real, calls = ingest.append_log, []
+
+    def fails_once(df, path, number):
+        calls.append(number)
+        if calls == [0, 1]:
+            raise RuntimeError("lost")
+        real(df, path, number)
+
+    monkeypatch.setattr(ingest, "append_log", fails_once)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    assert ingest.read_log(spark, log).select("batch").distinct().count() == 1
+    run()
+    run()
+    assert calls == [0, 1, 1, 2]
+    rows = ingest.read_log(spark, log)
+    assert sorted(int(r["SPECIES_ID"]) for r in rows.collect()) == list(range(30))
+    assert rows.where("LOGGED_AT IS NULL OR FILENAME <> concat('f', SPECIES_ID)").count() == 0
+    assert spark.read.parquet(out).count() == 30
