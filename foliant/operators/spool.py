@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructType
@@ -22,6 +24,8 @@ SLOT, OTHER_CLASS, SIGN, BLANK = 10, 7, 5, 3
 SPACE, SPACE_MISMATCH, LITERAL = 5, 1, 30
 LONG_TEMPLATE = 10
 SCORE_CHUNK = 8192
+#: Values up to which each is tested on its own.
+MANY_VALUES = 16
 
 
 def line_block(line_no: str = "line_no") -> Column:
@@ -114,21 +118,55 @@ def page_context(hits: DataFrame, paged: DataFrame, label: str = "BRANCH", keys:
     return hits.join(heads, [*keys, "page"], "left")
 
 
+def _values_in(values: Sequence[str]):
+    """Per text the list of the values that it holds; one automaton per task finds all of them in one pass."""
+
+    @F.arrow_udf(ArrayType(StringType()))
+    def found(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for i, value in enumerate(values):
+            if value:
+                automaton.add_word(value, i)
+        automaton.make_automaton()
+        everywhere = {i for i, value in enumerate(values) if not value}
+        listed = pa.array(values, pa.string())
+        for batch in texts:
+            hits = [everywhere | {i for _, i in automaton.iter(t)} if t is not None else () for t in batch.to_pylist()]
+            ends = np.append(0, np.cumsum([len(h) for h in hits]))
+            which = np.fromiter((i for h in hits for i in sorted(h)), np.int64, int(ends[-1]))
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), listed.take(pa.array(which)))
+
+    return once(found)
+
+
+def values_in_text(values: Sequence[str], text: str = "text") -> Column:
+    """The values that a text holds. A few are tested one by one inside the scan, many by an automaton (Aho and
+    Corasick), whose time does not depend on their number; both give the same lists."""
+    distinct = list(dict.fromkeys(values))
+    if any(distinct) and len(distinct) > MANY_VALUES:
+        return _values_in(distinct)(F.col(text))
+    listed = F.array(*[F.lit(v) for v in distinct]) if distinct else F.array().cast("array<string>")
+    return F.filter(listed, lambda v: F.col(text).contains(v))
+
+
+def first_positions(placed: DataFrame, values: Sequence[str], keys: Sequence[str] = ("file",)) -> DataFrame:
+    """First line of each file that contains each value, of lines that know their page and byte offset; the minimum per
+    (file, value) is taken map-side."""
+    hits = placed.withColumn("_in", values_in_text(values)).withColumn("value", F.explode("_in"))
+    first = F.min(F.struct("line_no", "page", "line_in_page", "byte_offset"))
+    return hits.groupBy(*keys, "value").agg(first.alias("f")).select(*keys, "value", "f.*")
+
+
 def spool_positions(
     values: Sequence[str], paged: DataFrame, eol_bytes: int = 1, keys: Sequence[str] = ("file",)
 ) -> DataFrame:
     """First line that contains each value, per file: line, page, line in page, byte offset.
 
-    ``values`` is the user's own list, so it becomes a literal array tested inside the scan;
-    the minimum per (file, value) is taken map-side, and byte offsets use the line-block
-    running sum.
+    ``values`` is the user's own list and is sent to the tasks; byte offsets use the line-block running sum.
     """
     size = F.octet_length("text") + eol_bytes
     placed = running_sum(paged.withColumn("_size", size), keys, ["line_no"], F.col("_size"), "_end", line_block())
-    wanted = F.array(*[F.lit(v) for v in values])
-    hits = placed.withColumn("value", F.explode(F.filter(wanted, lambda v: F.col("text").contains(v))))
-    first = F.min(F.struct("line_no", "page", "line_in_page", (F.col("_end") - F.col("_size")).alias("byte_offset")))
-    return hits.groupBy(*keys, "value").agg(first.alias("f")).select(*keys, "value", "f.*")
+    return first_positions(placed.withColumn("byte_offset", F.col("_end") - F.col("_size")), values, keys)
 
 
 def prepared_template(template: Column) -> Column:

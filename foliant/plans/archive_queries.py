@@ -15,6 +15,7 @@ from foliant.operators import resources as rs
 from foliant.operators import search as se
 from foliant.operators import sets as st
 from foliant.operators import spool as sp
+from foliant.operators import textindex as ti
 from foliant.operators import windows as wi
 from foliant.plans.encode import container_bytes, index_bytes
 from foliant.plans.registry import query, spread, table, view
@@ -116,6 +117,18 @@ def _(spark, sf):
     return sp.search_lines(_lines(spark, sf), "On", case_sensitive=True).select("file", "line_no", "match_start")
 
 
+def text_index(spark, sf):
+    """Text index of all documents' lines in the shared folder."""
+    path = scratch_path(spark, "text-index")
+    ti.build_text_index(sp.paginate(_lines(spark, sf)), path)
+    return path
+
+
+@query("search_lines_indexed", _HITS.replace("'on'", "'ation'").replace("* 2 AS", "* 5 AS"))
+def _(spark, sf):
+    return ti.search_text_index(spark, text_index(spark, sf), " aTion ").select("file", "line_no", "match_start")
+
+
 @query(
     "page_context",
     f"""WITH p AS ({_PAGED}), q AS (SELECT *, line_no - min(line_no) OVER (PARTITION BY file, page) AS lip, CASE WHEN line_no % 9 = 2 THEN 'BRANCH : ' || CAST(file AS VARCHAR) || 'x  ' || text ELSE text END AS t FROM p)
@@ -130,16 +143,31 @@ def _(spark, sf):
     return sp.page_context(hits, marked).select("file", "line_no", "context")
 
 
-@query(
-    "spool_positions",
-    f"""WITH p AS (SELECT *, line_no - min(line_no) OVER (PARTITION BY file, page) AS line_in_page, sum(strlen(text) + 1) OVER (PARTITION BY file ORDER BY line_no) - strlen(text) - 1 AS byte_offset FROM ({_PAGED}) AS x)
+_POSITIONS = f"""WITH p AS (SELECT *, line_no - min(line_no) OVER (PARTITION BY file, page) AS line_in_page, sum(strlen(text) + 1) OVER (PARTITION BY file ORDER BY line_no) - strlen(text) - 1 AS byte_offset FROM ({_PAGED}) AS x)
     SELECT file, value, arg_min(line_no, line_no) AS line_no, arg_min(page, line_no) AS page, arg_min(line_in_page, line_no) AS line_in_page, CAST(arg_min(byte_offset, line_no) AS BIGINT) AS byte_offset
-    FROM p JOIN (VALUES ('ation'), ('the'), ('eau'), ('und der')) AS v(value) ON contains(text, value) GROUP BY file, value""",
-)
+    FROM p JOIN (VALUES ('ation'), ('the'), ('eau'), ('und der')) AS v(value) ON contains(text, value) GROUP BY file, value"""
+
+
+@query("spool_positions", _POSITIONS)
 def _(spark, sf):
     return sp.spool_positions(["ation", "the", "eau", "und der"], sp.paginate(_lines(spark, sf)))
 
 
+@query("spool_positions_indexed", _POSITIONS)
+def _(spark, sf):
+    return ti.positions_from_index(spark, text_index(spark, sf), ["ation", "the", "eau", "und der"])
+
+
+@query(
+    "spool_positions_many",
+    _POSITIONS.replace("(VALUES ('ation'), ('the'), ('eau'), ('und der')) AS v(value)", "(SELECT DISTINCT substr(text, 1, 12) AS value FROM benchmark) AS v"),
+)
+def _(spark, sf):
+    # the asked values are a list of the caller's, here the openings of all benchmark items
+    values = [r[0] for r in table(spark, sf, "benchmark").select(F.substring("text", 1, 12)).distinct().collect()]
+    return sp.spool_positions(values, sp.paginate(_lines(spark, sf)))
+
+
 _LINE_DEF = "SELECT item_id % 4 AS STRUCTURE_DEF_ID, item_id AS LINE_ID, 'LINE ' || CAST(item_id AS STRING) AS NAME, regexp_replace(regexp_replace(substr(text, 1, 30), '[a-zA-Z]', 'A'{g}), '[0-9]', '9'{g}) || '*  ' AS TEMPLATE FROM {benchmark}"
 _STRUCTURE = "doc_id % 4"
 
