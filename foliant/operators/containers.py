@@ -10,7 +10,7 @@ import zlib
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
@@ -18,7 +18,7 @@ from foliant.functions.binary import byte_find, latin1, u16, u32
 from foliant.functions.text import object_format, object_header, strip_ext
 from foliant.functions.udf import once
 from foliant.operators.sets import compare_outputs
-from foliant.scale import ordered_concat, small_side
+from foliant.scale import ordered_concat, running_sum, small_side
 from foliant.sources.ranges import read_heads, read_parts, read_slices, read_tables
 
 # Layout of the container.
@@ -30,6 +30,7 @@ NEAR_BYTES = 4096
 SLACK = 64
 PAGES_PER_BLOCK = 512
 PAGES_TO_BROADCAST = 1_000_000
+PART_BYTES = 64 << 20
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -401,6 +402,41 @@ def report_text(pages: DataFrame, mode: str = "page", objects: DataFrame | None
     return good.join(has, "file", "left").filter(~header).select("file", "page", "text")
 
 
+def report_parts(pages: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
+    """(file, part, page, byte_offset, text): where each page stands in its report's text file and in which part of it.
+
+    Offsets come from the running sum over blocks of pages. A part begins with the first page that starts in its
+    ``part_bytes``, so it holds that many bytes and the rest of one page, however long the report is; a part in which
+    no page starts does not exist.
+    """
+    good = pages.filter(F.col("status") == "ok").select("file", "page", "text")
+    sized = good.withColumn("_size", F.octet_length("text") + len("\f\n"))
+    placed = running_sum(sized, ["file"], ["page"], F.col("_size"), "_end", F.floor(F.col("page") / PAGES_PER_BLOCK))
+    offset = F.col("_end") - F.col("_size")
+    return placed.select("file", F.floor(offset / part_bytes).alias("part"), "page", offset.alias("byte_offset"), "text")
+
+
+def write_report_text(pages: DataFrame, path: str, part_bytes: int = PART_BYTES) -> None:
+    """Every report as text below ``path``: pages joined by form feed and newline, one newline at the end.
+
+    ``file=<name>/part=<number>`` holds one text file; the text files of a report in the order of their part numbers,
+    one after another, are its text, of any size. Each part is sorted and written by one task, which no other part
+    waits for, so neither a cell nor a task ever holds a whole report.
+    """
+    parts = report_parts(pages, part_bytes)
+    last = parts.groupBy("file").agg(F.max("page").alias("_last"))
+    mark = F.when(F.col("page") < F.col("_last"), "\f").otherwise("")
+    rows = parts.join(last, "file").select("file", "part", "page", F.concat("text", mark).alias("value"))
+    dealt = rows.repartition("file", "part").sortWithinPartitions("file", "part", "page")
+    dealt.select("value", "file", "part").write.mode("overwrite").partitionBy("file", "part").text(path)
+
+
+def read_report_parts(spark: SparkSession, path: str) -> DataFrame:
+    """(file, part, text) of written reports, one row for each part."""
+    rows = spark.read.schema("value string, file string, part long").text(path, wholetext=True)
+    return rows.select("file", "part", F.col("value").alias("text"))
+
+
 def page_metrics(pages: DataFrame, text: str = "text") -> DataFrame:
     """Line width (longest line), line count and byte size of a page."""
     lines = F.split(F.col(text), r"\r?\n")

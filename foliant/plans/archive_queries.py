@@ -326,19 +326,28 @@ _DOC_PAGES = """SELECT doc_id, lang, CAST(k AS BIGINT) AS page, array_to_string(
 _DOC_FILES = f"SELECT doc_id, max(n) AS n FROM ({_DOC_PAGES}) AS p GROUP BY doc_id"
 
 
+_HEADER = "Object Header Page:\nObject File Name=report"
+_HEADED_PAGES = f"""SELECT doc_id, CAST(page + CASE WHEN doc_id % 10 = 0 OR doc_id % 11 = 0 THEN 1 ELSE 0 END AS BIGINT) AS page, text, false AS header FROM ({_DOC_PAGES}) AS d
+  UNION ALL SELECT doc_id, 1, '{_HEADER}', true FROM documents WHERE doc_id % 10 = 0 OR doc_id % 11 = 0"""
+
+
 def _page_array():
     lines = F.split(F.col("text"), "\n")
     count = F.ceil(F.size(lines) / 4)
     return F.transform(F.sequence(F.lit(1), count), lambda k: F.array_join(F.slice(lines, (k * 4 - 3).cast("int"), F.lit(4)), "\n"))
 
 
-def containers(spark, sf):
-    """Every document as a report container of four-line pages; every tenth carries a two-part PDF, every eleventh an AFP object."""
+def containers(spark, sf, headers=False):
+    """Every document as a report container of four-line pages; every tenth carries a two-part PDF, every eleventh an AFP object.
+
+    With ``headers`` a report with objects begins with an object header page.
+    """
     doc = F.col("doc_id")
     pdf = F.array(F.lit(b"%PDF-1.4 part one "), F.concat(F.lit(b"part two "), doc.cast("string").cast("binary")))
     afp = F.array(F.concat(F.unhex(F.lit("5A0008D3A8A80000")), F.col("text").cast("binary")))
     objects = F.when(doc % 10 == 0, pdf).when(doc % 11 == 0, afp)
-    content = container_bytes(doc, _page_array(), objects)
+    pages = F.when(F.lit(headers) & objects.isNotNull(), F.concat(F.array(F.lit(_HEADER)), _page_array())).otherwise(_page_array())
+    content = container_bytes(doc, pages, objects)
     docs = spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
     rows = docs.select(F.concat(F.lit("D"), doc.cast("string"), F.lit(".RPT")).alias("file"), content.alias("content"))
     return rows.withColumn("length", F.octet_length("content").cast("long"))
@@ -491,12 +500,24 @@ def _(spark, sf):
     return ct.report_text(ct.page_text(containers(spark, sf)), "concat").select(_doc(), "text")
 
 
-@query("report_text_page", f"SELECT doc_id, page, text FROM ({_DOC_PAGES}) AS p")
+@query("report_text_page", f"SELECT doc_id, page, text FROM ({_HEADED_PAGES}) AS p WHERE NOT header")
 def _(spark, sf):
-    files = containers(spark, sf)
+    files = containers(spark, sf, headers=True)
     return ct.report_text(ct.page_text(files), "page", ct.rpt_object(files)).select(_doc(), "page", "text")
 
 
+@query(
+    "report_text_files",
+    f"""WITH p AS (SELECT *, strlen(text) + 2 AS size, max(page) OVER (PARTITION BY doc_id) AS pages FROM ({_HEADED_PAGES}) AS h),
+    o AS (SELECT *, sum(size) OVER (PARTITION BY doc_id ORDER BY page) - size AS begins FROM p)
+    SELECT doc_id, CAST(floor(begins / 1024) AS BIGINT) AS part, string_agg(text || CASE WHEN page < pages THEN chr(12) ELSE '' END || chr(10), '' ORDER BY page) AS text FROM o GROUP BY ALL""",
+)
+def _(spark, sf):
+    path = scratch_path(spark, "report-text")
+    ct.write_report_text(ct.page_text(containers(spark, sf, headers=True)), path, part_bytes=1024)
+    return ct.read_report_parts(spark, path).select(_doc(), "part", "text")
+
+
 @query("readback", f"SELECT doc_id, page, 'only_a' AS status FROM ({_DOC_PAGES}) AS p WHERE page = 2")
 def _(spark, sf):
     files = containers(spark, sf)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from foliant.functions import text as tx
 from foliant.operators import aggregates as ag
 from foliant.operators import filters as fl
+from foliant.operators import hashtree as ht
 from foliant.operators import hierarchy as hi
 from foliant.operators import instances as ins
 from foliant.operators import retention as rt
@@ -907,6 +908,23 @@ def _(spark, sf):
     return st.compare_outputs(a, b, ["o_orderkey"]).select("o_orderkey", "status")
 
 
+_CHANGED = "SELECT o_orderkey, o_custkey, CASE WHEN o_totalprice > 450000 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice FROM orders WHERE o_totalprice >= 2000"
+
+
+@query(
+    "compare_stored_outputs",
+    "SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN 'only_a' ELSE 'mismatch' END AS status "
+    f"FROM orders AS a LEFT JOIN ({_CHANGED}) AS b ON a.o_orderkey = b.o_orderkey WHERE a.o_orderstatus IS DISTINCT FROM b.o_orderstatus",
+)
+def _(spark, sf):
+    base = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    status = F.when(F.col("o_totalprice") > 450000, "X").otherwise(F.col("o_orderstatus"))
+    a, b = scratch_path(spark, "output-a"), scratch_path(spark, "output-b")
+    ht.store_with_tree(base, a, ["o_orderkey"])
+    ht.store_with_tree(base.filter("o_totalprice >= 2000").withColumn("o_orderstatus", status), b, ["o_orderkey"])
+    return ht.compare_stored(spark, a, b, ["o_orderkey"]).select("o_orderkey", "status")
+
+
 @query(
     "compare_by_position",
     "WITH a AS (SELECT o_orderkey AS k, row_number() OVER (ORDER BY o_orderkey) - 1 AS position FROM orders WHERE o_orderkey <> 700), b AS (SELECT o_orderkey AS k, row_number() OVER (ORDER BY o_orderkey) - 1 AS position FROM orders "

@@ -408,3 +408,21 @@ def test_page_source_opens_only_what_is_asked_for(spark, tmp_path, monkeypatch):
     assert sum(log) < (tmp_path / "b.rpt").stat().st_size / 5
     packed = ps.PageReader({"path": str(tmp_path), "partitionbytes": "300000", "openbytes": "0"}).partitions()
     assert len(packed) >= 3 and sorted(f for p in packed for f in p.files) == ps.PageReader({"path": str(tmp_path)}).listing()
+
+
+def test_report_text_is_written_in_ordered_parts(spark, tmp_path):
+    texts = {"a.rpt": ["é" * n + f" page {n}" for n in (3, 40, 0, 7, 500, 1)], "b.rpt": ["one"], "c d.rpt": ["", ""]}
+    rows = [(f, i, "ok", t) for f, pages in texts.items() for i, t in enumerate(pages, 1)] + [("a.rpt", 9, "out_of_range", None)]
+    pages = spark.createDataFrame(rows, "file string, page long, status string, text string").repartition(7)
+    target = str(tmp_path / "text")
+    ct.write_report_text(pages, target, part_bytes=64)
+    got = {}
+    for r in sorted(ct.read_report_parts(spark, target).collect()):
+        assert len(r["text"].encode()) < 64 + max(len(t.encode()) for t in texts[r["file"]]) + 2
+        got[r["file"]] = got.get(r["file"], "") + r["text"]
+    assert got == {f: "\f\n".join(pages) + "\n" for f, pages in texts.items()}
+    # a part is one file
+    assert all(len([n for n in names if n.endswith(".txt")]) == 1 for _, dirs, names in os.walk(target) if not dirs)
+    first = {(r["part"], r["byte_offset"]) for r in ct.report_parts(pages, 64).where("file = 'a.rpt'").collect()}
+    assert (0, 0) in first and all(at // 64 == part for part, at in first) and len({p for p, _ in first}) > 2
+    ct.write_report_text(pages.limit(0), str(tmp_path / "none"))
