@@ -149,11 +149,13 @@ def values_in_text(values: Sequence[str], text: str = "text") -> Column:
     return F.filter(listed, lambda v: F.col(text).contains(v))
 
 
-def first_positions(placed: DataFrame, values: Sequence[str], keys: Sequence[str] = ("file",)) -> DataFrame:
-    """First line of each file that contains each value, of lines that know their page and byte offset; the minimum per
+def first_positions(
+    placed: DataFrame, values: Sequence[str], keys: Sequence[str] = ("file",), places: Sequence[str] = ("page", "line_in_page", "byte_offset")
+) -> DataFrame:
+    """First line of each file that contains each value, with what the lines know of their ``places``; the minimum per
     (file, value) is taken map-side."""
     hits = placed.withColumn("_in", values_in_text(values)).withColumn("value", F.explode("_in"))
-    first = F.min(F.struct("line_no", "page", "line_in_page", "byte_offset"))
+    first = F.min(F.struct("line_no", *places))
     return hits.groupBy(*keys, "value").agg(first.alias("f")).select(*keys, "value", "f.*")
 
 

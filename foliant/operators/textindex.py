@@ -1,7 +1,7 @@
 """Stored text index of spool lines: which blocks of lines hold three given characters in a row.
 
-``build_text_index`` writes two Parquet tables below one folder: ``lines``, the lines in the order of their file, and
-``grams``, for every three characters that stand in a row the numbers of the blocks of stored lines that hold them.
+``build_text_index`` writes Parquet tables below one folder: ``lines``, the lines in the order of their file, ``offsets``,
+where each begins in its file, and ``grams``, for every three characters that stand in a row the numbers of the blocks of stored lines that hold them.
 A search reads the rows of its own grams, intersects them, and tests the text of the lines in the blocks left.
 The index only ever leaves out blocks that cannot hold a hit, so results equal those of ``operators.spool`` on all lines.
 """
@@ -99,19 +99,22 @@ def build_text_index(paged: DataFrame, path: str, keys: Sequence[str] = ("file",
 
     Lines are range-sorted by file and number, so a block is 64 lines that follow each other, also in a file that holds
     a third of all lines. Lines are numbered when they are written; the grams are read back from what was written, so
-    a task that runs again cannot number them otherwise. A NULL text has no bytes and is never found.
+    a task that runs again cannot number them otherwise. Texts are shuffled once; byte offsets are summed over sizes alone
+    and kept beside the lines. A NULL text has no bytes and is never found.
     """
     spark = paged.sparkSession
     lines, grams = f"{path.rstrip('/')}/lines", f"{path.rstrip('/')}/grams"
-    size = F.octet_length("text") + eol_bytes
-    placed = running_sum(paged.withColumn("_size", size), keys, ["line_no"], F.col("_size"), "_end", line_block())
-    row = placed.select(*keys, "line_no", "page", "line_in_page", "text", (F.col("_end") - F.col("_size")).alias("byte_offset"))
+    row = paged.select(*keys, "line_no", "page", "line_in_page", "text")
     ordered = row.repartitionByRange(*keys, "line_no").sortWithinPartitions(*keys, "line_no")
     unit = F.floor(F.monotonically_increasing_id() / LINES_PER_UNIT).cast("long")
     stored = ordered.withColumn("unit", unit).withColumn("part", F.spark_partition_id())
     stored.write.mode("overwrite").partitionBy("part").parquet(lines)
     # without lines there is no part that could tell the columns
     stored.limit(0).write.mode("overwrite").parquet(f"{path.rstrip('/')}/columns")
+    size = F.octet_length("text") + eol_bytes
+    sizes = stored_lines(spark, path).select(*keys, "line_no", size.cast("long").alias("size"))
+    offsets = running_sum(sizes, keys, ["line_no"], F.col("size"), "end", line_block())
+    offsets.select(*keys, "line_no", (F.col("end") - F.col("size")).alias("byte_offset")).write.mode("overwrite").parquet(f"{path.rstrip('/')}/offsets")
     texts = stored_lines(spark, path).where("text IS NOT NULL").select("unit", "text")
     pairs = texts.mapInArrow(_unit_grams, "gram long, unit long")
     posting = pairs.groupBy("gram", F.floor(F.col("unit") / UNITS_PER_ROW).cast("long").alias("block")).agg(
@@ -173,5 +176,8 @@ def positions_from_index(spark: SparkSession, path: str, values: Sequence[str],
     values = list(dict.fromkeys(values))
     short = [v for v in values if len(v) < GRAM]
     long = [v for v in values if len(v) >= GRAM]
-    found = first_positions(candidate_lines(spark, path, long), long, keys)
-    return found.unionByName(first_positions(candidate_lines(spark, path, short), short, keys)) if short else found
+    places = ["page", "line_in_page"]
+    found = first_positions(candidate_lines(spark, path, long), long, keys, places)
+    if short:
+        found = found.unionByName(first_positions(candidate_lines(spark, path, short), short, keys, places))
+    return found.join(spark.read.parquet(f"{path.rstrip('/')}/offsets"), [*keys, "line_no"])
