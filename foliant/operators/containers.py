@@ -403,17 +403,19 @@ def report_text(pages: DataFrame, mode: str = "page", objects: DataFrame | None
 
 
 def report_parts(pages: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
-    """(file, part, page, byte_offset, text): where each page stands in its report's text file and in which part of it.
+    """(file, part, page, byte_offset, is_last, text): where each page stands in its report's text file and in which part of it.
 
-    Offsets come from the running sum over blocks of pages. A part begins with the first page that starts in its
+    Offsets come from the running sum over blocks of pages, made over sizes alone; texts meet them once. A part begins with the first page that starts in its
     ``part_bytes``, so it holds that many bytes and the rest of one page, however long the report is; a part in which
     no page starts does not exist.
     """
     good = pages.filter(F.col("status") == "ok").select("file", "page", "text")
-    sized = good.withColumn("_size", F.octet_length("text") + len("\f\n"))
-    placed = running_sum(sized, ["file"], ["page"], F.col("_size"), "_end", F.floor(F.col("page") / PAGES_PER_BLOCK))
+    sizes = good.select("file", "page", (F.octet_length("text") + len("\f\n")).cast("long").alias("_size"))
+    placed = running_sum(sizes, ["file"], ["page"], F.col("_size"), "_end", F.floor(F.col("page") / PAGES_PER_BLOCK))
+    last = sizes.groupBy("file").agg(F.max("page").alias("_last"))
     offset = F.col("_end") - F.col("_size")
-    return placed.select("file", F.floor(offset / part_bytes).alias("part"), "page", offset.alias("byte_offset"), "text")
+    where = placed.join(last, "file").select("file", F.floor(offset / part_bytes).alias("part"), "page", offset.alias("byte_offset"), (F.col("page") == F.col("_last")).alias("is_last"))
+    return good.join(where, ["file", "page"]).select("file", "part", "page", "byte_offset", "is_last", "text")
 
 
 def write_report_text(pages: DataFrame, path: str, part_bytes: int = PART_BYTES) -> None:
@@ -423,10 +425,8 @@ def write_report_text(pages: DataFrame, path: str, part_bytes: int = PART_BYTES)
     one after another, are its text, of any size. Each part is sorted and written by one task, which no other part
     waits for, so neither a cell nor a task ever holds a whole report.
     """
-    parts = report_parts(pages, part_bytes)
-    last = parts.groupBy("file").agg(F.max("page").alias("_last"))
-    mark = F.when(F.col("page") < F.col("_last"), "\f").otherwise("")
-    rows = parts.join(last, "file").select("file", "part", "page", F.concat("text", mark).alias("value"))
+    mark = F.when(F.col("is_last"), "").otherwise("\f")
+    rows = report_parts(pages, part_bytes).select("file", "part", "page", F.concat("text", mark).alias("value"))
     dealt = rows.repartition("file", "part").sortWithinPartitions("file", "part", "page")
     dealt.select("value", "file", "part").write.mode("overwrite").partitionBy("file", "part").text(path)
 
