@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import EqualTo, In, StringContains
 
+from __spark_entry__ import queries
 from foliant.operators import containers as ct
 from foliant.operators.containers import SECTION_COUNT_AT
 from foliant.operators import filters as fl
@@ -293,6 +294,22 @@ def test_index_without_limits_on_width_sample_and_segments(spark):
     assert [e.value for e in mi.map_entry(files, 9, 1, signs=True).collect()] == ["abc", "--+"]
 
 
+def test_lookup_of_plain_and_keyed_files(spark, tmp_path):
+    """Keyed files have a lookup table before their keys; the query reads both kinds, however few entries they have."""
+    lines = {2: "Alpha one", 3: "Beta", 4: "Gamma\nDelta", 5: "Alpha\nBeta\nGamma\nDelta", 6: "-"}
+    spark.createDataFrame(list(lines.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    rows = queries()["map_lookup"](spark, str(tmp_path)).collect()
+    assert sorted((int(r.doc_id), r.segment, r.line_id, r.field_id) for r in rows) == [(i, 1, 4, 2) for i in (2, 3, 4, 5)]
+    keys = [(2 * i + 1, 10 + i) for i in range(100)]
+    data = index([(4, 2, 6, [(f"v{i:03d}", key) for i, (key, _) in enumerate(keys)])], keys, [(1, 4, 2, 0)])
+    files = spark.createDataFrame([("a", bytearray(data))], "file string, content binary")
+    assert [(r.u32_key, r.page) for r in mi.map_page_key(files).collect()] == keys
+    rg.write_files(files, str(tmp_path / "maps"))
+    catalogue = ms.index_catalogue(rg.list_files(spark, str(tmp_path / "maps"), "a", by_name=True)).cache()
+    assert [(r.keyed, r.keys_sorted, r.key_rows) for r in catalogue.collect()] == [(True, True, 100)]
+    assert [r.page for r in ms.search_stored(catalogue, 4, 2, "v042").collect()] == [52]
+
+
 def test_sections_without_a_declared_count_are_all_read(spark):
     data = bytearray(container(7, [b"a"] * 3, [(i + 1, 1, 1) for i in range(1500)]))
     struct.pack_into("<I", data, SECTION_COUNT_AT, 0)
