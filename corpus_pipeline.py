@@ -49,8 +49,12 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte-level BPE ids of what is left, and the digests of them and of the bytes they decode to."""
-    return digests_of_ids(byte_bpe.encode(docs))
+    """Byte-level BPE ids of what is left, and the digests of them and of the bytes they decode to.
+
+    The ids are written in between: encoders and decoders in one task would be two Python workers for each core, and
+    executors keep all of them.
+    """
+    return digests_of_ids(written(byte_bpe.encode(docs), "ids"))
 
 
 STAGES = [

@@ -43,6 +43,12 @@ def test_pipeline_equals_its_stages(spark, sf_dir):
     assert sorted((r.doc_id, list(r["ids"]), r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in rows) == sorted(expected)
 
 
+def test_encoders_and_decoders_do_not_share_a_task(spark, sf_dir, capsys):
+    """Two Python operators in one task are two Python workers for each core of an executor."""
+    corpus_pipeline.encode(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir).explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+
+
 def test_stages_keep_the_columns_and_take_edges(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(1, None), (2, ""), (3, "one two"), (3, "one two"), (None, "x"), (None, "x"), (4, "good words " * 3 + "in a line of text that is long enough")]
