@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.errors import AnalysisException
 
+from foliant.sources import files as fs
 from foliant.sources import listing as ls
 from foliant.sources import ranges as rg
 
@@ -74,3 +75,30 @@ def test_listing_leaves_to_spark_what_only_spark_can_read(spark, tmp_path):
     finally:
         spark.conf.unset("fs.viewfs.mounttable.archive.link./in")
         spark.conf.unset("spark.hadoop.fs.viewfs.mounttable.archive.link./in")
+
+
+def test_scans_list_by_tasks_and_open_only_what_is_used(spark, tmp_path, monkeypatch):
+    for number in range(9):
+        (tmp_path / f"{number}.map").write_bytes(os.urandom(1000 + number))
+    own = spark.read.format("binaryFile").load(str(tmp_path))
+    found = fs.scan_map(spark, str(tmp_path))
+    assert "FileScan" not in plan(found) and "binaryFile" not in plan(found)
+    assert found.columns == ["path", "modificationTime", "length", "content", "file"]
+    assert rows(found.drop("file")) == rows(own)
+    two = fs.scan_map(spark, str(tmp_path), limit=2)
+    for n in range(2, 9):
+        (tmp_path / f"{n}.map").unlink()
+    # contents of the first two alone are read, and none where nobody asks for them
+    assert sorted(r["file"] for r in two.select("file", "content").collect()) == ["0.map", "1.map"]
+    assert found.select("file", "length").count() == len(found.select("file").collect()) == 9
+
+
+def test_contents_leave_in_pieces(monkeypatch, tmp_path):
+    import pyarrow as pa
+
+    monkeypatch.setattr(rg, "HELD_BYTES", 100)
+    for number, size in enumerate((10, 90, 5, 300, 1)):
+        (tmp_path / str(number)).write_bytes(bytes([number]) * size)
+    got = list(rg.file_content.func(iter([pa.array([str(tmp_path / str(n)) for n in range(5)])])))
+    assert [len(piece) for piece in got] == [2, 2, 1]
+    assert [len(v.as_py()) for piece in got for v in piece] == [10, 90, 5, 300, 1]
