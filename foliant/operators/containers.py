@@ -18,8 +18,9 @@ from foliant.functions.binary import byte_find, latin1, u16, u32
 from foliant.functions.text import object_format, object_header, strip_ext
 from foliant.functions.udf import once
 from foliant.operators.sets import compare_outputs
-from foliant.scale import ordered_concat, running_sum, small_side
-from foliant.sources.ranges import read_heads, read_parts, read_slices, read_tables
+from foliant.scale import cut_lineage, ordered_concat, running_sum, small_side
+from foliant.sources.listing import task_readable
+from foliant.sources.ranges import read_heads, read_lines, read_parts, read_slices, read_tables, write_lines
 
 # Layout of the container.
 BASE_OFFSET = 0xF0
@@ -405,12 +406,12 @@ def report_text(pages: DataFrame, mode: str = "page", objects: DataFrame | None
 def report_parts(pages: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     """(file, part, page, byte_offset, is_last, text): where each page stands in its report's text file and in which part of it.
 
-    Offsets come from the running sum over blocks of pages, made over sizes alone; texts meet them once. A part begins with the first page that starts in its
+    Offsets come from the running sum over blocks of pages, made over sizes alone, which are kept as a checkpoint; texts meet them once. A part begins with the first page that starts in its
     ``part_bytes``, so it holds that many bytes and the rest of one page, however long the report is; a part in which
     no page starts does not exist.
     """
     good = pages.filter(F.col("status") == "ok").select("file", "page", "text")
-    sizes = good.select("file", "page", (F.octet_length("text") + len("\f\n")).cast("long").alias("_size"))
+    sizes = cut_lineage(good.select("file", "page", (F.octet_length("text") + len("\f\n")).cast("long").alias("_size")))
     placed = running_sum(sizes, ["file"], ["page"], F.col("_size"), "_end", F.floor(F.col("page") / PAGES_PER_BLOCK))
     last = sizes.groupBy("file").agg(F.max("page").alias("_last"))
     offset = F.col("_end") - F.col("_size")
@@ -423,18 +424,23 @@ def write_report_text(pages: DataFrame, path: str, part_bytes: int = PART_BYTES)
 
     ``file=<name>/part=<number>`` holds one text file; the text files of a report in the order of their part numbers,
     one after another, are its text, of any size. Each part is sorted and written by one task, which no other part
-    waits for, so neither a cell nor a task ever holds a whole report.
+    waits for, so neither a cell nor a task ever holds a whole report; nor does the driver commit or list the files.
     """
     mark = F.when(F.col("is_last"), "").otherwise("\f")
     rows = report_parts(pages, part_bytes).select("file", "part", "page", F.concat("text", mark).alias("value"))
     dealt = rows.repartition("file", "part").sortWithinPartitions("file", "part", "page")
-    dealt.select("value", "file", "part").write.mode("overwrite").partitionBy("file", "part").text(path)
+    if task_readable(pages.sparkSession, path):
+        write_lines(dealt, path, ["file", "part"])
+    else:
+        dealt.select("value", "file", "part").write.mode("overwrite").partitionBy("file", "part").text(path)
 
 
 def read_report_parts(spark: SparkSession, path: str) -> DataFrame:
     """(file, part, text) of written reports, one row for each part."""
-    rows = spark.read.schema("value string, file string, part long").text(path, wholetext=True)
-    return rows.select("file", "part", F.col("value").alias("text"))
+    rows = read_lines(spark, path, ["file", "part"])
+    if rows is None:
+        rows = spark.read.schema("value string, file string, part long").text(path, wholetext=True)
+    return rows.select("file", F.col("part").cast("long").alias("part"), F.col("value").alias("text"))
 
 
 def page_metrics(pages: DataFrame, text: str = "text") -> DataFrame:

@@ -443,3 +443,28 @@ def test_report_text_is_written_in_ordered_parts(spark, tmp_path):
     first = {(r["part"], r["byte_offset"]) for r in ct.report_parts(pages, 64).where("file = 'a.rpt'").collect()}
     assert (0, 0) in first and all(at // 64 == part for part, at in first) and len({p for p, _ in first}) > 2
     ct.write_report_text(pages.limit(0), str(tmp_path / "none"))
+
+
+def test_report_text_is_written_and_listed_by_tasks(spark, tmp_path):
+    """The layout is that of Spark's partitioned writer, which could read and write it; nothing passes through the driver."""
+    names = ["a.rpt", "c d+e%41.rpt", "x/y=z:é'\"[q]{r}^#?*\\.rpt", "new\nline.rpt"]
+    pages = spark.createDataFrame([(f, i, "ok", f"{f} {i} " + "é" * 30) for f in names for i in range(1, 6)], "file string, page long, status string, text string")
+    target = tmp_path / "te=xt" / "file=up" / "part=0"
+    target.mkdir(parents=True)
+    (target / "stale.txt").write_text("of an earlier run")
+    ct.write_report_text(pages.repartition(3), str(target), part_bytes=128)
+    files = [os.path.join(at, n) for at, _, found in os.walk(target) for n in found]
+    # no checksum files or temporary folders of a driver's commit
+    assert os.path.exists(target / "_SUCCESS") and {os.path.basename(f) for f in files} <= {"_SUCCESS", "._SUCCESS.crc", "part-00000.txt"}
+    own = spark.read.schema("value string, file string, part long").text(str(target), wholetext=True).select("file", "part", "value")
+    got = ct.read_report_parts(spark, str(target))
+    assert "FileScan" not in got._jdf.queryExecution().toString()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, own.collect())) and got.dtypes == [("file", "string"), ("part", "bigint"), ("text", "string")]
+    texts = {}
+    for r in sorted(got.collect()):
+        texts[r["file"]] = texts.get(r["file"], "") + r["text"]
+    assert texts == {f: "\f\n".join(f"{f} {i} " + "é" * 30 for i in range(1, 6)) + "\n" for f in names}
+    # what Spark's writer left is read as well
+    old = str(tmp_path / "old")
+    own.write.partitionBy("file", "part").text(old)
+    assert {(r["file"], r["part"]) for r in ct.read_report_parts(spark, old).collect()} == {(r["file"], r["part"]) for r in own.collect()}
