@@ -17,10 +17,11 @@ from foliant.functions.text import (
 )
 from foliant.operators.filters import year_window
 from foliant.operators.windows import first_per_key, latest_per_key
-from foliant.scale import ordered_concat
+from foliant.scale import ordered_concat, small_side
 from foliant.sources.schemas import INSTANCE_KEY
 
 SEGMENTS_PER_BLOCK = 4096
+SIGNATURES_PER_BLOCK = 100_000
 
 
 def instances(
@@ -229,11 +230,22 @@ def signature_fields(sig: DataFrame, sf: DataFrame, f: DataFrame, keep_all: bool
 
 
 def species_signatures(rsn: DataFrame, sig: DataFrame) -> DataFrame:
-    """Every named species with its signatures, if any."""
+    """Every named species with its signatures, if any.
+
+    A species with more than ``SIGNATURES_PER_BLOCK`` signatures is cut into blocks by a hash of the signature, and its
+    names go to each block, so that no task meets all signatures of a hot species. Names without signatures come apart.
+    """
     key = ["DOMAIN_ID", "REPORT_SPECIES_ID"]
-    return rsn.filter(F.col("ITEM_ID") == 0).select(*key, F.rtrim("NAME").alias("NAME")).join(
-        sig.select(*key, "SIGN_ID", "MINOR_VERSION", F.rtrim("DESCRIPTION").alias("DESCRIPTION")), key, "left"
-    )
+    names = rsn.filter(F.col("ITEM_ID") == 0).select(*key, F.rtrim("NAME").alias("NAME"))
+    signatures = sig.select(*key, "SIGN_ID", "MINOR_VERSION", F.rtrim("DESCRIPTION").alias("DESCRIPTION"))
+    counts = sig.groupBy(*key).agg(F.count("*").alias("_n"))
+    hot = small_side(counts.select(*key, F.ceil(F.col("_n") / SIGNATURES_PER_BLOCK).alias("_blocks")).where("_blocks > 1"))
+    blocks = F.coalesce("_blocks", F.lit(1).cast("long"))
+    cut = signatures.join(hot, key, "left").withColumn("_block", F.pmod(F.xxhash64("SIGN_ID", "MINOR_VERSION", "DESCRIPTION"), blocks)).drop("_blocks")
+    sent = names.join(hot, key, "left").withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).drop("_blocks")
+    signed = cut.join(sent, [*key, "_block"]).select(*key, "NAME", "SIGN_ID", "MINOR_VERSION", "DESCRIPTION")
+    unsigned = names.join(counts, key, "left_anti")
+    return signed.unionByName(unsigned, allowMissingColumns=True)
 
 
 def fields_per_signature(sig: DataFrame, sf: DataFrame) -> DataFrame:

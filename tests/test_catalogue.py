@@ -305,3 +305,30 @@ def test_a_repeated_batch_is_logged_once(spark, tmp_path, monkeypatch):
     assert sorted(int(r["SPECIES_ID"]) for r in rows.collect()) == list(range(30))
     assert rows.where("LOGGED_AT IS NULL OR FILENAME <> concat('f', SPECIES_ID)").count() == 0
     assert spark.read.parquet(out).count() == 30
+
+
+def test_signatures_of_a_hot_species_meet_its_names_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(ins, "SIGNATURES_PER_BLOCK", 50, raising=False)
+    names = [(1, 1, 0, "hot  "), (1, 1, 0, "hot again"), (1, 2, 0, "cold "), (1, 3, 0, "none"), (1, 2, 1, "other item"), (None, 1, 0, "no domain"), (1, None, 0, None), (1, 3, 0, "none")]
+    signs = [(1, 1, n, n % 3, f"d{n} ") for n in range(2000)] + [(1, 1, 7, 1, "d7 ")] * 2 + [(1, 2, 5, 1, None), (1, 9, 6, 1, "unnamed"), (None, 1, 8, 1, "x"), (1, None, 8, 1, "x"), (1, 1, None, None, None)]
+    rsn = spark.createDataFrame(names, "DOMAIN_ID int, REPORT_SPECIES_ID long, ITEM_ID int, NAME string")
+    sig = spark.createDataFrame(signs, "DOMAIN_ID int, REPORT_SPECIES_ID long, SIGN_ID long, MINOR_VERSION int, DESCRIPTION string")
+    strip = lambda text: text and text.rstrip(" ")
+    want = []
+    for d, s, item, name in names:
+        if item == 0:
+            some = [x for x in signs if None not in (d, s) and x[:2] == (d, s)]
+            want += [(d, s, strip(name), *x[2:4], strip(x[4])) for x in some] or [(d, s, strip(name), None, None, None)]
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        found = ins.species_signatures(rsn, sig)
+        assert found.columns == ["DOMAIN_ID", "REPORT_SPECIES_ID", "NAME", "SIGN_ID", "MINOR_VERSION", "DESCRIPTION"]
+        assert sorted(map(tuple, found.collect()), key=repr) == sorted(want, key=repr)
+        most = found.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+        assert most < len(want) / 3
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
